@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rowproof import lexicon
-from rowproof.functions.text import col, strip
+from rowproof.functions.text import col, one_of, strip
 
 # --- fixed values: parts of one parsed address, in output order -------------------------------
 PARTS = (
@@ -123,4 +123,4 @@ def po_box_line(line: Column | str) -> Column:
 def count_words(text: Column | str, words: Sequence[str]) -> Column:
     """How many words of the text, letters only, belong to the list."""
     letters = F.lower(strip(F.regexp_replace(col(text), r"[^A-Za-z '\-]+", "")))
-    return F.size(F.filter(F.split(letters, r"\s+"), lambda w: w.isin(list(words))))
+    return F.size(F.filter(F.split(letters, r"\s+"), lambda w: one_of(w, words)))

@@ -6,21 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rowproof import lexicon
-from rowproof.functions.text import col, only_letters, strip
+from rowproof.functions.text import col, one_of, only_letters, strip
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
-    pairs = [F.lit(x) for item in table.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), key)
+    """Value of the key in a fixed table. The map is one parsed expression, folded to a constant."""
+    items = ", ".join(_quoted(x) for item in table.items() for x in item)
+    return F.try_element_at(F.expr(f"map({items})"), key)
 
 
-def _in(c: Column, values) -> Column:
-    return F.coalesce(c.isin(list(values)), F.lit(False))
+def _quoted(text: str) -> str:
+    return '"' + text + '"'
 
 
 def country_check(country: Column | str) -> Column:
     """Exact, case-sensitive membership in the country codes."""
-    return _in(col(country), lexicon.countries())
+    return one_of(col(country), lexicon.countries())
 
 
 def country_format(country: Column | str) -> Column:
@@ -34,8 +35,8 @@ def state_check(state: Column | str, country: Column | str) -> Column:
     """State code belongs to the country; countries other than US and CA are not checked."""
     s, c = col(state), col(country)
     return (
-        F.when(c == "US", _in(s, lexicon.US_STATES))
-        .when(c == "CA", _in(s, lexicon.CA_PROVINCES))
+        F.when(c == "US", one_of(s, lexicon.US_STATES))
+        .when(c == "CA", one_of(s, lexicon.CA_PROVINCES))
         .otherwise(F.lit(True))
     )
 
@@ -51,8 +52,8 @@ def state_name_to_code(state: Column | str, country: Column | str) -> Column:
 
 def country_by_state(state: Column | str) -> Column:
     s = col(state)
-    return F.when(_in(s, lexicon.US_STATES), F.lit("US")).when(
-        _in(s, lexicon.CA_PROVINCES), F.lit("CA")
+    return F.when(one_of(s, lexicon.US_STATES), F.lit("US")).when(
+        one_of(s, lexicon.CA_PROVINCES), F.lit("CA")
     )
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rowproof.lexicon import word_pattern
+
 # Every character that Python's `str.strip` removes; \p{Z} holds the Unicode separators.
 BLANKS = r"[\t-\r\x1c-\x20\x85\p{Z}]+"
 CONTROL = r"[\r\n\t\f]"
@@ -52,3 +56,11 @@ def only_letters(c: Column | str) -> Column:
     """True when letters remain alone after dropping quotes, hyphens, spaces and tabs."""
     bare = F.regexp_replace(strip(c), r"['\- \t]", "")
     return F.coalesce(bare.rlike(r"\A\p{L}+\z"), F.lit(False))
+
+
+def one_of(c: Column | str, words: Iterable[str]) -> Column:
+    """Exact membership in a list of words without blanks; null is false.
+
+    One compiled pattern needs a step per letter, however long the list is.
+    """
+    return F.coalesce(col(c).rlike(rf"\A{word_pattern(sorted(words))}\z"), F.lit(False))

@@ -12,7 +12,7 @@ from rowproof.functions import address as A
 from rowproof.functions import geo
 from rowproof.functions.postal import zip_code_check
 from rowproof.functions.text import strip, title_case
-from rowproof.operators.ziplookup import us_city_by_zip, us_state_by_zip, us_zip_code, with_zip_lookup
+from rowproof.operators.ziplookup import with_zip_lookup
 
 # --- fixed values: output columns of one address group, after the group's root name -----------
 OUTPUTS = (
@@ -20,11 +20,29 @@ OUTPUTS = (
     "country", "full_address",
 )
 
-
-def _text(value: Column | str | None) -> Column:
-    if value is None:
-        return F.lit(None).cast("string")
-    return (F.col(value) if isinstance(value, str) else value).cast("string")
+# --- fixed values: messages in the order of the checks, and the condition of each -------------
+MESSAGES = {
+    "Missing address": "_street IS NULL",
+    "possible parsing issue": "_street IS NULL OR _kinds > 2 OR _units >= 1",
+    "Missing Country": "_country0 IS NULL",
+    "Country Reformatted to Code": "_country0 IS NOT NULL AND _country1 <> _country0",
+    "Invalid Country": "_country0 IS NOT NULL AND _country1 IS NULL",
+    "Country Reformatted by State": "_country0 IS NULL AND _country1 IS NOT NULL",
+    "Bad Postal Code": "_postal IS NULL OR NOT _zip_ok",
+    "Missing State / Zip": "_state IS NULL AND _zip0 IS NULL",
+    "Reformatting State Using Zip": "_state IS NULL AND _zip0 IS NOT NULL",
+    "State Reformatted": "_state_code IS NOT NULL",
+    "Invalid State": "_lost_state",
+    "Missing City": "_city IS NULL AND _zip0 IS NULL",
+    "City is not alpha": "_city IS NOT NULL AND NOT _city_ok",
+    "Reformatted City with Zip": "_city IS NULL AND _zip_city IS NOT NULL",
+    "City spelling reformatted": "_respelled",
+    "Check if suite is valid": "NOT _parses AND _two_suites",
+    "Not capable of parsing": "NOT _parses AND NOT _two_suites AND NOT (_box1 OR _box2 OR _hash)",
+    "PO Box reformat": "NOT _parses AND NOT _two_suites AND _box1",
+    "Check PO Box in Suite": "NOT _parses AND NOT _two_suites AND _box2 AND NOT _box1",
+    "Building number reformat": "NOT _parses AND NOT _two_suites AND _hash AND NOT (_box1 OR _box2)",
+}
 
 
 def clean_addresses(
@@ -44,184 +62,125 @@ def clean_addresses(
 ) -> DataFrame:
     """Add the nine `{root}_...` columns; `{root}_addr_error_messg` is an array of messages.
 
-    Rows are only extended, so everything stays in one stage apart from the ZIP join. The stages
-    exist because later checks read what earlier ones repaired.
+    Rows are only extended: one projection before the ZIP join and one after it, whose later
+    columns refer to its earlier ones. Working columns start with `_` and are dropped again.
     """
-    p = f"__{root}_"
+    types = street_types or lexicon.street_types()
+    given = {
+        "_full": full_address,
+        "_a1": address1,
+        "_a2": address2,
+        "_a3": address3,
+        "_city0": city,
+        "_state0": state,
+        "_zip0": postal_code,
+        "_country0": F.lit("US") if country is None else country,
+    }
+    before = {name: _text(value) for name, value in given.items()} | _taken_apart(types)
+    after = _repaired(types) | {
+        "_parses": A.parse_address("_again", "_country2", types).isNotNull(),
+        "_messages": F.expr(_message_array()),
+    }
+    result = {
+        "addr_is_valid": F.expr("size(_messages) = 0"),
+        "addr_error_messg": F.col("_messages"),
+        "street": F.col("_street"),
+        "suite": F.col("_suite"),
+        "city": F.col("_city2"),
+        "state": F.col("_state2"),
+        "postal_code": F.col("_postal"),
+        "country": F.col("_country2"),
+        "full_address": A.match_key("_street", "_city2", "_state2", "_postal"),
+    }
+    original = df.columns
+    taken_apart = df.select("*", *_named(before))
+    joined = with_zip_lookup(taken_apart, "_postal", zip_ref, out="_hit")
+    repaired = joined.select("*", *_named(after))
+    return repaired.select(*original, *(result[name].alias(f"{root}_{name}") for name in OUTPUTS))
+
 
-    def c(name: str) -> Column:
-        return F.col(p + name)
+def _text(value: Column | str | None) -> Column:
+    if value is None:
+        return F.lit(None).cast("string")
+    return (F.col(value) if isinstance(value, str) else value).cast("string")
 
-    def add(frame: DataFrame, **columns: Column) -> DataFrame:
-        return frame.withColumns({p + name: value for name, value in columns.items()})
 
-    def said(*pairs: tuple[Column, str]) -> Column:
-        return F.array(*(F.when(cond, F.lit(text)) for cond, text in pairs))
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [value.alias(name) for name, value in columns.items()]
 
-    original = df.columns
-    inputs = {
-        "full": full_address, "a1": address1, "a2": address2, "a3": address3, "city0": city,
-        "state0": state, "zip0": postal_code,
-        "country0": F.lit("US") if country is None else country,
-    }
-    df = add(df, **{name: _text(value) for name, value in inputs.items()})
-
-    # 1 Parse the given text, or the text assembled from the parts.
-    df = add(
-        df,
-        line1=A.po_box_line(c("a1")),
-        po1=A.is_po_box(c("a1")),
-        po2=A.is_po_box(c("a2")),
-        suite_word=F.coalesce(F.lower(c("a1")).rlike("suite|ste"), F.lit(False)),
-        parsed=A.parse_address(
-            F.coalesce(
-                c("full"),
-                A.assemble_address(
-                    c("a1"), c("a2"), c("a3"), c("city0"), c("state0"), c("zip0"), c("country0")
-                ),
-            ),
-            geo.country_format(c("country0")),
-            street_types,
+
+def _message_array() -> str:
+    cases = ", ".join(f"CASE WHEN {cond} THEN '{text}' END" for text, cond in MESSAGES.items())
+    return f"array_compact(array({cases}))"
+
+
+def _taken_apart(street_types: Sequence[str]) -> dict[str, Column]:
+    """Parsed parts, or the first line split at `#` or at a comma when parsing fails."""
+    assembled = A.assemble_address("_a1", "_a2", "_a3", "_city0", "_state0", "_zip0", "_country0")
+    return {
+        "_line1": A.po_box_line("_a1"),
+        "_box1": A.is_po_box("_a1"),
+        "_box2": A.is_po_box("_a2"),
+        "_hash": F.expr("coalesce(contains(_line1, '#'), false)"),
+        "_two_suites": F.expr("coalesce(lower(_a1) RLIKE 'suite|ste', false) AND _a2 IS NOT NULL"),
+        "_parsed": A.parse_address(
+            F.coalesce(F.col("_full"), assembled), geo.country_format("_country0"), street_types
         ),
-    )
-
-    # 2 Take the parsed parts, or split the first line at `#` or a comma.
-    ok = c("parsed").isNotNull()
-    part = lambda name: c("parsed").getField(name)
-    hash_rest = F.concat(F.lit("#"), F.regexp_extract(c("line1"), r"(?s)\A[^#]*#(.*)\z", 1))
-    comma_rest = F.concat(F.lit("#"), F.regexp_extract(c("line1"), r"(?s)\A[^,]*,(.*)\z", 1))
-    df = add(
-        df,
-        has_hash=F.coalesce(c("line1").contains("#"), F.lit(False)),
-        has_comma=F.coalesce(c("line1").contains(","), F.lit(False)),
-    )
-    df = add(
-        df,
-        street=F.when(
-            ok, F.concat_ws(" ", part("street_number"), part("street_name"), part("street_type"))
-        )
-        .when(c("has_hash"), strip(F.regexp_extract(c("line1"), r"\A([^#]*)", 1)))
-        .when(c("has_comma"), strip(F.regexp_extract(c("line1"), r"\A([^,]*)", 1)))
-        .otherwise(c("line1")),
-        suite=F.when(ok, F.coalesce(part("occupancy"), part("building_id")))
-        .when(c("has_hash"), F.concat_ws(" ", c("a2"), hash_rest))
-        .when(c("has_comma"), F.concat_ws(" ", comma_rest, c("a2")))
-        .otherwise(c("a2")),
-        city=F.when(ok, part("city")).otherwise(c("city0")),
-        state=F.when(ok, part("region1")).otherwise(c("state0")),
-        postal=F.when(ok, part("postal_code")).otherwise(c("zip0")),
-        country=c("country0"),
-    )
-    df = with_zip_lookup(df, c("postal"), zip_ref, out=p + "hit")
-
-    # 3 Country, by name or by state.
-    is_code = geo.country_check(c("country"))
-    df = add(
-        df,
-        kinds=A.count_words(c("street"), street_types or lexicon.street_types()),
-        units=A.count_words(c("street"), lexicon.unit_words()),
-        country1=F.when(is_code, c("country"))
-        .when(c("country").isNotNull(), geo.country_format(c("country")))
-        .otherwise(geo.country_by_state(c("state"))),
-    )
-    renamed = ~is_code & c("country1").isNotNull()
-    messages = [
-        said(
-            (c("street").isNull(), "Missing address"),
-            (c("street").isNull() | (c("kinds") > 2) | (c("units") >= 1), "possible parsing issue"),
-            (c("country").isNull(), "Missing Country"),
-            (c("country").isNotNull() & renamed, "Country Reformatted to Code"),
-            (c("country").isNotNull() & c("country1").isNull(), "Invalid Country"),
-            (c("country").isNull() & renamed, "Country Reformatted by State"),
+        "_ok": F.expr("_parsed IS NOT NULL"),
+        "_mark": F.expr("CASE WHEN _hash THEN '#' WHEN contains(_line1, ',') THEN ',' END"),
+        "_before": F.expr("substring_index(_line1, _mark, 1)"),
+        "_behind": F.expr("'#' || substr(_line1, length(_before) + 2)"),
+        "_street": F.when(
+            F.col("_ok"),
+            F.expr("concat_ws(' ', _parsed.street_number, _parsed.street_name, _parsed.street_type)"),
         )
-    ]
-
-    # 4 Postal code, and the state it stands for.
-    df = add(df, zip_ok=zip_code_check(c("postal"), c("country1"), us_zip_code(c("hit"))))
-    from_zip = F.when(c("zip_ok") & c("zip0").isNotNull(), us_state_by_zip(c("hit")))
-    df = add(
-        df,
-        state1=F.coalesce(c("state"), from_zip),
-        zip_city=F.when(c("zip_ok"), us_city_by_zip(c("hit"))),
-    )
-
-    # 5 State code, or the code of a state name.
-    bad_state = ~geo.state_check(c("state1"), c("country1")) & c("country1").isNotNull()
-    df = add(
-        df,
-        bad_state=bad_state,
-        state_code=F.when(bad_state, geo.state_name_to_code(c("state1"), c("country1"))),
-        city_alpha=geo.city_check(c("city")),
-    )
-    lost_state = c("bad_state") & c("state_code").isNull()
-    no_city_filled = c("city").isNull() & c("zip_city").isNotNull()
-    df = add(
-        df,
-        state2=F.coalesce(c("state_code"), c("state1")),
-        country2=F.when(~lost_state, c("country1")),
-    )
-    respelled = (
-        c("city").isNotNull()
-        & c("city_alpha")
-        & c("state2").isNotNull()
-        & c("postal").isNotNull()
-        & c("zip_city").isNotNull()
-        & (F.lower(c("zip_city")) != F.lower(c("city")))
-    )
-    messages.append(
-        said(
-            (c("postal").isNull() | ~c("zip_ok"), "Bad Postal Code"),
-            (c("state").isNull() & c("zip0").isNull(), "Missing State / Zip"),
-            (c("state").isNull() & c("zip0").isNotNull(), "Reformatting State Using Zip"),
-            (c("bad_state") & ~lost_state, "State Reformatted"),
-            (lost_state, "Invalid State"),
-            (c("city").isNull() & c("zip0").isNull(), "Missing City"),
-            (c("city").isNotNull() & ~c("city_alpha"), "City is not alpha"),
-            (no_city_filled, "Reformatted City with Zip"),
-            (respelled, "City spelling reformatted"),
-        )
-    )
-
-    # 6 City, then parse the reassembled text again.
-    df = add(df, city1=F.when(no_city_filled | respelled, c("zip_city")).otherwise(c("city")))
-    df = add(
-        df,
-        city2=F.when(F.length(c("city1")) > 3, strip(title_case(c("city1")))).otherwise(c("city1")),
-    )
-    blank = lambda name: F.coalesce(c(name), F.lit(""))
-    lead = F.when(
-        c("suite").isNotNull(), F.concat(blank("street"), F.lit(" "), c("suite"))
-    ).otherwise(blank("line1"))
-    again = F.concat(
-        lead, F.lit(" "), blank("city2"), F.lit(", "), blank("state2"), F.lit(" "),
-        blank("postal"), F.lit(" "), blank("country0"),
-    )
-    df = add(
-        df,
-        parses=A.parse_address(F.when(ok, again), c("country2"), street_types).isNotNull(),
-    )
-    suite_issue = c("suite_word") & c("a2").isNotNull()
-    boxed = c("po1") | c("po2")
-    reason = (
-        F.when(suite_issue, F.lit("Check if suite is valid"))
-        .when(~boxed & ~c("has_hash"), F.lit("Not capable of parsing"))
-        .when(c("po1"), F.lit("PO Box reformat"))
-        .when(c("po2"), F.lit("Check PO Box in Suite"))
-        .otherwise(F.lit("Building number reformat"))
-    )
-    messages.append(F.array(F.when(~c("parses"), reason)))
-
-    df = add(df, messages=F.array_compact(F.concat(*messages)))
-    outputs = (
-        F.size(c("messages")) == 0,
-        c("messages"),
-        c("street"),
-        c("suite"),
-        c("city2"),
-        c("state2"),
-        c("postal"),
-        c("country2"),
-        A.match_key(c("street"), c("city2"), c("state2"), c("postal")),
-    )
-    named = [value.alias(f"{root}_{name}") for name, value in zip(OUTPUTS, outputs)]
-    return df.select(*original, *named)
+        .when(F.col("_mark").isNotNull(), strip("_before"))
+        .otherwise(F.col("_line1")),
+        "_suite": F.expr(
+            """CASE WHEN _ok THEN coalesce(_parsed.occupancy, _parsed.building_id)
+                WHEN _hash THEN concat_ws(' ', _a2, _behind)
+                WHEN _mark = ',' THEN concat_ws(' ', _behind, _a2) ELSE _a2 END"""
+        ),
+        "_city": F.expr("CASE WHEN _ok THEN _parsed.city ELSE _city0 END"),
+        "_state": F.expr("CASE WHEN _ok THEN _parsed.region1 ELSE _state0 END"),
+        "_postal": F.expr("CASE WHEN _ok THEN _parsed.postal_code ELSE _zip0 END"),
+    }
+
+
+def _repaired(street_types: Sequence[str]) -> dict[str, Column]:
+    """Country, postal code, state and city after the repairs, and the text to parse again."""
+    return {
+        "_kinds": A.count_words("_street", street_types),
+        "_units": A.count_words("_street", lexicon.unit_words()),
+        "_country1": F.when(
+            F.col("_country0").isNotNull(), geo.country_format("_country0")
+        ).otherwise(geo.country_by_state("_state")),
+        "_zip_ok": zip_code_check("_postal", "_country1", F.expr("_hit IS NOT NULL")),
+        "_zip_city": F.expr("CASE WHEN _zip_ok THEN _hit.place END"),
+        "_state1": F.expr(
+            "coalesce(_state, CASE WHEN _zip_ok AND _zip0 IS NOT NULL THEN _hit.state END)"
+        ),
+        "_bad_state": F.col("_country1").isNotNull() & ~geo.state_check("_state1", "_country1"),
+        "_state_code": F.when(
+            F.col("_bad_state"), geo.state_name_to_code("_state1", "_country1")
+        ),
+        "_lost_state": F.expr("_bad_state AND _state_code IS NULL"),
+        "_state2": F.expr("coalesce(_state_code, _state1)"),
+        "_country2": F.expr("CASE WHEN NOT _lost_state THEN _country1 END"),
+        "_city_ok": geo.city_check("_city"),
+        "_respelled": F.expr(
+            """coalesce(_city_ok AND _state2 IS NOT NULL AND _postal IS NOT NULL
+                AND lower(_zip_city) <> lower(_city), false)"""
+        ),
+        "_city1": F.expr("CASE WHEN _city IS NULL OR _respelled THEN _zip_city ELSE _city END"),
+        "_city2": F.when(F.length("_city1") > 3, strip(title_case("_city1"))).otherwise(
+            F.col("_city1")
+        ),
+        "_again": F.expr(
+            """CASE WHEN _ok THEN
+                CASE WHEN _suite IS NOT NULL THEN coalesce(_street, '') || ' ' || _suite
+                    ELSE coalesce(_line1, '') END
+                || ' ' || coalesce(_city2, '') || ', ' || coalesce(_state2, '') || ' '
+                || coalesce(_postal, '') || ' ' || coalesce(_country0, '') END"""
+        ),
+    }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,6 +154,22 @@ def flag_rows(
     return out.withColumn(VERDICT, flags.verdict()), flags
 
 
+class Reports(Mapping):
+    """Reports by name. A report's plan is built when it is asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._builders[name]()
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def validate(
     df: DataFrame,
     config: DatasetConfig,
@@ -163,7 +179,7 @@ def validate(
     area_codes: Collection[str] | None = None,
     street_types: Sequence[str] | None = None,
     max_values_in_task: int = MAX_VALUES_IN_TASK,
-) -> dict[str, DataFrame]:
+) -> Reports:
     """All reports of a dataset by name.
 
     With `stage` the flagged table is written once to the shared folder and every report reads
@@ -179,36 +195,38 @@ def validate(
     )
     if stage:
         flagged = staged(flagged)
-    reports: dict[str, DataFrame] = {}
+    builders: dict[str, Callable[[], DataFrame]] = {}
 
     repeated = existing(config.duplicates, df.columns)
     if repeated:
-        reports["exact_duplicates"] = exact_duplicates(flagged, repeated, config.key, config.table)
+        builders["exact_duplicates"] = lambda: exact_duplicates(
+            df, repeated, config.key, config.table
+        )
     if config.required:
         needed = existing([*config.base_fields, *config.required], df.columns)
-        reports["null_required_fields"] = null_rows(flagged, needed)
+        builders["null_required_fields"] = lambda: null_rows(df, needed)
 
     roots = [config.addresses[key].root for key in sorted(config.addresses)]
     if roots:
-        reports["duplicate_addresses"] = exact_duplicates(
+        builders["duplicate_addresses"] = lambda: exact_duplicates(
             flagged, [f"{root}_full_address" for root in roots], config.key, config.table
         )
     for family, columns in flags.details.items():
-        reports[family] = report_columns(flagged, [*config.base_fields, VERDICT], columns)
+        builders[family] = partial(
+            report_columns, flagged, [*config.base_fields, VERDICT], columns
+        )
 
-    reports["validation_summary"] = flagged
-    texts = _printable(flagged)
+    def frequencies(columns: Sequence[str]) -> DataFrame:
+        return frequency(_printable(flagged), config.table, existing(columns, flagged.columns))
+
+    builders["validation_summary"] = lambda: flagged
+    messages = [f"{root}_addr_error_messg" for root in roots]
     if flags.checks:
-        messages = [f"{root}_addr_error_messg" for root in roots]
-        reports["check_frequency"] = frequency(texts, config.table, [*flags.checks, *messages])
-    reports["row_frequency"] = frequency(texts, config.table, [VERDICT])
+        builders["check_frequency"] = lambda: frequencies([*flags.checks, *messages])
+    builders["row_frequency"] = lambda: frequencies([VERDICT])
     shown = [c for columns in flags.details.values() for c in columns]
-    reports["column_frequency"] = frequency(
-        texts,
-        config.table,
-        existing([*config.base_fields, VERDICT, *shown], flagged.columns),
-    )
-    return reports
+    builders["column_frequency"] = lambda: frequencies([*config.base_fields, VERDICT, *shown])
+    return Reports(builders)
 
 
 def _printable(df: DataFrame) -> DataFrame:
@@ -219,7 +237,7 @@ def _printable(df: DataFrame) -> DataFrame:
     return df.withColumns(lists) if lists else df
 
 
-def write_reports(reports: dict[str, DataFrame], folder: str, name: str) -> None:
+def write_reports(reports: Mapping[str, DataFrame], folder: str, name: str) -> None:
     """Each report as a delimited directory; rule details use `|`, the others a comma."""
     commas = {
         "exact_duplicates", "null_required_fields", "duplicate_addresses", "validation_summary",
