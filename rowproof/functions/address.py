@@ -63,10 +63,12 @@ def parse_address(
     marked = F.when(c == "US", _parse_one(t, "US", street_types)).when(
         c == "CA", _parse_one(t, "CA", street_types)
     )
-    return address_struct(F.split(marked, MARK), c)
+    # The lambda's argument is computed once, though every field of the struct reads it.
+    once = F.transform(F.array(F.split(marked, MARK)), lambda pieces: _address_struct(pieces, c))
+    return F.get(once, F.lit(0))
 
 
-def address_struct(pieces: Column, country: Column) -> Column:
+def _address_struct(pieces: Column, country: Column) -> Column:
     def part(name: str) -> Column:
         piece = F.trim(F.get(pieces, F.lit(PARTS.index(name) + 1)))
         return F.when(piece != "", piece)

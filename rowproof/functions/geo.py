@@ -10,13 +10,9 @@ from rowproof.functions.text import col, one_of, only_letters, strip
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
-    """Value of the key in a fixed table. The map is one parsed expression, folded to a constant."""
-    items = ", ".join(_quoted(x) for item in table.items() for x in item)
-    return F.try_element_at(F.expr(f"map({items})"), key)
-
-
-def _quoted(text: str) -> str:
-    return '"' + text + '"'
+    """Value of the key in a fixed table, which is one text literal that folds to a constant map."""
+    text = ";".join(f"{name}={value}" for name, value in table.items())
+    return F.try_element_at(F.str_to_map(F.lit(text), F.lit(";"), F.lit("=")), key)
 
 
 def country_check(country: Column | str) -> Column:
