@@ -13,7 +13,9 @@ from rowproof.lexicon import word_pattern
 BLANKS = r"[\t-\r\x1c-\x20\x85\p{Z}]+"
 CONTROL = r"[\r\n\t\f]"
 NOT_PRINTABLE_ASCII = r"[^\x20-\x7E]+"
-TITLE_PIECES = r"[A-Za-z]+(?:'[A-Za-z]+)?|[^A-Za-z]+"
+ASCII_WORD = r"([A-Za-z]+(?:'[A-Za-z]+)?)"
+ASCII_STRETCH = r"[\x02-\x7F]+|[^\x02-\x7F]+"
+MARKED_BLANK = "\x01 "
 
 
 def col(c: Column | str) -> Column:
@@ -40,16 +42,20 @@ def identifier_text(value) -> str:
 
 
 def title_case(c: Column | str) -> Column:
-    """Upper-case the first letter of every ASCII word and lower-case the rest of it."""
-    pieces = F.regexp_extract_all(col(c), F.lit(TITLE_PIECES), F.lit(0))
-    worded = F.transform(
-        pieces,
-        lambda p: F.when(
-            p.rlike(r"\A[A-Za-z]"),
-            F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substr(p, F.lit(2)))),
-        ).otherwise(p),
+    """Upper-case the first letter of every ASCII word and lower-case the rest of it.
+
+    Every word of an ASCII stretch gets a marked blank in front, so that `initcap` sees it as a
+    word of its own; other characters are kept as they are.
+    """
+
+    def titled(stretch: Column) -> Column:
+        apart = F.regexp_replace(stretch, ASCII_WORD, MARKED_BLANK + "$1")
+        return F.replace(F.initcap(apart), F.lit(MARKED_BLANK), F.lit(""))
+
+    stretches = F.regexp_extract_all(col(c), F.lit(ASCII_STRETCH), F.lit(0))
+    return F.array_join(
+        F.transform(stretches, lambda s: F.when(s.rlike(r"\A[\x02-\x7F]"), titled(s)).otherwise(s)), ""
     )
-    return F.array_join(worded, "")
 
 
 def only_letters(c: Column | str) -> Column:

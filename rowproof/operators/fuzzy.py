@@ -2,8 +2,8 @@
 
 Two texts are compared through a normal form, so all work up to the last join is done once per
 distinct form. Pairs come from equi-joins on rare pieces (prefix filtering): texts that reach the
-threshold must share one of the rarest character pairs, or for word sets one of the rarest words,
-of either text. The bounds are proven in `_needed` and `_word_prefix`; they lose no match, and no
+threshold must share one of the rarest characters or character pairs, or for word sets one of the rarest words,
+of either text. The bounds are proven in `_needed`, `_always_needed` and `_word_prefix`; they lose no match, and no
 block of similar texts is capped. Values with an equal form are never paired with one another:
 the five smallest of them stand for the group.
 """
@@ -143,33 +143,52 @@ def candidate_pairs(forms: DataFrame, threshold: int) -> DataFrame:
 # ---- pairs that share characters -------------------------------------------------------------
 
 
-def _needed(m: Column, n: Column, share: float) -> Column:
-    """Character pairs two texts of lengths m and n must have in common.
+def _needed(both: Column, share: float, pieces: int) -> Column:
+    """Pieces that two texts of joined length `both` must have in common to reach `share`.
 
-    Their longest common subsequence has c >= share*(m+n)/2 characters. Padded with a blank on
-    both sides it has c+1 neighbouring pairs. Each of the m-c and n-c characters left out parts at
-    most one of them, so at least c+1-(m-c)-(n-c) = 3c-m-n+1 pairs are neighbours in both texts.
+    Their longest common subsequence has c >= share*both/2 characters, so they share c single
+    characters. Padded with a blank on both sides the subsequence has c+1 neighbouring pairs. Each
+    of the both-2c characters left out parts at most one of them, so at least
+    c+1-(both-2c) = 3c-both+1 pairs are neighbours in both texts.
     """
-    common = F.ceil(F.lit(share) * (m + n) / 2 - F.lit(1e-9))
-    return F.greatest(3 * common - m - n + 1, F.lit(1)).cast("int")
+    common = F.ceil(both * (share / 2) - 1e-9)
+    return (common if pieces == 1 else 3 * common - both + 1).cast("int")
 
 
-def _character_pairs(form: Column) -> Column:
-    """Neighbouring characters of the padded text as numbers; a repeat gets its own number.
+def _always_needed(both: Column, share: float, pieces: int) -> Column:
+    """The least of `_needed` over all joined lengths from `both` on.
+
+    Rounding makes `_needed` rise and fall; without it the bound only rises, for pairs of
+    characters as long as share >= 2/3.
+    """
+    least = both * (share / 2) if pieces == 1 else both * (1.5 * share - 1) + 1
+    return F.ceil(least - 1e-9).cast("int")
+
+
+def _pieces_for(share: float) -> int:
+    """Characters per piece: pairs are rarer, but only guaranteed to be shared from 2/3 on."""
+    return 2 if share >= 2 / 3 else 1
+
+
+def _bag(form: Column, pieces: int) -> Column:
+    """Pieces of the text as numbers; a repeat gets its own number.
 
     Two code points of 21 bits and a repeat count of 20 bits fit one long, so equal numbers mean
-    equal pairs. Blanks around every word make the bag independent of the order of the words.
+    equal pieces. Pairs are taken from the padded text; with a blank around every word the bag
+    does not depend on the order of the words.
     """
-    padded = F.concat(F.lit(" "), form, F.lit(" "))
-    places = F.sequence(F.lit(1), F.length(form) + 1)
-    pairs = F.array_sort(
-        F.transform(
-            places,
-            lambda i: F.shiftleft(F.ascii(F.substr(padded, i, F.lit(1))).cast("bigint"), 41)
-            + F.shiftleft(F.ascii(F.substr(padded, i + 1, F.lit(1))).cast("bigint"), 20),
-        )
-    )
-    return F.transform(pairs, lambda p, i: p + (i + 1 - F.array_position(pairs, p)))
+    padded = F.concat(F.lit(" "), form, F.lit(" ")) if pieces == 2 else form
+    places = F.sequence(F.lit(1), F.length(form) + pieces - 1)
+
+    def number(i: Column) -> Column:
+        first = F.ascii(F.substr(padded, i, F.lit(1))).cast("bigint")
+        if pieces == 1:
+            return F.shiftleft(first, 20)
+        second = F.ascii(F.substr(padded, i + 1, F.lit(1))).cast("bigint")
+        return F.shiftleft(first, 41) + F.shiftleft(second, 20)
+
+    found = F.array_sort(F.transform(places, number))
+    return F.transform(found, lambda p, i: p + (i + 1 - F.array_position(found, p)))
 
 
 def _rare_first(frame: DataFrame, pieces: str) -> DataFrame:
@@ -202,19 +221,20 @@ def _rare_first(frame: DataFrame, pieces: str) -> DataFrame:
 
 def _by_characters(forms: DataFrame, threshold: int) -> DataFrame:
     share = _share(threshold)
+    pieces = _pieces_for(share)
     m = F.length("form")
     flags = [f"is_{s}" for s in SCORERS]
     bags = forms.where(m > 0).select(
-        "form", *flags, m.alias("m"), _character_pairs(F.col("form")).alias("bag")
+        "form", *flags, m.alias("m"), _bag(F.col("form"), pieces).alias("bag")
     )
-    bags = staged(_rare_first(staged(bags), "bag"))
+    bags = staged(_rare_first(bags, "bag"))
     # The shorter text `a` may meet texts from its own length on, the longer one `b` texts down to
     # the shortest length whose ratio can still be reached.
     shortest = F.ceil(F.col("m") * share / (2 - share) - 1e-9)
-    size = F.col("m") + 1
 
     def prefix(partner: Column) -> Column:
-        return F.slice("bag", F.lit(1), size - _needed(F.col("m"), partner, share) + 1)
+        needed = _always_needed(F.col("m") + partner, share, pieces)
+        return F.slice("bag", F.lit(1), F.size("bag") - needed + 1)
 
     a = bags.select(
         F.col("form").alias("a"), *(F.col(f).alias(f"a_{f}") for f in flags),
@@ -234,7 +254,7 @@ def _by_characters(forms: DataFrame, threshold: int) -> DataFrame:
         & (F.get(F.array_intersect("apre", "bpre"), F.lit(0)) == F.col("piece"))
         & (
             F.size(F.array_intersect("abag", "bbag"))
-            >= _needed(F.col("am"), F.col("bm"), share)
+            >= _needed(F.col("am") + F.col("bm"), share, pieces)
         )
     )
     both = [(F.col(f"a_{f}") & F.col(f"b_{f}")).alias(f) for f in flags]
@@ -284,7 +304,7 @@ def _by_words(forms: DataFrame, threshold: int) -> DataFrame:
     """Pairs whose shared words cover most of at least one of the two texts."""
     share = _share(threshold)
     words = forms.where(F.length("form") > 0).select("form", F.split("form", " ").alias("words"))
-    words = staged(_rare_first(words, "words"))
+    words = _rare_first(words, "words")
     need = _word_need(F.col("form"), share)
     x = words.select(
         F.col("form").alias("x"), F.col("words").alias("xw"), need.alias("need"),

@@ -17,31 +17,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Values that `percentile` may hold in one task, over all columns of one aggregate.
-MAX_VALUES_IN_TASK = 4_000_000
+MAX_VALUES_IN_TASK = 1_000_000
 # Error bound of the guiding sketch: its rank is off by at most rows / SKETCH_ACCURACY.
-SKETCH_ACCURACY = 2_000
+SKETCH_ACCURACY = 10_000
+# Rows of all brackets together that may be fetched once they are known to be this few.
+MAX_FETCHED = 20_000
 
 
-@dataclass
-class _Target:
-    """Search for the value of 0-based `rank`; it lies strictly between `low` and `high`."""
+@dataclass(frozen=True)
+class _Bracket:
+    """The `inside` rows strictly between `low` and `high`; `below` rows are smaller or equal `low`."""
 
     column: str
-    rank: int
-    low: float | None = None
-    high: float | None = None
-    below: int = 0
-    inside: int = 0
-    value: float | None = None
-    failures: int = 0
-
-    def within(self, x: Column) -> Column:
+    low: float | None
+    high: float | None
+    below: int
+    inside: int
+    ranks: tuple[int, ...]
+
+    def values(self) -> Column:
+        """The column inside the bracket, null outside."""
+        x = F.col(self.column)
         cond = x.isNotNull()
         if self.low is not None:
             cond = cond & (x > F.lit(self.low))
         if self.high is not None:
             cond = cond & (x < F.lit(self.high))
-        return cond
+        return F.when(cond, x)
+
+    def shares(self) -> list[float]:
+        """Where to cut the bracket: closely around every wanted rank."""
+        margin = 2 / SKETCH_ACCURACY
+        cuts: list[float] = []
+        for rank in self.ranks:
+            share = (rank - self.below + 0.5) / self.inside
+            for cut in (share - margin, share + margin):
+                if not cuts or cut - cuts[-1] > margin / 2:
+                    cuts.append(cut)
+        return [min(max(cut, 0.0), 1.0) for cut in cuts]
 
 
 def quantile_values(
@@ -69,67 +82,76 @@ def _narrow(
 ) -> dict[str, list[float | None]]:
     sizes = df.agg(*(F.count(F.col(c)).alias(c) for c in columns)).first()
     positions = {c: [p * (sizes[c] - 1) for p in probabilities] for c in columns}
-    targets = {
-        (c, rank): _Target(c, rank, inside=sizes[c])
-        for c in columns
-        if sizes[c]
-        for pos in positions[c]
-        for rank in {floor(pos), min(floor(pos) + 1, sizes[c] - 1)}
-    }
-    while open_targets := [t for t in targets.values() if t.value is None]:
-        _pass(df, open_targets)
+    found: dict[tuple[str, int], float] = {}
+    brackets = []
+    for c in columns:
+        ranks = {r for pos in positions[c] for r in (floor(pos), min(floor(pos) + 1, sizes[c] - 1))}
+        if sizes[c]:
+            brackets.append(_Bracket(c, None, None, 0, sizes[c], tuple(sorted(ranks))))
+    while brackets:
+        if sum(b.inside for b in brackets) <= MAX_FETCHED:
+            _fetch(df, brackets, found)
+            break
+        brackets = _cut(df, brackets, found)
 
     def interpolate(c: str, pos: float) -> float | None:
         if not sizes[c]:
             return None
         lower = floor(pos)
-        a = targets[c, lower].value
-        b = targets[c, min(lower + 1, sizes[c] - 1)].value
+        a, b = found[c, lower], found[c, min(lower + 1, sizes[c] - 1)]
         return a if pos == lower else (lower + 1 - pos) * a + (pos - lower) * b
 
     return {c: [interpolate(c, pos) for pos in positions[c]] for c in columns}
 
 
-def _pass(df: DataFrame, targets: Sequence[_Target]) -> None:
-    """One sketch job for smaller brackets and one count job that decides what holds."""
-    sketches = []
-    for i, t in enumerate(targets):
-        x = F.col(t.column)
-        share = (t.rank - t.below + 0.5) / t.inside
-        margin = 2.0**t.failures * 2 / SKETCH_ACCURACY
-        edges = [max(share - margin, 0.0), min(share + margin, 1.0)]
-        sketch = F.percentile_approx(F.when(t.within(x), x), edges, SKETCH_ACCURACY)
-        sketches.append(sketch.alias(f"s{i}"))
-    edges = df.agg(*sketches).first()
+def _fetch(df: DataFrame, brackets: Sequence[_Bracket], found: dict) -> None:
+    """Read off the ranks from the few values that are left."""
+    lists = df.agg(
+        *(F.array_sort(F.collect_list(b.values())).alias(f"b{i}") for i, b in enumerate(brackets))
+    ).first()
+    for i, b in enumerate(brackets):
+        for rank in b.ranks:
+            found[b.column, rank] = lists[f"b{i}"][rank - b.below]
+
+
+def _cut(df: DataFrame, brackets: Sequence[_Bracket], found: dict) -> list[_Bracket]:
+    """One sketch job proposes edges inside the brackets, one count job decides what they hold.
+
+    Edges are values of the bracket, and brackets are open, so every pass leaves fewer rows.
+    """
+    sketches = df.agg(
+        *(
+            F.percentile_approx(b.values(), b.shares(), SKETCH_ACCURACY).alias(f"b{i}")
+            for i, b in enumerate(brackets)
+        )
+    ).first()
+    edges = [sorted(set(sketches[f"b{i}"])) for i in range(len(brackets))]
 
     counts = []
-    for i, t in enumerate(targets):
-        x, (low, high) = F.col(t.column), edges[f"s{i}"]
-        inside = t.within(x)
-        counts += [
-            F.count_if(inside & (x < low)).alias(f"lt{i}"),
-            F.count_if(inside & (x == low)).alias(f"lo{i}"),
-            F.count_if(inside & (x > low) & (x < high)).alias(f"in{i}"),
-            F.count_if(inside & (x == high)).alias(f"hi{i}"),
-        ]
+    for i, b in enumerate(brackets):
+        x = b.values()
+        bounds = [None, *edges[i], None]
+        for j, (low, high) in enumerate(zip(bounds, bounds[1:])):
+            gap = x.isNotNull()
+            gap = gap if low is None else gap & (x > F.lit(low))
+            gap = gap if high is None else gap & (x < F.lit(high))
+            counts.append(F.count_if(gap).alias(f"gap{i}_{j}"))
+            if high is not None:
+                counts.append(F.count_if(x == F.lit(high)).alias(f"at{i}_{j}"))
     row = df.agg(*counts).first()
 
-    for i, t in enumerate(targets):
-        low, high = edges[f"s{i}"]
-        under = t.below + row[f"lt{i}"]
-        to_low = under + row[f"lo{i}"]
-        to_high = to_low + row[f"in{i}"]
-        past_high = to_high + (row[f"hi{i}"] if high > low else 0)
-        if t.rank < under:
-            t.high, t.inside = low, row[f"lt{i}"]
-            t.failures += 1
-        elif t.rank < to_low:
-            t.value = low
-        elif t.rank < to_high:
-            t.below, t.inside, t.low, t.high = to_low, row[f"in{i}"], low, high
-        elif t.rank < past_high:
-            t.value = high
-        else:
-            t.inside = t.below + t.inside - past_high
-            t.below, t.low = past_high, high
-            t.failures += 1
+    left = []
+    for i, b in enumerate(brackets):
+        bounds = [b.low, *edges[i], b.high]
+        below = b.below
+        for j, (low, high) in enumerate(zip(bounds, bounds[1:])):
+            inside = row[f"gap{i}_{j}"]
+            ranks = tuple(r for r in b.ranks if below <= r < below + inside)
+            if ranks:
+                left.append(_Bracket(b.column, low, high, below, inside, ranks))
+            below += inside
+            if j < len(edges[i]):
+                at = row[f"at{i}_{j}"]
+                found |= {(b.column, r): high for r in b.ranks if below <= r < below + at}
+                below += at
+    return left

@@ -145,7 +145,7 @@ def read_query_file(
     spark: SparkSession, path: str, jdbc: Mapping[str, str] | None = None
 ) -> DataFrame:
     """`read_query` for the text of a `.sql` file on any file system Spark can reach."""
-    text = spark.read.option("wholetext", True).text(path).first()["value"]
+    text = spark.read.text(path, wholetext=True).first()["value"]
     return read_query(spark, text.strip().rstrip(";"), jdbc)
 
 
