@@ -19,16 +19,7 @@ def exact_duplicates(
     semi-join. No group of copies is gathered anywhere: AQE splits the join partition of a value
     that fills a large part of the table.
     """
-    names = list(dict.fromkeys(columns))
-    texts = df.select(
-        F.col(primary_key).cast("string").alias("table_primary_key"),
-        *(F.col(c).cast("string").alias(f"__{i}") for i, c in enumerate(names)),
-    )
-    pieces = F.stack(
-        F.lit(len(names)),
-        *(x for i, c in enumerate(names) for x in (F.lit(c), F.col(f"__{i}"))),
-    ).alias("table_column", "field_value")
-    long = texts.select("table_primary_key", pieces).where(F.col("field_value").isNotNull())
+    long = _long_values(df, list(dict.fromkeys(columns)), primary_key)
     keys = ["table_column", "field_value"]
     repeated = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
     return long.join(repeated, keys, "left_semi").select(
@@ -39,6 +30,21 @@ def exact_duplicates(
     )
 
 
+def _long_values(df: DataFrame, columns: Sequence[str], primary_key: str) -> DataFrame:
+    """One row per key, column and value that is not null."""
+    key = F.col(primary_key).cast("string").alias("table_primary_key")
+    if len(columns) == 1:
+        # Without unpivoting the null filter reaches the scan.
+        present = df.where(F.col(columns[0]).isNotNull())
+        value = F.col(columns[0]).cast("string").alias("field_value")
+        return present.select(key, F.lit(columns[0]).alias("table_column"), value)
+    texts = (F.col(c).cast("string") for c in columns)
+    pieces = F.stack(
+        F.lit(len(columns)), *(x for c, text in zip(columns, texts) for x in (F.lit(c), text))
+    ).alias("table_column", "field_value")
+    return df.select(key, pieces).where(F.col("field_value").isNotNull())
+
+
 def duplicates_by_column(df: DataFrame, column: str, primary_key: str) -> DataFrame:
     """Key and value of the rows that share their value, sorted by value."""
     values = df.select(primary_key, column).where(F.col(column).isNotNull())
