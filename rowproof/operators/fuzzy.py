@@ -27,6 +27,8 @@ KEEP = 5
 THRESHOLD = 85
 # Frequent pieces whose rank is known to every task; all rarer pieces rank before them.
 RANKED_PIECES = 512
+# 64-bit words of the bit sets that rule out most pairs before their bags are compared.
+MASK_WORDS = 4
 
 
 def _share(threshold: int) -> float:
@@ -219,6 +221,30 @@ def _rare_first(frame: DataFrame, pieces: str) -> DataFrame:
     return ranked.drop("ranks")
 
 
+def _masks(bag: Column) -> list[Column]:
+    """The bag as a set of MASK_WORDS * 64 bits: every piece sets the bit that its hash names."""
+
+    def word(i: int) -> Column:
+        def add(bits: Column, piece: Column) -> Column:
+            place = F.pmod(F.xxhash64(piece), F.lit(MASK_WORDS * 64))
+            here = F.floor(place / 64) == i
+            bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
+            return bits.bitwiseOR(F.when(here, bit).otherwise(F.lit(0).cast("bigint")))
+
+        return F.aggregate(bag, F.lit(0).cast("bigint"), add)
+
+    return [word(i).alias(f"mask{i}") for i in range(MASK_WORDS)]
+
+
+def _missing_bits(a: str, b: str) -> Column:
+    """Bits of `a` that `b` lacks: at least so many pieces of `a` are not in `b`."""
+    words = [
+        F.bit_count(F.col(f"{a}mask{i}").bitwiseAND(F.bitwise_not(F.col(f"{b}mask{i}"))))
+        for i in range(MASK_WORDS)
+    ]
+    return reduce(lambda x, y: x + y, words)
+
+
 def _by_characters(forms: DataFrame, threshold: int) -> DataFrame:
     share = _share(threshold)
     pieces = _pieces_for(share)
@@ -227,7 +253,7 @@ def _by_characters(forms: DataFrame, threshold: int) -> DataFrame:
     bags = forms.where(m > 0).select(
         "form", *flags, m.alias("m"), _bag(F.col("form"), pieces).alias("bag")
     )
-    bags = staged(_rare_first(bags, "bag"))
+    bags = staged(_rare_first(bags, "bag").select("*", *_masks(F.col("bag"))))
     # The shorter text `a` may meet texts from its own length on, the longer one `b` texts down to
     # the shortest length whose ratio can still be reached.
     shortest = F.ceil(F.col("m") * share / (2 - share) - 1e-9)
@@ -236,26 +262,30 @@ def _by_characters(forms: DataFrame, threshold: int) -> DataFrame:
         needed = _always_needed(F.col("m") + partner, share, pieces)
         return F.slice("bag", F.lit(1), F.size("bag") - needed + 1)
 
+    def masks(side: str) -> list[Column]:
+        return [F.col(f"mask{i}").alias(f"{side}mask{i}") for i in range(MASK_WORDS)]
+
     a = bags.select(
         F.col("form").alias("a"), *(F.col(f).alias(f"a_{f}") for f in flags),
-        F.col("m").alias("am"), F.col("bag").alias("abag"), prefix(F.col("m")).alias("apre"),
+        F.col("m").alias("am"), F.col("bag").alias("abag"), *masks("a"),
+        prefix(F.col("m")).alias("apre"),
     ).withColumn("piece", F.explode("apre"))
     b = bags.select(
         F.col("form").alias("b"), *(F.col(f).alias(f"b_{f}") for f in flags),
-        F.col("m").alias("bm"), F.col("bag").alias("bbag"), prefix(shortest).alias("bpre"),
+        F.col("m").alias("bm"), F.col("bag").alias("bbag"), *masks("b"),
+        prefix(shortest).alias("bpre"),
     ).withColumn("piece", F.explode("bpre"))
     ordered = (F.col("am") < F.col("bm")) | ((F.col("am") == F.col("bm")) & (F.col("a") < F.col("b")))
     in_reach = F.col("am") >= F.col("bm") * (share / (2 - share)) - 1e-9
+    needed = _needed(F.col("am") + F.col("bm"), share, pieces)
     # Exploding multiplies the rows, which size estimates do not see: no broadcast of either side.
     joined = a.join(b.hint("merge"), "piece").where(
         ordered
         & in_reach
+        & (F.size("abag") - _missing_bits("a", "b") >= needed)
         # A pair that shares several prefix pieces is kept at the first of them.
         & (F.get(F.array_intersect("apre", "bpre"), F.lit(0)) == F.col("piece"))
-        & (
-            F.size(F.array_intersect("abag", "bbag"))
-            >= _needed(F.col("am") + F.col("bm"), share, pieces)
-        )
+        & (F.size(F.array_intersect("abag", "bbag")) >= needed)
     )
     both = [(F.col(f"a_{f}") & F.col(f"b_{f}")).alias(f) for f in flags]
     return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *both).where(
@@ -329,34 +359,42 @@ def _by_words(forms: DataFrame, threshold: int) -> DataFrame:
 # ---- report forms ----------------------------------------------------------------------------
 
 
-def _scored(text: str) -> Column:
-    return F.concat(F.col(text), F.lit(": "), F.col("score").cast("string"))
-
-
-def match_lists(matches: DataFrame, scorer: str) -> DataFrame:
-    """Per match the list `value: score, ...` of one scorer, values in order."""
-    listed = F.array_sort(F.collect_list(F.struct("value", _scored("value").alias("text"))))
-    return (
-        matches.where(F.col("scorer") == scorer)
-        .groupBy(F.col("match").alias("value"))
-        .agg(F.array_join(F.transform(listed, lambda s: s["text"]), ", ").alias(scorer))
-    )
+def _match_list(scorer: str) -> Column:
+    """The group's rows of one scorer as `value: score, ...`, sorted by value."""
+    text = F.concat("value", F.lit(": "), F.col("score").cast("string"))
+    entry = F.when(F.col("scorer") == scorer, F.struct("value", text.alias("text")))
+    entries = F.array_sort(F.collect_list(entry))
+    return F.array_join(F.transform(entries, lambda e: e["text"]), ", ").alias(scorer)
 
 
 def compare_scores(matches: DataFrame) -> DataFrame:
-    """Both scorers' lists side by side, empty text where one has none."""
-    sort, by_set = (match_lists(matches, s) for s in SCORERS)
-    return sort.join(by_set, "value", "full_outer").fillna("", subset=list(SCORERS))
-
+    """Per match both scorers' lists `value: score, ...`, empty text where one has none.
 
-def score_lists(matches: DataFrame, scorer: str) -> DataFrame:
-    """Lists of one scorer by score: matches of a value (sort), or values of a match (set)."""
-    key, listed = ("value", "match") if scorer == "token_sort_ratio" else ("match", "value")
+    Both lists come from one grouping, so the matching is not computed again to join them.
+    """
+    return matches.groupBy(F.col("match")).agg(
+        *(_match_list(s) for s in SCORERS)
+    ).withColumnRenamed("match", "value")
+
+
+def score_lists(matches: DataFrame, scorers: Sequence[str] = SCORERS) -> DataFrame:
+    """Lists by score: the matches of a value for sorted words, the values of a match for word sets."""
+    by_value = F.col("scorer") == "token_sort_ratio"
+    rows = matches.where(F.col("scorer").isin(list(scorers))).select(
+        "scorer",
+        "score",
+        F.when(by_value, F.col("value")).otherwise(F.col("match")).alias("key"),
+        F.when(by_value, F.col("match")).otherwise(F.col("value")).alias("item"),
+    )
     return (
-        matches.where(F.col("scorer") == scorer)
-        .groupBy(key, "score")
-        .agg(F.array_join(F.array_sort(F.collect_list(listed)), ", ").alias(listed))
-        .orderBy(F.desc("score"), key)
+        rows.groupBy("scorer", "key", "score")
+        .agg(F.array_join(F.array_sort(F.collect_list("item")), ", ").alias("items"))
+        .select(
+            "scorer",
+            F.when(by_value, F.col("key")).otherwise(F.col("items")).alias("value"),
+            "score",
+            F.when(by_value, F.col("items")).otherwise(F.col("key")).alias("match"),
+        )
     )
 
 
@@ -376,14 +414,12 @@ def find_fuzzy_matches(
 def multi_fuzzy_matches(
     df: DataFrame, columns: Sequence[str], threshold: int = THRESHOLD
 ) -> DataFrame:
-    """`score_lists` of every column and scorer: `table_column, scorer, value, score, match`."""
-    parts = []
-    for c in columns:
-        matches = fuzzy_matches(df, c, threshold)
-        parts += [
-            score_lists(matches, s).select(
-                F.lit(c).alias("table_column"), F.lit(s).alias("scorer"), "value", "score", "match"
-            )
-            for s in SCORERS
-        ]
+    """`score_lists` of every column: `table_column, scorer, value, score, match`.
+
+    A report sink may order it by falling score.
+    """
+    parts = [
+        score_lists(fuzzy_matches(df, c, threshold)).select(F.lit(c).alias("table_column"), "*")
+        for c in columns
+    ]
     return reduce(DataFrame.unionByName, parts)
