@@ -25,8 +25,8 @@ from rowproof.sources.staging import staged
 SCORERS = ("token_sort_ratio", "token_set_ratio")
 KEEP = 5
 THRESHOLD = 85
-# Frequent pieces whose rank is known to every task; all rarer pieces rank before them.
-RANKED_PIECES = 512
+# Hash buckets in which the frequency of pieces is counted.
+RANK_BUCKETS = 4096
 # 64-bit words of the bit sets that rule out most pairs before their bags are compared.
 MASK_WORDS = 4
 
@@ -189,49 +189,55 @@ def _bag(form: Column, pieces: int) -> Column:
         second = F.ascii(F.substr(padded, i + 1, F.lit(1))).cast("bigint")
         return F.shiftleft(first, 41) + F.shiftleft(second, 20)
 
-    found = F.array_sort(F.transform(places, number))
-    return F.transform(found, lambda p, i: p + (i + 1 - F.array_position(found, p)))
+    def numbered(found: Column) -> Column:
+        return F.transform(found, lambda p, i: p + (i + 1 - F.array_position(found, p)))
+
+    # The outer lambda's argument is sorted once, not once per piece.
+    return F.get(F.transform(F.array(F.array_sort(F.transform(places, number))), numbered), F.lit(0))
+
+
+def _bucket(piece: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(piece), F.lit(buckets)).cast("int")
 
 
 def _rare_first(frame: DataFrame, pieces: str) -> DataFrame:
-    """Sort the array column by how many rows hold each piece, rarest first.
+    """Sort the array column by how often its pieces occur in the table, rarest first.
 
-    The order is one value for all rows: a map of the most frequent pieces, which has a fixed
-    bound. Pieces outside of it come first, in their own order. Any common order gives the same
-    pairs; this one keeps frequent pieces out of the join keys.
+    Pieces are counted by hash bucket, so what every task must know is one array of fixed size.
+    Any common order gives the same pairs; this one keeps frequent pieces out of the join keys.
     """
-    frequent = (
+    counted = (
         frame.select(F.explode(pieces).alias("piece"))
-        .groupBy("piece")
+        .groupBy(_bucket(F.col("piece"), RANK_BUCKETS).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "piece")
-        .limit(RANKED_PIECES)
-        .agg(F.map_from_entries(F.collect_list(F.struct("piece", "n"))).alias("ranks"))
-        .scalar()
+        .agg(F.map_from_entries(F.collect_list(F.struct("bucket", "n"))).alias("counts"))
     )
+    every = F.sequence(F.lit(0), F.lit(RANK_BUCKETS - 1))
+    ranks = counted.select(
+        F.transform(every, lambda i: F.coalesce(F.try_element_at("counts", i), F.lit(0)))
+    ).scalar()
     ordered = F.array_sort(
         F.transform(
             pieces,
-            lambda p: F.struct(
-                F.coalesce(F.try_element_at("ranks", p), F.lit(0)).alias("n"), p.alias("p")
-            ),
+            lambda p: F.struct(F.get("ranks", _bucket(p, RANK_BUCKETS)).alias("n"), p.alias("p")),
         )
     )
-    ranked = frame.withColumn("ranks", frequent).withColumn(pieces, ordered["p"])
-    return ranked.drop("ranks")
+    return frame.withColumn("ranks", ranks).withColumn(pieces, ordered["p"]).drop("ranks")
 
 
 def _masks(bag: Column) -> list[Column]:
     """The bag as a set of MASK_WORDS * 64 bits: every piece sets the bit that its hash names."""
 
+    places = F.transform(bag, lambda piece: _bucket(piece, MASK_WORDS * 64))
+
     def word(i: int) -> Column:
-        def add(bits: Column, piece: Column) -> Column:
-            place = F.pmod(F.xxhash64(piece), F.lit(MASK_WORDS * 64))
-            here = F.floor(place / 64) == i
-            bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
+        def add(bits: Column, place: Column) -> Column:
+            # A shift of a long uses the last six bits of the place.
+            bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+            here = F.shiftright(place, 6) == i
             return bits.bitwiseOR(F.when(here, bit).otherwise(F.lit(0).cast("bigint")))
 
-        return F.aggregate(bag, F.lit(0).cast("bigint"), add)
+        return F.aggregate(places, F.lit(0).cast("bigint"), add)
 
     return [word(i).alias(f"mask{i}") for i in range(MASK_WORDS)]
 
@@ -250,7 +256,9 @@ def _by_characters(forms: DataFrame, threshold: int) -> DataFrame:
     pieces = _pieces_for(share)
     m = F.length("form")
     flags = [f"is_{s}" for s in SCORERS]
-    bags = forms.where(m > 0).select(
+    # Bags cost far more time than bytes, by which partitions would be sized.
+    tasks = forms.sparkSession.sparkContext.defaultParallelism
+    bags = forms.where(m > 0).repartition(tasks).select(
         "form", *flags, m.alias("m"), _bag(F.col("form"), pieces).alias("bag")
     )
     bags = staged(_rare_first(bags, "bag").select("*", *_masks(F.col("bag"))))
