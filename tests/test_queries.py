@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import differences, duck
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
@@ -17,13 +19,13 @@ def connection():
 
 
 def test_every_query_has_an_equivalent():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, connection, name):
-    df = contract.queries()[name](spark, FOLDER)
-    assert differences(df, connection, contract.oracle_sql()[name]) == []
+    df = QUERIES[name](spark, FOLDER)
+    assert differences(df, connection, ORACLES[name]) == []
 
 
 def test_entry(spark):
