@@ -18,7 +18,7 @@ not learned from. Other columns of the input are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -208,8 +208,8 @@ def bit_weights(train: DataFrame, codes: Codes) -> np.ndarray:
     return weight / weight.sum()
 
 
-def predict(docs: DataFrame, codes: Codes | None) -> DataFrame:
-    """doc_id, lang_pred, score, ambiguous for every row of `docs` (doc_id, text)."""
+def predict(docs: DataFrame, codes: Codes | None, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """lang_pred, score, ambiguous beside the columns `carry` for every row of `docs`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,16 +227,16 @@ def predict(docs: DataFrame, codes: Codes | None) -> DataFrame:
             names = np.array([*(codes.names if codes else []), UNKNOWN], object)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc_id": batch.column("doc_id"),
+                    **{name: batch.column(f"c_{name}") for name in carry},
                     "lang_pred": pa.array(names[np.where(known, best, len(names) - 1)], pa.string()),
                     "score": np.where(known, score, 0.0),
                     "ambiguous": near & known,
                 }
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, ambiguous boolean")
+    kinds = [f"`{name}` {docs.schema[name].dataType.simpleString()}" for name in carry]
+    rows = docs.select(*(docs[name].alias(f"c_{name}") for name in carry), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, ", ".join([*kinds, "lang_pred string, score double, ambiguous boolean"]))
 
 
 def held_out(column: str = "doc_id") -> Column:

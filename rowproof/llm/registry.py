@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from rowproof.llm import exactdedup, language, mixing
+from rowproof.llm import exactdedup, language, mixing, packing, toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
+        toxicity.op1_toxicity,
         language.op2_language_id,
         mixing.op7_mixing,
+        packing.op8_packing,
         exactdedup.op9_exact_dedup,
     )
 }

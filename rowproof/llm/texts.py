@@ -103,12 +103,17 @@ def span_hash(h: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0)
     return mix((h[end] - h[start]) * down[start] + size, seed)
 
 
-def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every word, and for every text the number of words before it."""
+def word_bounds(
+    data: np.ndarray, at: np.ndarray, gap: np.ndarray = IS_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of every word, and for every text the number of words before it.
+
+    `gap` tells for each byte value whether it stands between words.
+    """
     n = len(data)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(at), np.int64)
-    space = IS_SPACE[data]
+    space = gap[data]
     filled = at[:-1][at[:-1] < at[1:]]
     before = np.empty(n, bool)
     before[0], before[1:] = True, space[:-1]
