@@ -1 +1,8 @@
 """Operators for training-data pipelines. Nothing outside this package imports it."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# What tasks run travels with them, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
