@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from rowproof.llm import exactdedup, language, mixing, packing, toxicity
+from rowproof.llm import exactdedup, language, mixing, packing, suffixes, superkmers, toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
         toxicity.op1_toxicity,
         language.op2_language_id,
+        suffixes.op4_suffix_dedup,
         mixing.op7_mixing,
         packing.op8_packing,
         exactdedup.op9_exact_dedup,
+        superkmers.op10_superkmer_dedup,
     )
 }
 ORACLES = {"op7_mixing": mixing.ORACLE, "op9_exact_dedup": exactdedup.ORACLE}
