@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from rowproof.llm import exactdedup, language, mixing, packing, suffixes, superkmers, toxicity
+from rowproof.llm import exactdedup, language, mixing, packing, suffixes, superkmers, toxicity, vectors
 
 QUERIES = {
     f.__name__: f
     for f in (
         toxicity.op1_toxicity,
         language.op2_language_id,
+        vectors.op3_vector_dedup,
         suffixes.op4_suffix_dedup,
         mixing.op7_mixing,
         packing.op8_packing,
