@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rowproof.llm import exactdedup, language, mixing, packing, suffixes, superkmers, toxicity, vectors
+from rowproof.llm import exactdedup, interpolation, language, mixing, packing, suffixes, superkmers, toxicity, vectors
 
 QUERIES = {
     f.__name__: f
@@ -11,6 +11,7 @@ QUERIES = {
         language.op2_language_id,
         vectors.op3_vector_dedup,
         suffixes.op4_suffix_dedup,
+        interpolation.op5_lm_scoring,
         mixing.op7_mixing,
         packing.op8_packing,
         exactdedup.op9_exact_dedup,
