@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rowproof.llm import exactdedup, interpolation, language, mixing, packing, suffixes, superkmers, toxicity, vectors
+from rowproof.llm import exactdedup, interpolation, jaccard, language, mixing, packing, suffixes, superkmers, toxicity, vectors
 
 QUERIES = {
     f.__name__: f
@@ -12,6 +12,7 @@ QUERIES = {
         vectors.op3_vector_dedup,
         suffixes.op4_suffix_dedup,
         interpolation.op5_lm_scoring,
+        jaccard.op6_jaccard_join,
         mixing.op7_mixing,
         packing.op8_packing,
         exactdedup.op9_exact_dedup,
