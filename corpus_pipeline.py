@@ -1,31 +1,63 @@
 """Language ID, exact dedup, near-duplicate join, mixing and packing, one after another.
 
 Every stage takes what its predecessor kept, is written as Parquet in the shared folder and read again.
+All but the last return the columns of `documents`. A document goes when its language cannot be told
+(no letters, no text, or two languages alike), when an equal text stays instead, when an earlier document
+of its near-duplicate group stays instead, or when the mix does not draw it; every other one stays whole.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowproof.llm import exactdedup, language, mixing
+from rowproof.llm import exactdedup, jaccard, language, mixing, packing
 from rowproof.llm.texts import table
 from rowproof.sources.staging import staged
 
-#: Where the rows of `documents` go on in every stage but the last.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _only(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of `docs` whose doc_id (null is one too) is among the decided ones."""
+    chosen = decided.select(F.col("doc_id").alias("chosen_id"))
+    return docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("chosen_id")), "left_semi").select(*COLUMNS)
+
+
 def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents whose language is told: no letters, or two languages alike, and a document goes."""
     codes = language.learn(docs.filter(~language.held_out()))
     told = language.predict(docs, codes, carry=COLUMNS)
     return told.filter((told["lang_pred"] != language.UNKNOWN) & ~told["ambiguous"]).select(*COLUMNS)
 
 
-#: The model of the first stage cannot be put in SQL; tests hold the stages against brute force.
-ORACLE_SQL = None
+def without_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return _only(docs, exactdedup.exact_duplicates(docs).filter("kept"))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The document of the smallest id stays of each group."""
+    found = jaccard.joined(docs)
+    return _only(docs, found.filter(found["doc_id"].eqNullSafe(found["component_id"])))
+
 
-STAGES = [("language ID", known_language)]
+def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return _only(docs, mixing.mixed(docs).filter("kept"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return packing.packed(docs)
+
+
+STAGES = [
+    ("language ID", known_language),
+    ("exact dedup", without_copies),
+    ("n-gram Jaccard join", without_near_copies),
+    ("mixing to target weights", mixed),
+    ("packing", packed),
+]
+
+#: Language models and token ids are not SQL: tests hold the stages against brute-force versions.
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
