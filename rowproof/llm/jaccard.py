@@ -15,8 +15,8 @@ every prefix token's documents are compared with one of them only, the one with
 token and are not yet connected are compared, all of them, so no link between two groups is missed. Links
 inside a connected group change nothing and are not looked for.
 
-Defined cases: a null text or one without words has an empty set and links with nothing. A null doc_id
-links with nothing. Rows sharing a doc_id are one node with the links of all its texts. Other columns are
+Defined cases: a null text or one without words has an empty set and links with nothing. A row with
+a null doc_id belongs to the group of an equal set, else to none. Rows sharing a doc_id are one node with the links of all its texts. Other columns are
 not read. Shingles are told apart by 64-bit hashes.
 """
 
