@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from checks.relations import ADDRESSES_CTE, CONTACTS_CTE, ZIP_CTE
+from checks.relations import ADDRESSES_CTE, CONTACTS_CTE, LINES_CTE, MEASURES_CTE, STREET_WORDS, ZIP_CTE
 from rowproof import lexicon
-from rowproof.functions.address import PO_BOX, address_pattern
-from rowproof.functions.contact import EMAIL_CHECK, EMAIL_SYNTAX
-from rowproof.functions.phone import EXTENSION_TAIL
 
 
 def q(text: str) -> str:
@@ -216,49 +213,73 @@ def histogram() -> str:
     return " UNION ALL ".join(rows)
 
 
-DESCRIBE_TABLE = """WITH s AS (
-    SELECT count(*) AS n,
-        (SELECT p_name FROM part GROUP BY 1 ORDER BY count(*) DESC, p_name LIMIT 1) AS name_top,
-        (SELECT count(*) FROM part GROUP BY p_name ORDER BY count(*) DESC LIMIT 1) AS name_freq,
-        (SELECT p_type FROM part GROUP BY 1 ORDER BY count(*) DESC, p_type LIMIT 1) AS type_top,
-        (SELECT count(*) FROM part GROUP BY p_type ORDER BY count(*) DESC LIMIT 1) AS type_freq,
-        count(DISTINCT p_name) AS names, count(DISTINCT p_type) AS types FROM part),
-    r(i, categories) AS (VALUES (0, 'count'), (1, 'unique'), (2, 'top'), (3, 'freq'), (4, 'mean'),
-        (5, 'std'), (6, 'min'), (7, '25%'), (8, '50%'), (9, '75%'), (10, 'max'), (11, 'data_types'),
-        (12, 'null_counts'), (13, 'total_rows')),
-    m AS (SELECT {numbers} FROM part)
-    SELECT categories,
-        CASE i WHEN 0 THEN n::VARCHAR WHEN 1 THEN names::VARCHAR WHEN 2 THEN name_top
-            WHEN 3 THEN name_freq::VARCHAR WHEN 11 THEN 'string' WHEN 12 THEN '0'
-            WHEN 13 THEN n::VARCHAR END AS p_name,
-        CASE i WHEN 0 THEN n::VARCHAR WHEN 1 THEN types::VARCHAR WHEN 2 THEN type_top
-            WHEN 3 THEN type_freq::VARCHAR WHEN 11 THEN 'string' WHEN 12 THEN '0'
-            WHEN 13 THEN n::VARCHAR END AS p_type,
-        {cases},
-        CASE i WHEN 0 THEN n::VARCHAR WHEN 11 THEN 'int' WHEN 12 THEN '0'
-            WHEN 13 THEN n::VARCHAR END AS p_size,
-        CASE i WHEN 0 THEN n::VARCHAR WHEN 11 THEN 'double' WHEN 12 THEN '0'
-            WHEN 13 THEN n::VARCHAR END AS p_retailprice
-    FROM r, s, m""".format(
-    numbers=", ".join(
-        f"round({e.format(x=f'CAST({c} AS DOUBLE)')}, 4) AS {c}_{i}"
-        for c in ("p_size", "p_retailprice")
-        for i, e in (
-            (4, "avg({x})"), (5, "stddev_samp({x})"), (6, "min({x})"),
-            (7, "quantile_cont({x}, 0.25)"), (8, "quantile_cont({x}, 0.5)"),
-            (9, "quantile_cont({x}, 0.75)"), (10, "max({x})"),
-        )
-    ),
-    cases=", ".join(
-        f"CASE i {' '.join(f'WHEN {i} THEN {c}_{i}' for i in range(4, 11))} END AS {c}_number"
-        for c in ("p_size", "p_retailprice")
-    ),
+def describe_report(source: str, columns: dict[str, str]) -> str:
+    """One row per column and statistic of the transposed report."""
+    rows = []
+    for c, kind in columns.items():
+        x, numeric = f"CAST({c} AS DOUBLE)", kind != "string"
+        numbers = {
+            "mean": f"avg({x})", "std": f"stddev_samp({x})", "min": f"min({x})", "25%": f"quantile_cont({x}, 0.25)",
+            "50%": f"quantile_cont({x}, 0.5)", "75%": f"quantile_cont({x}, 0.75)", "max": f"max({x})",
+        }
+        top = f"(SELECT {{pick}} FROM (SELECT {c} AS v, count(*) AS n FROM {source} GROUP BY 1 ORDER BY n DESC, v LIMIT 1))"
+        texts = {
+            "count": f"CAST(count({c}) AS VARCHAR)", "data_types": f"max({q(kind)})",
+            "null_counts": f"CAST(count(*) - count({c}) AS VARCHAR)", "total_rows": "CAST(count(*) AS VARCHAR)",
+            "unique": "max(NULL::VARCHAR)" if numeric else f"CAST(count(DISTINCT {c}) AS VARCHAR)",
+            "top": "max(NULL::VARCHAR)" if numeric else f"max({top.format(pick='v')})",
+            "freq": "max(NULL::VARCHAR)" if numeric else f"CAST(max({top.format(pick='n')}) AS VARCHAR)",
+        }
+        rows += [
+            f"""SELECT {q(label)} AS categories, {q(c)} AS column_name,
+            {f'round({value}, 3)' if numeric else 'max(CAST(NULL AS DOUBLE))'} AS number, CAST(NULL AS VARCHAR) AS text FROM {source}"""
+            for label, value in numbers.items()
+        ]
+        rows += [
+            f"""SELECT {q(label)}, {q(c)}, CAST(NULL AS DOUBLE), {value} FROM {source}"""
+            for label, value in texts.items()
+        ]
+    return " UNION ALL ".join(rows)
+
+
+# ---- missing values --------------------------------------------------------------------------
+
+# The same rows with NaN as null, for which every other rule holds.
+CLEAN_MEASURES = f"""{MEASURES_CTE}, clean AS (SELECT id, CASE WHEN NOT isnan(few) THEN few END AS few,
+    CASE WHEN NOT isnan(many) THEN many END AS many, CASE WHEN NOT isnan(endless) THEN endless END AS endless
+    FROM measures)"""
+
+
+def nan_statistics() -> str:
+    rows = [
+        f"""SELECT {q(c)} AS column_name, round(avg({c}), 4) AS mean, round(quantile_cont({c}, 0.5), 4) AS median,
+        round(stddev_samp({c}), 4) AS std, round(var_samp({c}), 1) AS variance, {quartile_fields(c)},
+        round(avg({c}) + 3 * stddev_samp({c}), 4) AS upper, round(avg({c}) - 3 * stddev_samp({c}), 4) AS lower FROM clean"""
+        for c in ("few", "many")
+    ]
+    none = ", ".join(f"NULL AS {x}" for x in ("mean", "median", "std", "variance"))
+    rows.append(f"SELECT 'endless' AS column_name, {none}, {quartile_fields('endless')}, NULL AS upper, NULL AS lower FROM clean")
+    return f"WITH {CLEAN_MEASURES} " + " UNION ALL ".join(rows)
+
+
+def fenced(c: str) -> str:
+    return f"coalesce({c} < {c}1 - ({c}3 - {c}1) * 1.5 OR {c} > {c}3 + ({c}3 - {c}1) * 1.5, false)"
+
+
+NAN_FLAGS = f"""WITH {CLEAN_MEASURES}, s AS (SELECT
+    avg(coalesce(few, 0)) AS fm, stddev_pop(coalesce(few, 0)) AS fs,
+    avg(coalesce(many, 0)) AS mm, stddev_pop(coalesce(many, 0)) AS ms,
+    {', '.join(f'quantile_cont({c}, 0.{n}) AS {c}{k}' for c in ('few', 'many', 'endless') for n, k in ((25, 1), (75, 3)))}
+    FROM clean)"""
+
+NAN_PROFILE = f"WITH {CLEAN_MEASURES} " + " UNION ALL ".join(
+    profile_row(c, "double").replace("FROM customer", "FROM clean") for c in ("few", "many")
 )
 
 
 # ---- contacts: phone, e-mail, web, names, verdict --------------------------------------------
 
-TAIL = EXTENSION_TAIL.replace("\\z", "$")
+TAIL = "(?i)\\s*[,;]?\\s*(ext|ext\\.|extension|x|#)\\s*\\d+\\s*$"
 PLUS_NOT_ONE = "regexp_matches(replace(phone, ' ', ''), '^\\+([^1]|$)')"
 
 
@@ -285,12 +306,13 @@ def phone_ok(p: str) -> str:
 
 
 def email_ok(e: str) -> str:
-    pattern = EMAIL_CHECK.replace("\\A", "^").replace("\\z", "$")
+    pattern = "^\\b[A-Za-z0-9._%'+-]+@[A-Za-z0-9.-]+[.][A-Za-z|]{2,20}\\b$"
     return f"coalesce(regexp_matches({e}, {q(pattern)}), false)"
 
 
 def email_normal(e: str) -> str:
-    pattern = EMAIL_SYNTAX.replace("\\A", "^").replace("\\z", "$")
+    atom, label = "[A-Za-z0-9!#$%&'*+/=?^_`{|}~-]+", "[A-Za-z0-9]([A-Za-z0-9-]{0,61}[A-Za-z0-9])?"
+    pattern = f"^{atom}([.]{atom})*@({label}[.])+([A-Za-z0-9][A-Za-z0-9-]{{0,61}})?[A-Za-z]$"
     return f"""CASE WHEN regexp_matches({e}, {q(pattern)}) AND strpos({e}, '@') <= 65
         AND length({e}) <= 254
         THEN split_part({e}, '@', 1) || '@' || lower(split_part({e}, '@', 2)) END"""
@@ -359,8 +381,31 @@ def dups(source: str, key: str, columns: dict[str, str], name: str, ctes: str =
 PART_NAMES = "['street_number', 'street_name', 'street_type', 'unit', 'city', 'region1', 'postal_code']"
 
 
+PO_BOX = "[pP][.]?[ ]?[oO][.]?[ ][bB][oO][xX][ ]\\d+"
+UNITS = ["apartment", "apt", "building", "bldg", "department", "dept", "floor", "fl", "lobby", "lbby", "lot", "suite", "ste", "unit"]
+STREETS = [w.lower() for w in STREET_WORDS]
+
+
+def any_of(words: list[str]) -> str:
+    """Plain alternatives, longer ones first."""
+    longest = sorted({w.lower() for w in words}, key=lambda w: (-len(w), w))
+    return "(?:" + "|".join(w.replace(".", "[.]").replace(" ", "\\s+") for w in longest) + ")"
+
+
+def one_address(regions: list[str], postal: str) -> str:
+    way = any_of(["north", "south", "east", "west", "northeast", "northwest", "southeast", "southwest",
+                  "ne", "nw", "se", "sw", "n", "s", "e", "w"])
+    gap = "(?:\\s*,\\s*|\\s+)"
+    return (
+        f"(?is)\\b(\\d{{1,6}})\\s+((?:[a-z0-9'.]+\\s+){{0,3}}?[a-z0-9'.]+)\\s+({any_of(STREETS)})\\b[.]?"
+        f"(?:\\s+{way}\\b[.]?)?{gap}(?:({any_of(UNITS)}\\b[.]?\\s+[a-z0-9-]+){gap})?"
+        f"([a-z][a-z .'-]*?){gap}({any_of(regions)}){gap}({postal})\\b"
+    )
+
+
 def parse(text: str, code: str) -> str:
-    us, ca = (q(r"(?is)" + address_pattern(c)) for c in ("US", "CA"))
+    us = q(one_address([*lexicon.US_STATES, *lexicon.US_STATES.values(), "Guam GU", "Puerto Rico PR"], "\\d{5}(?:-\\d{4})?"))
+    ca = q(one_address([*lexicon.CA_PROVINCES, *lexicon.CA_PROVINCES.values()], "[a-z]\\d[a-z]\\s?\\d[a-z]\\d"))
     return f"""CASE {code} WHEN 'US' THEN regexp_extract({text}, {us}, {PART_NAMES})
         WHEN 'CA' THEN regexp_extract({text}, {ca}, {PART_NAMES}) END"""
 
@@ -436,8 +481,8 @@ def cleaned_addresses(prefix: str, a2: str, country: str, text: str) -> str:
         FROM {p}_n),
     {p}_done AS (SELECT *, array_to_string(list_filter([
         CASE WHEN street IS NULL THEN 'Missing address' END,
-        CASE WHEN street IS NULL OR {words_in('street', lexicon.street_types())} > 2
-            OR {words_in('street', lexicon.unit_words())} >= 1 THEN 'possible parsing issue' END,
+        CASE WHEN street IS NULL OR {words_in('street', STREETS)} > 2
+            OR {words_in('street', UNITS)} >= 1 THEN 'possible parsing issue' END,
         CASE WHEN country0 IS NULL THEN 'Missing Country' END,
         CASE WHEN country0 IS NOT NULL AND NOT is_code AND country1 IS NOT NULL
             THEN 'Country Reformatted to Code' END,
@@ -464,10 +509,19 @@ ADDRESS_BASE = f"{GEO}, {ZIP_CTE}, {ADDRESSES_CTE}"
 MAIN = cleaned_addresses("main", "address2", "country", FULL_TEXT)
 BACKUP = cleaned_addresses("backup", "CAST(NULL AS VARCHAR)", "'US'", NO_SECOND)
 BOTH = f"""{ADDRESS_BASE}, {MAIN}, {BACKUP},
-    joined AS (SELECT m.address_id, m.match_key AS main_full_address, b.match_key AS backup_full_address,
-        m.messages AS main_addr_error_messg, m.messages = '' AS main_addr_is_valid,
-        b.messages = '' AS backup_addr_is_valid
+    joined AS (SELECT m.address_id, {', '.join(
+        f"{t}.messages = '' AS {p}_addr_is_valid, {t}.messages AS {p}_addr_error_messg, {t}.street AS {p}_street, "
+        f"{t}.suite AS {p}_suite, {t}.city2 AS {p}_city, {t}.state2 AS {p}_state, {t}.postal AS {p}_postal_code, "
+        f"{t}.country2 AS {p}_country, {t}.match_key AS {p}_full_address"
+        for p, t in (('main', 'm'), ('backup', 'b')))}
         FROM main_done m JOIN backup_done b USING (address_id))"""
+PARSED = """x.street_number AS street_number, trim(x.street_name) AS street_name,
+            x.street_type AS street_type,
+            CASE WHEN NOT regexp_matches(x.unit, '(?i)^(building|bldg)\\b') THEN nullif(x.unit, '') END
+                AS occupancy,
+            CASE WHEN regexp_matches(x.unit, '(?i)^(building|bldg)\\b') THEN x.unit END AS building_id,
+            x.city AS city, x.region1 AS region1, x.postal_code AS postal_code,
+            CASE WHEN x IS NOT NULL THEN cc END AS country_id"""
 
 
 # ---- fuzzy matching --------------------------------------------------------------------------
@@ -546,7 +600,10 @@ ORACLES: dict[str, str] = {
     ),
     "freq_text": freq_text("customer", ["c_name", "c_mktsegment"]),
     "freq_text_by_column": freq_text("part", ["p_name", "p_size"]),
-    "describe_table": DESCRIBE_TABLE,
+    "describe_table": describe_report(
+        "part", {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string",
+                 "p_size": "int", "p_retailprice": "double"},
+    ),
     "describe_transposed": describe_all(
         "orders",
         {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
@@ -583,6 +640,30 @@ ORACLES: dict[str, str] = {
         {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"},
         3,
     ),
+    "profile_run_report": describe_report(
+        "supplier",
+        {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double"},
+    ),
+    "profile_run_frequency": freq("supplier", ["s_name"], "supplier"),
+    "profile_run_frequency_text": freq_text("supplier", ["s_name"]),
+    "profile_run_profile": " UNION ALL ".join(
+        profile_row(c, kind).replace("FROM customer", "FROM supplier")
+        for c, kind in {
+            "s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int", "s_acctbal": "double",
+        }.items()
+    ),
+    "nan_statistics": nan_statistics(),
+    "nan_outliers": f"""{NAN_FLAGS} SELECT id, abs((coalesce(few, 0) - fm) / fs) > 3 AS "few_isOutlier",
+        abs((coalesce(many, 0) - mm) / ms) > 3 AS "many_isOutlier", false AS "endless_isOutlier",
+        {fenced('few')} AS few_iq_outlier, {fenced('many')} AS many_iq_outlier,
+        {fenced('endless')} AS endless_iq_outlier, coalesce(few < 0 OR few > 9000, false) AS few_outside
+        FROM clean, s""",
+    "nan_profile": NAN_PROFILE,
+    "nan_nulls": f"""WITH {CLEAN_MEASURES} SELECT id, few, many FROM clean
+        WHERE id IS NULL OR few IS NULL OR many IS NULL""",
+    "nan_verdict": f"""{NAN_FLAGS} SELECT id, abs((coalesce(few, 0) - fm) / fs) > 3 AS "few_isOutlier",
+        {fenced('many')} AS many_iq_outlier,
+        NOT (abs((coalesce(few, 0) - fm) / fs) > 3) AND NOT {fenced('many')} AS row_is_valid FROM clean, s""",
     "z_outliers": """SELECT event_id, value, abs((value - m) / s) > 3 AS "value_isOutlier"
         FROM events, (SELECT avg(value) AS m, stddev_pop(value) AS s FROM events)""",
     "z_scores": f"""WITH {CONTACTS_CTE}, s AS (SELECT avg(coalesce(revenue, 0)) AS m,
@@ -681,11 +762,11 @@ ORACLES: dict[str, str] = {
     "phone_validate": f"""WITH {COUNTRIES_CTE}, {CONTACTS_CTE}, src AS (SELECT * FROM contacts),
         {PHONE_RESULT} SELECT contact_id, phone, country, valid, formatted, ext FROM phoned""",
     "phone_in_documents": f"""WITH {COUNTRIES_CTE}, src AS (SELECT doc_id, 'US' AS country,
-            regexp_extract(text, '\\(\\d{{3}}\\) \\d{{3}}-\\d{{4}}') AS phone FROM documents),
+            unnest(regexp_extract_all(text, '\\(\\d{{3}}\\) \\d{{3}}-\\d{{4}}')) AS phone FROM documents),
         {PHONE_RESULT} SELECT doc_id, phone, valid, formatted, ext FROM phoned""",
     "email_rules": f"""WITH {CONTACTS_CTE} SELECT contact_id, {email_ok('email')} AS email_ok,
         {email_normal('email')} AS normalized FROM contacts""",
-    "email_in_documents": f"""WITH d AS (SELECT doc_id, regexp_extract(text, '\\S+@\\S+') AS email
+    "email_in_documents": f"""WITH d AS (SELECT doc_id, unnest(regexp_extract_all(text, '\\S+@\\S+')) AS email
             FROM documents)
         SELECT doc_id, email, {email_ok('email')} AS email_ok, {email_normal('email')} AS normalized FROM d""",
     "url_rules": f"""SELECT page_id, {url_ok('url')} AS as_given,
@@ -704,13 +785,7 @@ ORACLES: dict[str, str] = {
         a AS (SELECT address_id, {FULL_TEXT} AS t, {country_code('country')} AS cc FROM addresses),
         b AS (SELECT address_id, cc, {parse('t', 'cc')} AS x FROM a),
         c AS (SELECT address_id, cc, CASE WHEN x.street_number <> '' THEN x END AS x FROM b)
-        SELECT address_id, x.street_number AS street_number, trim(x.street_name) AS street_name,
-            x.street_type AS street_type,
-            CASE WHEN NOT regexp_matches(x.unit, '(?i)^(building|bldg)\\b') THEN nullif(x.unit, '') END
-                AS occupancy,
-            CASE WHEN regexp_matches(x.unit, '(?i)^(building|bldg)\\b') THEN x.unit END AS building_id,
-            x.city AS city, x.region1 AS region1, x.postal_code AS postal_code,
-            CASE WHEN x IS NOT NULL THEN cc END AS country_id FROM c""",
+        SELECT address_id, {PARSED} FROM c""",
     "address_between": """SELECT doc_id, CASE WHEN strpos(text, 'the') > 0 AND strpos(text, lang) > 0
         THEN regexp_replace(substr(text, strpos(text, 'the') + 4,
             greatest(strpos(text, lang) - strpos(text, 'the') - 4, 0)),
@@ -725,14 +800,17 @@ ORACLES: dict[str, str] = {
         "joined", "address_id",
         {c: c for c in ("main_full_address", "backup_full_address")}, "addresses", BOTH,
     ),
-    "address_summary": f"""WITH {BOTH} SELECT address_id, main_addr_is_valid, backup_addr_is_valid,
-        main_addr_is_valid AS row_is_valid FROM joined""",
+    "address_summary": f"WITH {BOTH} SELECT *, main_addr_is_valid AS row_is_valid FROM joined",
+    "address_street_types": f"""WITH {LINES_CTE}, b AS (SELECT line_id, {parse('line', "'US'")} AS x FROM street_lines),
+        c AS (SELECT line_id, 'US' AS cc, CASE WHEN x.street_number <> '' THEN x END AS x FROM b)
+        SELECT line_id, {PARSED} FROM c""",
     "address_frequency": freq(
-        "joined", ["main_addr_is_valid", "main_addr_error_messg"], "addresses", BOTH + ", "
+        "joined", [f"{p}_{c}" for c in ("addr_is_valid", "addr_error_messg") for p in ("main", "backup")],
+        "addresses", BOTH + ", ",
     ),
     "validation_summary": f"{CHECKED_CONTACTS} SELECT * FROM flagged",
-    "stream_verdict": f"""{CHECKED_CONTACTS} SELECT contact_id, phone_is_valid, email_check, url_is_valid,
-        first_name_check, phone_is_valid AND email_check AND first_name_check AS row_is_valid FROM flagged""",
+    "stream_verdict": f"""{CHECKED_CONTACTS} SELECT * EXCLUDE ("revenue_isOutlier", revenue_iq_outlier)
+        REPLACE (phone_is_valid AND email_check AND first_name_check AS row_is_valid) FROM flagged""",
     "fuzzy_matches": f"""WITH {fuzzy_base({'p_name': 'part'}, 85)}
         SELECT scorer, value, match, score FROM matches""",
     "fuzzy_low_threshold": f"""WITH {fuzzy_base({'p_name': 'part'}, 70)}
@@ -752,11 +830,13 @@ ORACLES: dict[str, str] = {
     "query_scan": """SELECT n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance
         FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
     "query_file_scan": "SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal < 0",
-    "table_sinks": """SELECT o_orderstatus, o_orderpriority, CAST(2 * count(*) AS BIGINT) AS n,
-        round(2 * sum(o_totalprice), 2) AS total FROM orders GROUP BY 1, 2""",
+    "table_sinks": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
     "report_sink": f"""WITH {CONTACTS_CTE} SELECT contact_id, first_name, email, phone FROM contacts""",
     "typed_load": LOADED,
     "static_type_load": LOADED,
+    "batch_run": f"""{CHECKED_CONTACTS} SELECT 'contacts' AS dataset, 'done' AS status, '' AS detail, contact_id,
+        row_is_valid FROM flagged UNION ALL SELECT 'other', 'skipped', 'no configuration', NULL, NULL
+        UNION ALL SELECT 'notes.txt', 'skipped', 'not a .csv file', NULL, NULL""",
     "contact_phone_detail": contact_detail(
         "phone", "country", "phone_is_valid", "phone_formatted", "phone_ext_formatted"
     ),

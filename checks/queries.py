@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.relations import CONTACT_COLUMNS, addresses, contacts, table, zip_ref
+from checks.relations import CONTACT_COLUMNS, addresses, contacts, measures, street_lines, table, zip_ref
 from rowproof.config import AddressConfig, DatasetConfig
 from rowproof.functions import address as address_text
 from rowproof.functions import contact as contact_rules
@@ -20,7 +20,7 @@ from rowproof.functions.text import identifier, title_case
 from rowproof.lexicon import countries
 from rowproof.operators import describe as describing
 from rowproof.operators import duplicates, frequency, fuzzy, outliers, profile, statistics
-from rowproof.operators.address import clean_addresses
+from rowproof.operators.address import OUTPUTS, clean_addresses
 from rowproof.operators.project import (
     default_country,
     null_rows,
@@ -36,7 +36,7 @@ from rowproof.operators.ziplookup import (
     with_zip_lookup,
     zip_lookup,
 )
-from rowproof.plans.runs import cleansed, fuzzy_run, profile_run
+from rowproof.plans.runs import fuzzy_run, load_with_metadata, load_with_types, profile_run
 from rowproof.plans.validation import validate
 from rowproof.sources.sinks import (
     DETAIL_SEPARATOR,
@@ -45,13 +45,12 @@ from rowproof.sources.sinks import (
     truncate_table,
     write_report,
 )
-from rowproof.sources.staging import staging_folder
+from rowproof.sources.staging import staged, staging_folder
 from rowproof.sources.tables import (
     read_csv,
     read_query,
     read_query_file,
-    table_metadata,
-    text_columns_of_types,
+    run_files,
 )
 from rowproof.streaming.rows import flag_stream
 
@@ -132,17 +131,18 @@ def freq_text_by_column(spark, folder):
 
 
 def describe_table(spark, folder):
-    part = table(spark, folder, "part").select("p_name", "p_type", "p_size", "p_retailprice")
-    report = describing.describe(part)
+    return report_numbers(describing.describe(table(spark, folder, "part")))
+
+
+def report_numbers(report: DataFrame) -> DataFrame:
+    """The describe report as one row per column and statistic, numbers rounded."""
     number = F.col("categories").isin("mean", "std", "min", "25%", "50%", "75%", "max")
-    plain = ["categories", "p_name", "p_type"]
-    return report.select(
-        *plain,
-        *(
-            F.when(number, F.round(F.col(c).try_cast("double"), 4)).alias(f"{c}_number")
-            for c in ("p_size", "p_retailprice")
-        ),
-        *(F.when(~number, F.col(c)).alias(c) for c in ("p_size", "p_retailprice")),
+    long = report.unpivot(["categories"], report.columns[1:], "column_name", "value")
+    return long.select(
+        "categories",
+        "column_name",
+        F.when(number, F.round(F.col("value").try_cast("double"), 3)).alias("number"),
+        F.when(~number, F.col("value")).alias("text"),
     )
 
 
@@ -187,8 +187,46 @@ def histogram(spark, folder):
     )
 
 
-def profile_run_describe(spark, folder):
-    return rounded(profile_run(table(spark, folder, "supplier"), "supplier")["describe_transposed"], 3)
+def profile_output(name: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        output = profile_run(table(spark, folder, "supplier"), "supplier")[name]
+        return report_numbers(output) if name == "describe" else rounded(output, 4 if name == "profile" else 3)
+
+    return run
+
+
+# ---- missing values --------------------------------------------------------------------------
+
+
+def nan_statistics(spark, folder):
+    rows = measures(spark, folder)
+    stats = rounded(statistics.numeric_stats(rows, ["few", "many"]), 4, variance=1)
+    ends = rounded(statistics.quartile_stats(rows, ["endless"]), 4)
+    return stats.unionByName(ends, allowMissingColumns=True)
+
+
+def nan_outliers(spark, folder):
+    rows, columns = measures(spark, folder), ["few", "many", "endless"]
+    flags = outliers.z_flags(rows, columns) | outliers.iqr_flags(rows, columns)
+    flags["few_outside"] = outliers.bounds_flag(F.col("few"), F.lit(0.0), F.lit(9000.0))
+    return rows.select("id").join(rows.withColumns(flags).select("id", *flags), "id")
+
+
+def nan_profile(spark, folder):
+    return rounded(profile.profile_columns(measures(spark, folder).select("few", "many")), 4)
+
+
+def nan_nulls(spark, folder):
+    return null_rows(measures(spark, folder), ["id", "few", "many"])
+
+
+def nan_verdict(spark, folder):
+    config = DatasetConfig(
+        table="measures", primary_key=("id",), z_outliers=("few",), iqr_outliers=("many",), required=("few",)
+    )
+    return validate(measures(spark, folder), config, stage=False)["validation_summary"].select(
+        "id", "few_isOutlier", "many_iq_outlier", "row_is_valid"
+    )
 
 
 # ---- outliers --------------------------------------------------------------------------------
@@ -421,8 +459,8 @@ def phone_validate(spark, folder):
 
 
 def phone_in_documents(spark, folder):
-    found = F.regexp_extract("text", r"\(\d{3}\) \d{3}-\d{4}", 0)
-    documents = table(spark, folder, "documents").select("doc_id", found.alias("phone"))
+    found = F.regexp_extract_all("text", F.lit(r"\(\d{3}\) \d{3}-\d{4}"), F.lit(0))
+    documents = table(spark, folder, "documents").select("doc_id", F.explode(found).alias("phone"))
     result = phone_rules.phone_cleaning("phone", F.lit("US"))
     return documents.select("doc_id", "phone", result.alias("p")).select("doc_id", "phone", "p.*")
 
@@ -436,8 +474,8 @@ def email_rules(spark, folder):
 
 
 def email_in_documents(spark, folder):
-    found = F.regexp_extract("text", r"\S+@\S+", 0)
-    documents = table(spark, folder, "documents").select("doc_id", found.alias("email"))
+    found = F.regexp_extract_all("text", F.lit(r"\S+@\S+"), F.lit(0))
+    documents = table(spark, folder, "documents").select("doc_id", F.explode(found).alias("email"))
     return documents.select(
         "doc_id",
         "email",
@@ -530,14 +568,24 @@ def address_duplicates(spark, folder):
 
 def address_summary(spark, folder):
     reports = validate(addresses(spark, folder), ADDRESS_CONFIG, zip_ref(spark), stage=False)
+    outputs = [f"{root}_{name}" for root in ("main", "backup") for name in OUTPUTS]
     return reports["validation_summary"].select(
-        "address_id", "main_addr_is_valid", "backup_addr_is_valid", "row_is_valid"
+        "address_id",
+        *(F.array_join(c, ",").alias(c) if c.endswith("_messg") else F.col(c) for c in outputs),
+        "row_is_valid",
     )
 
 
+def address_street_types(spark, folder):
+    """Every street type, with directions and units, parsed out of one line."""
+    rows = street_lines(spark, folder)
+    parsed = address_text.parse_address("line", F.lit("US")).alias("p")
+    return rows.select("line_id", parsed).select("line_id", "p.*")
+
+
 def address_frequency(spark, folder):
     reports = validate(addresses(spark, folder), ADDRESS_CONFIG, zip_ref(spark))
-    return reports["check_frequency"].where(F.col("table_column").startswith("main_"))
+    return reports["check_frequency"]
 
 
 # ---- validation run --------------------------------------------------------------------------
@@ -559,10 +607,7 @@ def stream_verdict(spark, folder):
     schema = table(spark, folder, "customer").schema
     source = spark.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/customer.parquet*")
     stream = source.selectExpr(*(f"{text} AS {name}" for name, text in CONTACT_COLUMNS.items()))
-    flagged = flag_stream(stream, CONTACT_CONFIG).select(
-        "contact_id", "phone_is_valid", "email_check", "url_is_valid", "first_name_check",
-        "row_is_valid",
-    )
+    flagged = flag_stream(stream, CONTACT_CONFIG)
     target = scratch(spark, "stream")
     query = (
         flagged.writeStream.format("parquet")
@@ -634,7 +679,7 @@ def query_file_scan(spark, folder):
 
 
 def table_sinks(spark, folder):
-    """Replace with declared types, append, and read back; another table is emptied again."""
+    """Replace with declared types, append, and read all back; another table is emptied again."""
     orders = table(spark, folder, "orders")
     name = f"sink_{uuid4().hex}"
     texts = orders.select(*(F.col(c).cast("string").alias(c) for c in orders.columns))
@@ -644,9 +689,15 @@ def table_sinks(spark, folder):
     replace_table(orders, emptied)
     truncate_table(spark, emptied)
     kept = spark.table(name).unionByName(spark.table(emptied), allowMissingColumns=True)
-    return kept.groupBy("o_orderstatus", "o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
-    )
+    return read_and_dropped(kept, name, emptied)
+
+
+def read_and_dropped(rows: DataFrame, *tables: str) -> DataFrame:
+    """The rows, kept in a staged table, after their catalog tables are dropped."""
+    kept = staged(rows)
+    for name in tables:
+        rows.sparkSession.sql(f"DROP TABLE {name}")
+    return kept
 
 
 def report_sink(spark, folder):
@@ -679,14 +730,32 @@ def _padded_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def typed_load(spark, folder):
-    texts, types = table_metadata(_order_metadata(spark), "orders")
-    return cleansed(_padded_orders(spark, folder), texts, types)
+    name = f"load_{uuid4().hex}"
+    load_with_metadata(_padded_orders(spark, folder), _order_metadata(spark), "orders", name)
+    return read_and_dropped(spark.table(name), name)
 
 
 def static_type_load(spark, folder):
-    return cleansed(
-        _padded_orders(spark, folder), text_columns_of_types(ORDER_TYPES), ORDER_TYPES
-    )
+    name = f"load_{uuid4().hex}"
+    load_with_types(_padded_orders(spark, folder), ORDER_TYPES, name)
+    return read_and_dropped(spark.table(name), name)
+
+
+def batch_run(spark, folder):
+    """A registry, files and a job: contacts validated file by file, unusable files passed over."""
+    base = scratch(spark, "batch")
+    good, bad = f"{base}/contacts.csv", f"{base}/other.csv"
+    write_report(contacts(spark, folder), good)
+    registry = {"contacts": CONTACT_CONFIG}
+
+    def job(df: DataFrame, config: DatasetConfig, name: str) -> None:
+        validate(df, config, stage=False)["validation_summary"].select(
+            F.col("contact_id").cast("bigint"), "row_is_valid"
+        ).write.parquet(f"{base}/out/{name}")
+
+    status = run_files(spark, [good, bad, f"{base}/notes.txt"], registry, job)
+    rows = spark.read.parquet(f"{base}/out/contacts").withColumn("dataset", F.lit("contacts"))
+    return status.drop("path").join(rows, "dataset", "left")
 
 
 QUERIES: dict[str, Query] = {
@@ -694,7 +763,8 @@ QUERIES: dict[str, Query] = {
     for f in (
         freq_all_strings, freq_by_column, freq_text, freq_text_by_column, describe_table,
         describe_transposed, numeric_stats, numeric_stats_narrowed, mean_stats, quartile_stats,
-        date_quartiles, column_profile, histogram, profile_run_describe, z_outliers, z_scores,
+        date_quartiles, column_profile, histogram, nan_statistics, nan_outliers, nan_profile, nan_nulls,
+        nan_verdict, z_outliers, z_scores,
         iqr_outliers, iqr_bounds, bounds_outliers, date_iqr_outliers, exact_duplicates,
         duplicate_texts, duplicates_one_column, distinct_values, null_required, null_any_column,
         report_projection, identifiers, scrub_file, scrub_text, scrub_old, country_rules,
@@ -702,12 +772,19 @@ QUERIES: dict[str, Query] = {
         zip_reverse, phone_rules_contacts, phone_validate, phone_in_documents, email_rules,
         email_in_documents, url_rules, name_rules, address_assemble, address_parse,
         address_between, address_messages, address_key, address_duplicates, address_summary,
-        address_frequency, validation_summary, stream_verdict, fuzzy_matches,
+        address_frequency, address_street_types, validation_summary, stream_verdict, fuzzy_matches,
         fuzzy_low_threshold, fuzzy_compare, fuzzy_multi, csv_scan, query_scan, query_file_scan,
-        table_sinks, report_sink, typed_load, static_type_load,
+        table_sinks, report_sink, typed_load, static_type_load, batch_run,
     )
 }
 QUERIES |= {
+    **{
+        f"profile_run_{label}": profile_output(name)
+        for label, name in {
+            "describe": "describe_transposed", "report": "describe", "frequency": "frequency",
+            "frequency_text": "frequency_text", "profile": "profile",
+        }.items()
+    },
     "contact_phone_detail": contact_report("phone"),
     "contact_email_detail": contact_report("email"),
     "contact_url_detail": contact_report("url"),

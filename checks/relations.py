@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 K = "c_custkey"
@@ -53,6 +55,28 @@ ADDRESS_COLUMNS = {
         ELSE 'US' END""",
 }
 
+# One row per customer: numbers with nulls, NaN (also in most rows) and infinities.
+NAN, INFINITY = "CAST('NaN' AS DOUBLE)", "CAST('Infinity' AS DOUBLE)"
+MEASURE_COLUMNS = {
+    "id": K,
+    "few": f"CASE {K} % 7 WHEN 0 THEN {NAN} WHEN 1 THEN NULL WHEN 2 THEN c_acctbal * ({K} % 40) ELSE c_acctbal END",
+    "many": f"CASE WHEN {K} % 5 < 3 THEN {NAN} WHEN {K} % 35 = 3 THEN 90000.0 ELSE c_acctbal END",
+    "endless": f"CASE {K} % 50 WHEN 3 THEN {INFINITY} WHEN 4 THEN -{INFINITY} WHEN 5 THEN {NAN} ELSE c_acctbal END",
+}
+
+STREET_WORDS = [
+    line for line in (Path(__file__).parent.parent / "rowproof/data/street_types.txt").read_text("utf-8").splitlines()
+    if line[0] != "#"
+]
+LINE_COLUMNS = {
+    "line_id": K,
+    "line": f"""CAST({K} AS STRING) || ' Ocean '
+        || split_part('{"|".join(STREET_WORDS)}', '|', CAST({K} % {len(STREET_WORDS)} + 1 AS INT))
+        || split_part(', | NW, | North, | s, |. | E ', '|', CAST({K} % 6 + 1 AS INT))
+        || split_part('|Apt 4, |Unit 7 |bldg C, |STE 12b, |Floor 3, ', '|', CAST({K} % 5 + 1 AS INT))
+        || 'Miami, FL 33101'""",
+}
+
 ZIP_ROWS = """VALUES ('01824', 'Chelmsford', 'MA'), ('85258', 'Scottsdale', 'AZ'),
     ('57107', 'Sioux Falls', 'SD'), ('30303', 'Atlanta', 'GA'), ('27709', 'Durham', 'NC')"""
 
@@ -64,6 +88,8 @@ def _select(columns: dict[str, str], source: str) -> str:
 
 CONTACTS_CTE = f"contacts AS ({_select(CONTACT_COLUMNS, 'customer')})"
 ADDRESSES_CTE = f"addresses AS ({_select(ADDRESS_COLUMNS, 'customer')})"
+MEASURES_CTE = f"measures AS ({_select(MEASURE_COLUMNS, 'customer')})"
+LINES_CTE = f"street_lines AS ({_select(LINE_COLUMNS, 'customer')})"
 ZIP_CTE = f"zip_ref(zip, place, state) AS ({ZIP_ROWS})"
 
 
@@ -81,5 +107,15 @@ def addresses(spark: SparkSession, folder: str) -> DataFrame:
     return rows.selectExpr(*(f"{text} AS {name}" for name, text in ADDRESS_COLUMNS.items()))
 
 
+def measures(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "customer")
+    return rows.selectExpr(*(f"{text} AS {name}" for name, text in MEASURE_COLUMNS.items()))
+
+
+def street_lines(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "customer")
+    return rows.selectExpr(*(f"{text} AS {name}" for name, text in LINE_COLUMNS.items()))
+
+
 def zip_ref(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM ({ZIP_ROWS}) AS t(zip, place, state)")

@@ -10,9 +10,8 @@ from rowproof.functions.text import col, one_of, only_letters, strip
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
-    """Value of the key in a fixed table, which is one text literal that folds to a constant map."""
-    text = ";".join(f"{name}={value}" for name, value in table.items())
-    return F.try_element_at(F.str_to_map(F.lit(text), F.lit(";"), F.lit("=")), key)
+    """Value of the key in a fixed table, a map of literals that Spark folds to one constant."""
+    return F.try_element_at(F.create_map(*(F.lit(x) for pair in table.items() for x in pair)), key)
 
 
 def country_check(country: Column | str) -> Column:

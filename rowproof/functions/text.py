@@ -7,8 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rowproof.lexicon import word_pattern
-
 # Every character that Python's `str.strip` removes; \p{Z} holds the Unicode separators.
 BLANKS = r"[\t-\r\x1c-\x20\x85\p{Z}]+"
 CONTROL = r"[\r\n\t\f]"
@@ -52,10 +50,12 @@ def title_case(c: Column | str) -> Column:
         apart = F.regexp_replace(stretch, ASCII_WORD, MARKED_BLANK + "$1")
         return F.replace(F.initcap(apart), F.lit(MARKED_BLANK), F.lit(""))
 
-    stretches = F.regexp_extract_all(col(c), F.lit(ASCII_STRETCH), F.lit(0))
-    return F.array_join(
+    text = col(c)
+    stretches = F.regexp_extract_all(text, F.lit(ASCII_STRETCH), F.lit(0))
+    mixed = F.array_join(
         F.transform(stretches, lambda s: F.when(s.rlike(r"\A[\x02-\x7F]"), titled(s)).otherwise(s)), ""
     )
+    return F.when(text.rlike(r"[^\x02-\x7F]"), mixed).otherwise(titled(text))
 
 
 def only_letters(c: Column | str) -> Column:
@@ -65,8 +65,5 @@ def only_letters(c: Column | str) -> Column:
 
 
 def one_of(c: Column | str, words: Iterable[str]) -> Column:
-    """Exact membership in a list of words without blanks; null is false.
-
-    One compiled pattern needs a step per letter, however long the list is.
-    """
-    return F.coalesce(col(c).rlike(rf"\A{word_pattern(sorted(words))}\z"), F.lit(False))
+    """Exact membership in a list of words; null is false. Spark keeps the list as a hash set."""
+    return F.coalesce(col(c).isin(sorted(words)), F.lit(False))

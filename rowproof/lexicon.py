@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import cache
 from importlib.resources import files
+from pathlib import Path
 
 # --- fixed values: postal codes and names of US states and territories -----------------------
 US_STATES = {
@@ -33,59 +34,12 @@ CA_PROVINCES = {
     "SK": "Saskatchewan", "YT": "Yukon",
 }
 
-# --- fixed values: ISO 3166 formal names that differ from the short English name --------------
-FORMAL_COUNTRY_NAMES = {
-    "AS": "AMERICAN SAMOA", "AX": "ALAND ISLANDS", "BL": "SAINT BARTHÉLEMY",
-    "BN": "BRUNEI DARUSSALAM", "BO": "BOLIVIA, PLURINATIONAL STATE OF",
-    "BQ": "BONAIRE, SINT EUSTATIUS AND SABA", "CD": "CONGO, THE DEMOCRATIC REPUBLIC OF THE",
-    "CF": "CENTRAL AFRICAN REPUBLIC", "CG": "CONGO", "CI": "CÔTE D'IVOIRE",
-    "FK": "FALKLAND ISLANDS (MALVINAS)", "FM": "MICRONESIA, FEDERATED STATES OF",
-    "GB": "UNITED KINGDOM", "IR": "IRAN, ISLAMIC REPUBLIC OF", "KN": "SAINT KITTS AND NEVIS",
-    "KP": "KOREA, DEMOCRATIC PEOPLE'S REPUBLIC OF", "KR": "KOREA, REPUBLIC OF",
-    "LA": "LAO PEOPLE'S DEMOCRATIC REPUBLIC", "LC": "SAINT LUCIA",
-    "MD": "MOLDOVA, REPUBLIC OF", "MF": "SAINT MARTIN (FRENCH PART)",
-    "MK": "MACEDONIA, THE FORMER YUGOSLAV REPUBLIC OF", "MM": "MYANMAR", "MO": "MACAO",
-    "PM": "SAINT PIERRE AND MIQUELON", "PS": "PALESTINE, STATE OF",
-    "RU": "RUSSIAN FEDERATION", "SH": "SAINT HELENA, ASCENSION AND TRISTAN DA CUNHA",
-    "SX": "SINT MAARTEN (DUTCH PART)", "SY": "SYRIAN ARAB REPUBLIC", "SZ": "SWAZILAND",
-    "TC": "TURKS AND CAICOS ISLANDS", "TF": "FRENCH SOUTHERN TERRITORIES",
-    "TL": "TIMOR-LESTE", "TW": "TAIWAN, PROVINCE OF CHINA",
-    "TZ": "TANZANIA, UNITED REPUBLIC OF", "UM": "UNITED STATES MINOR OUTLYING ISLANDS",
-    "VA": "HOLY SEE (VATICAN CITY STATE)", "VC": "SAINT VINCENT AND THE GRENADINES",
-    "VE": "VENEZUELA, BOLIVARIAN REPUBLIC OF", "VG": "VIRGIN ISLANDS, BRITISH",
-    "VI": "VIRGIN ISLANDS, U.S.", "VN": "VIET NAM", "WS": "SAMOA",
-}
-
 # --- fixed values: unit designators -----------------------------------------------------------
 UNIT_WORDS = (
     "Apartment", "Apt", "Building", "Bldg", "Department", "Dept", "Floor", "Fl", "Lobby",
     "Lbby", "Lot", "Suite", "Ste", "Unit",
 )
 
-# --- fixed values: common postal street suffixes and their usual short forms ------------------
-STREET_SUFFIXES = (
-    "Alley", "Aly", "Annex", "Arcade", "Avenue", "Ave", "Av", "Bayou", "Beach", "Bch", "Bend",
-    "Bluff", "Boulevard", "Blvd", "Branch", "Bridge", "Broadway", "Brook", "Bypass", "Byp",
-    "Camp", "Canyon", "Cape", "Causeway", "Cswy", "Center", "Centre", "Ctr", "Circle", "Cir",
-    "Cliff", "Club", "Common", "Corner", "Cor", "Course", "Court", "Ct", "Cove", "Cv", "Creek",
-    "Crk", "Crescent", "Cres", "Crest", "Crossing", "Xing", "Crossroad", "Curve", "Dale",
-    "Dam", "Divide", "Drive", "Dr", "Drv", "Estate", "Est", "Expressway", "Expy", "Extension",
-    "Ext", "Fall", "Ferry", "Field", "Fld", "Flat", "Ford", "Forest", "Forge", "Fork", "Fort",
-    "Freeway", "Fwy", "Garden", "Gdn", "Gateway", "Glen", "Gln", "Green", "Grn", "Grove",
-    "Grv", "Harbor", "Haven", "Height", "Ht", "Highway", "Hwy", "Hill", "Hl", "Hollow",
-    "Inlet", "Island", "Isle", "Junction", "Jct", "Key", "Knoll", "Lake", "Lk", "Land",
-    "Landing", "Lndg", "Lane", "Ln", "Light", "Loaf", "Lock", "Lodge", "Loop", "Mall",
-    "Manor", "Mnr", "Meadow", "Mdw", "Mews", "Mill", "Mission", "Motorway", "Mount", "Mt",
-    "Mountain", "Mtn", "Neck", "Orchard", "Oval", "Overpass", "Park", "Parkway", "Pkwy",
-    "Pass", "Passage", "Path", "Pike", "Pine", "Place", "Pl", "Plain", "Plaza", "Plz",
-    "Point", "Pt", "Port", "Prairie", "Radial", "Ramp", "Ranch", "Rapid", "Rest", "Ridge",
-    "Rdg", "River", "Road", "Rd", "Route", "Rte", "Row", "Rue", "Run", "Shoal", "Shore",
-    "Skyway", "Spring", "Spur", "Square", "Sq", "Station", "Sta", "Stream", "Street", "St",
-    "Str", "Summit", "Terrace", "Ter", "Throughway", "Trace", "Track", "Trafficway", "Trail",
-    "Trl", "Tunnel", "Turnpike", "Tpke", "Underpass", "Union", "Valley", "Vly", "Viaduct",
-    "View", "Village", "Ville", "Vista", "Walk", "Wall", "Way", "Well",
-)
-
 # --- fixed values: compass directions written after a street type -----------------------------
 DIRECTIONS = (
     "North", "South", "East", "West", "Northeast", "Northwest", "Southeast", "Southwest",
@@ -93,10 +47,16 @@ DIRECTIONS = (
 )
 
 
-def street_types(suffixes: tuple[str, ...] = STREET_SUFFIXES) -> list[str]:
-    """Lower-case street-type words: each suffix and its plural. Pass an own list to replace it."""
-    words = [w.lower() for w in suffixes]
-    return sorted(set(words) | {w + "s" for w in words if not w.endswith("s")})
+def _lines(path: str | None, default: str) -> list[str]:
+    """Lines of a table of fixed values that are not comments: of the file given, else of ours."""
+    text = Path(path).read_text("utf-8") if path else (files("rowproof") / "data" / default).read_text("utf-8")
+    return [line for line in text.splitlines() if line and not line.startswith("#")]
+
+
+@cache
+def street_types(path: str | None = None) -> list[str]:
+    """Lower-case street-type words of a table with one word to a line."""
+    return sorted({w.lower() for w in _lines(path, "street_types.txt")})
 
 
 def unit_words() -> list[str]:
@@ -104,12 +64,9 @@ def unit_words() -> list[str]:
 
 
 @cache
-def countries() -> dict[str, str]:
-    """ISO 3166 code -> upper-case name, from the country table that ships with `tzdata`."""
-    text = (files("tzdata") / "zoneinfo" / "iso3166.tab").read_text(encoding="utf-8")
-    rows = (line.split("\t") for line in text.splitlines() if line and not line.startswith("#"))
-    short = {code: name.replace(" & ", " and ").upper() for code, name in rows}
-    return short | FORMAL_COUNTRY_NAMES
+def countries(path: str | None = None) -> dict[str, str]:
+    """Country code -> upper-case name, of a table with one code and name to a line."""
+    return dict(line.split(" ", 1) for line in _lines(path, "countries.txt"))
 
 
 def country_codes_by_name() -> dict[str, str]:
@@ -142,7 +99,7 @@ def word_pattern(words) -> str:
     def write(node: dict) -> str:
         ends = "" in node
         branches = [
-            (r"\s+" if ch == " " else "\\" + ch if ch in ".'()&-," else ch) + write(child)
+            (r"\s+" if ch == " " else ch if ch.isalnum() else "\\" + ch) + write(child)
             for ch, child in sorted(node.items())
             if ch
         ]

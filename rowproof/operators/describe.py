@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowproof.functions.text import identifier_text
-from rowproof.operators.frequency import most_frequent, value_counts
+from rowproof.operators.columns import number, ref
+from rowproof.operators.frequency import value_counts
 from rowproof.operators.quantiles import MAX_VALUES_IN_TASK, quantile_values
 from rowproof.operators.statistics import date_columns, numeric_columns
 
@@ -29,9 +30,9 @@ REPORT_ROWS = {
 
 def measured(df: DataFrame) -> dict[str, Column]:
     """Numeric and date columns as doubles; dates are measured in seconds since 1970."""
-    numbers = {c: F.col(c).cast("double") for c in numeric_columns(df)}
+    numbers = {c: number(c) for c in numeric_columns(df)}
     seconds = {
-        c: F.unix_micros(F.col(c).cast("timestamp")) / F.lit(1e6) for c in date_columns(df)
+        c: F.unix_micros(ref(c).cast("timestamp")) / F.lit(1e6) for c in date_columns(df)
     }
     return numbers | seconds
 
@@ -43,15 +44,15 @@ def describe_columns(
     max_values_in_task: int = MAX_VALUES_IN_TASK,
 ) -> DataFrame:
     """Count, nulls and rows for all columns; spread for numbers and dates; top value for others."""
-    df = df.select(*columns) if columns is not None else df
+    df = df.select(*map(ref, columns)) if columns is not None else df
     numbers = measured(df)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    values = df.select(*(numbers.get(c, F.col(c)).alias(c) for c in df.columns))
+    values = df.select(*(numbers.get(c, ref(c)).alias(c) for c in df.columns))
     quantiles = quantile_values(values, list(numbers), [0.25, 0.5, 0.75], max_values_in_task)
     nothing = F.lit(None).cast("double")
 
     def summary(c: str) -> Column:
-        x = F.col(c)
+        x = ref(c)
         is_number = c in numbers
         q = quantiles[c] if is_number else F.array(*[nothing] * 3)
         return F.struct(
@@ -67,10 +68,10 @@ def describe_columns(
             (F.stddev_samp(x) if is_number else nothing).alias("std"),
             F.count_if(x.isNull()).alias("nulls"),
             F.count(F.lit(1)).alias("total_rows"),
-        ).alias(c)
+        )
 
-    rows = values.agg(*(summary(c) for c in values.columns)).select(
-        F.inline(F.array(*(F.col(f"`{c}`") for c in values.columns)))
+    rows = values.agg(*(summary(c).alias(f"s{i}") for i, c in enumerate(values.columns))).select(
+        F.inline(F.array(*(F.col(f"s{i}") for i in range(len(values.columns)))))
     )
     labels = [c for c in df.columns if c not in numbers]
     if labels:

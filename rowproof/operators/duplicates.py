@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowproof.functions.text import identifier_text
+from rowproof.operators.columns import present, ref
 
 
 def exact_duplicates(
@@ -16,11 +17,14 @@ def exact_duplicates(
     """Every row whose value occurs more than once in its column, for all columns at once.
 
     Repeated values come from a count that starts before the shuffle, and rows are kept by a
-    semi-join. No group of copies is gathered anywhere: AQE splits the join partition of a value
+    semi-join. Both use a 256-bit digest and the length, so a long text moves once, with its row. No
+    group of copies is gathered anywhere: AQE splits the join partition of a value
     that fills a large part of the table.
     """
-    long = _long_values(df, list(dict.fromkeys(columns)), primary_key)
-    keys = ["table_column", "field_value"]
+    long = _long_values(df, list(dict.fromkeys(columns)), primary_key).withColumns(
+        {"__digest": F.sha2(F.col("field_value").cast("binary"), 256), "__size": F.char_length("field_value")}
+    )
+    keys = ["table_column", "__digest", "__size"]
     repeated = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
     return long.join(repeated, keys, "left_semi").select(
         "table_primary_key",
@@ -32,13 +36,13 @@ def exact_duplicates(
 
 def _long_values(df: DataFrame, columns: Sequence[str], primary_key: str) -> DataFrame:
     """One row per key, column and value that is not null."""
-    key = F.col(primary_key).cast("string").alias("table_primary_key")
+    key = ref(primary_key).cast("string").alias("table_primary_key")
     if len(columns) == 1:
         # Without unpivoting the null filter reaches the scan.
-        present = df.where(F.col(columns[0]).isNotNull())
-        value = F.col(columns[0]).cast("string").alias("field_value")
-        return present.select(key, F.lit(columns[0]).alias("table_column"), value)
-    texts = (F.col(c).cast("string") for c in columns)
+        filled = df.where(present(df, columns[0]).isNotNull())
+        value = ref(columns[0]).cast("string").alias("field_value")
+        return filled.select(key, F.lit(columns[0]).alias("table_column"), value)
+    texts = (present(df, c).cast("string") for c in columns)
     pieces = F.stack(
         F.lit(len(columns)), *(x for c, text in zip(columns, texts) for x in (F.lit(c), text))
     ).alias("table_column", "field_value")
@@ -47,12 +51,12 @@ def _long_values(df: DataFrame, columns: Sequence[str], primary_key: str) -> Dat
 
 def duplicates_by_column(df: DataFrame, column: str, primary_key: str) -> DataFrame:
     """Key and value of the rows that share their value, sorted by value."""
-    values = df.select(primary_key, column).where(F.col(column).isNotNull())
-    repeated = values.groupBy(column).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return values.join(repeated.select(column), column, "left_semi").select(
-        primary_key, column
-    ).orderBy(column, primary_key)
+    values = df.select(ref(primary_key), ref(column)).where(present(df, column).isNotNull())
+    repeated = values.groupBy(ref(column).alias("__value")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return values.join(repeated, ref(column) == F.col("__value"), "left_semi").orderBy(
+        ref(column), ref(primary_key)
+    )
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    return df.select(column).where(F.col(column).isNotNull()).distinct()
+    return df.select(ref(column)).where(present(df, column).isNotNull()).distinct()

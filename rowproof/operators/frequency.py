@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowproof.functions.text import identifier_text
+from rowproof.operators.columns import present
 from rowproof.operators.project import text_columns
 
 # --- fixed value: values kept per column in a frequency report --------------------------------
@@ -20,13 +21,14 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Counting starts before the shuffle, so a value that fills a third of the table reaches its
     reducer as one partial count per task.
     """
-    texts = df.select(*(F.col(c).cast("string").alias(c) for c in columns))
-    long = texts.unpivot([], list(columns), "table_column", "table_values")
+    texts = df.select(*(present(df, c).cast("string").alias(f"c{i}") for i, c in enumerate(columns)))
+    names = F.create_map(*(F.lit(x) for i, c in enumerate(columns) for x in (f"c{i}", c)))
+    long = texts.unpivot([], texts.columns, "table_column", "table_values").withColumn("table_column", names[F.col("table_column")])
     return long.groupBy("table_column", "table_values").agg(F.count(F.lit(1)).alias("value_counts"))
 
 
-def most_frequent(counts: DataFrame, keep: int = TOP_VALUES) -> DataFrame:
-    """Top values per column; ties go to the smaller value, null last.
+def most_frequent(counts: DataFrame, keep: int | None = TOP_VALUES) -> DataFrame:
+    """Top values per column, all of them if `keep` is None; ties go to the smaller value, null last.
 
     Filtering `row_number` directly lets Spark drop all but `keep` rows per column in every task
     before the shuffle, so a column of unique values does not land in one task.
@@ -34,35 +36,41 @@ def most_frequent(counts: DataFrame, keep: int = TOP_VALUES) -> DataFrame:
     ranked = Window.partitionBy("table_column").orderBy(
         F.desc("value_counts"), F.asc_nulls_last("table_values")
     )
-    return counts.withColumn("__rank", F.row_number().over(ranked)).where(F.col("__rank") <= keep)
+    rows = counts.withColumn("__rank", F.row_number().over(ranked))
+    return rows if keep is None else rows.where(F.col("__rank") <= keep)
 
 
-def _row_count(df: DataFrame):
-    return df.select(F.count(F.lit(1)).alias("n")).scalar()
+def _with_total(counts: DataFrame, keep: int | None) -> DataFrame:
+    """The most frequent values with the rows of their column; both come from one count."""
+    totals = counts.groupBy(F.col("table_column").alias("__column")).agg(
+        F.sum("value_counts").alias("__rows")
+    )
+    top = most_frequent(counts, keep)
+    return top.join(totals, F.col("table_column") == F.col("__column"))
 
 
 def frequency(
-    df: DataFrame, table: str, columns: Sequence[str] | None = None, keep: int = TOP_VALUES
+    df: DataFrame, table: str, columns: Sequence[str] | None = None, keep: int | None = TOP_VALUES
 ) -> DataFrame:
     """Frequency relation with shares between 0 and 1; all string columns by default."""
     names = text_columns(df) if columns is None else list(dict.fromkeys(columns))
-    top = most_frequent(value_counts(df, names), keep)
+    top = _with_total(value_counts(df, names), keep)
     return top.select(
         "table_values",
         "value_counts",
-        (F.col("value_counts") / _row_count(df)).alias("value_percent"),
+        (F.col("value_counts") / F.col("__rows")).alias("value_percent"),
         "table_column",
         F.lit(identifier_text(table)).alias("table_name"),
     )
 
 
 def frequency_text(
-    df: DataFrame, columns: Sequence[str] | None = None, keep: int = TOP_VALUES
+    df: DataFrame, columns: Sequence[str] | None = None, keep: int | None = TOP_VALUES
 ) -> DataFrame:
     """Rows of the printed report: lower-case column name, rank, value, count and `12.34%`."""
     names = text_columns(df) if columns is None else list(dict.fromkeys(columns))
-    top = most_frequent(value_counts(df, names), keep)
-    hundredths = F.rint(F.col("value_counts") / _row_count(df) * 100 * 100)
+    top = _with_total(value_counts(df, names), keep)
+    hundredths = F.rint(F.col("value_counts") / F.col("__rows") * 100 * 100)
     return top.select(
         F.lower("table_column").alias("column_name"),
         F.col("__rank").alias("rank"),

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowproof.operators.columns import number, ref
 from rowproof.operators.quantiles import MAX_VALUES_IN_TASK, quantile_values
 from rowproof.operators.statistics import IQR_FENCE, STD_FENCE, as_micros
 
@@ -17,17 +18,18 @@ def _scalar_struct(df: DataFrame, fields: dict[str, Column]) -> Column:
 
 
 def bounds_flag(x: Column, lower: Column, upper: Column) -> Column:
-    """True outside the bounds; null is false."""
-    return F.coalesce((x < lower) | (x > upper), F.lit(False))
+    """True outside the bounds; null and NaN are false."""
+    outside = (x < lower) | (x > upper)
+    return F.coalesce(outside & ~F.isnan(x), F.lit(False))
 
 
 def z_scores(
     df: DataFrame, columns: Sequence[str], null_fill: float | None = 0.0
 ) -> dict[str, Column]:
-    """Absolute z-score per column, with the population deviation and nulls taken as `null_fill`."""
+    """Absolute z-score per column, with the population deviation; nulls and NaN are taken as `null_fill`."""
 
     def filled(c: str) -> Column:
-        x = F.col(c).cast("double")
+        x = number(c)
         return x if null_fill is None else F.coalesce(x, F.lit(float(null_fill)))
 
     if not columns:
@@ -45,9 +47,12 @@ def z_scores(
 def z_flags(
     df: DataFrame, columns: Sequence[str], null_fill: float | None = 0.0
 ) -> dict[str, Column]:
-    """`{column}_isOutlier`: more than three deviations from the mean."""
+    """`{column}_isOutlier`: more than three deviations from the mean.
+
+    With infinite values the deviation is no number, and nothing is flagged.
+    """
     return {
-        f"{c}_isOutlier": F.coalesce(z > STD_FENCE, F.lit(False))
+        f"{c}_isOutlier": F.coalesce((z > STD_FENCE) & ~F.isnan(z), F.lit(False))
         for c, z in z_scores(df, columns, null_fill).items()
     }
 
@@ -70,9 +75,9 @@ def iqr_bounds(
 def iqr_flags(
     df: DataFrame, columns: Sequence[str], max_values_in_task: int = MAX_VALUES_IN_TASK
 ) -> dict[str, Column]:
-    """`{column}_iq_outlier`: outside the fences; nulls do not count and are not flagged."""
+    """`{column}_iq_outlier`: outside the fences; nulls and NaN do not count and are not flagged."""
     return {
-        f"{c}_iq_outlier": bounds_flag(F.col(c).cast("double"), lower, upper)
+        f"{c}_iq_outlier": bounds_flag(number(c), lower, upper)
         for c, (lower, upper) in iqr_bounds(df, columns, max_values_in_task).items()
     }
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowproof.operators.columns import ref
 from rowproof.operators.describe import measured
 from rowproof.operators.frequency import value_counts
 from rowproof.operators.project import text_columns
@@ -22,17 +23,17 @@ def profile_columns(
     max_values_in_task: int = MAX_VALUES_IN_TASK,
 ) -> DataFrame:
     """One row per column: completeness, uniqueness, spread of numbers, length of texts."""
-    df = df.select(*columns) if columns is not None else df
+    df = df.select(*map(ref, columns)) if columns is not None else df
     numbers, texts = measured(df), set(text_columns(df))
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    values = df.select(*(numbers.get(c, F.col(c)).alias(c) for c in df.columns))
+    values = df.select(*(numbers.get(c, ref(c)).alias(c) for c in df.columns))
     quantiles = quantile_values(
         values, list(numbers), list(PROFILE_QUANTILES.values()), max_values_in_task
     )
     no_double, no_long = F.lit(None).cast("double"), F.lit(None).cast("bigint")
 
     def facts(c: str) -> Column:
-        x = F.col(c)
+        x = ref(c)
         num, txt = c in numbers, c in texts
         size = F.length(x).cast("bigint") if txt else None
         return F.struct(
@@ -53,10 +54,10 @@ def profile_columns(
             (F.min(size) if txt else no_long).alias("min_length"),
             (F.avg(size) if txt else no_double).alias("mean_length"),
             (F.max(size) if txt else no_long).alias("max_length"),
-        ).alias(c)
+        )
 
-    rows = values.agg(*(facts(c) for c in values.columns)).select(
-        F.inline(F.array(*(F.col(f"`{c}`") for c in values.columns)))
+    rows = values.agg(*(facts(c).alias(f"s{i}") for i, c in enumerate(values.columns))).select(
+        F.inline(F.array(*(F.col(f"s{i}") for i in range(len(values.columns)))))
     )
     distinct = (
         value_counts(df, df.columns)
@@ -96,22 +97,22 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFram
     values = df.select(*(numbers[c].alias(c) for c in columns))
     ranges = values.agg(
         F.struct(
-            *(F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in columns)
+            *(F.struct(F.min(ref(c)).alias("lo"), F.max(ref(c)).alias("hi")).alias(f"r{i}") for i, c in enumerate(columns))
         ).alias("r")
     ).scalar()
 
-    def bin_of(c: str) -> Column:
-        lo, hi = ranges[c]["lo"], ranges[c]["hi"]
-        share = F.try_divide(F.col(c) - lo, hi - lo)
+    def bin_of(i: int, c: str) -> Column:
+        lo, hi = ranges[f"r{i}"]["lo"], ranges[f"r{i}"]["hi"]
+        share = F.try_divide(ref(c) - lo, hi - lo)
         index = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * bins), F.lit(bins - 1).cast("bigint"))
         return F.struct(
             F.lit(c).alias("column_name"),
-            F.when(F.col(c).isNotNull(), index.cast("int")).alias("bin"),
+            F.when(ref(c).isNotNull(), index.cast("int")).alias("bin"),
             lo.alias("lo"),
             hi.alias("hi"),
         )
 
-    cells = values.select(F.inline(F.array(*(bin_of(c) for c in columns))))
+    cells = values.select(F.inline(F.array(*(bin_of(i, c) for i, c in enumerate(columns)))))
     width = (F.col("hi") - F.col("lo")) / bins
     return (
         cells.where(F.col("bin").isNotNull())

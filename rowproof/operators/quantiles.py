@@ -16,6 +16,8 @@ from math import floor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowproof.operators.columns import number, ref
+
 # Values that `percentile` may hold in one task, over all columns of one aggregate.
 MAX_VALUES_IN_TASK = 1_000_000
 # Error bound of the guiding sketch: its rank is off by at most rows / SKETCH_ACCURACY.
@@ -37,7 +39,7 @@ class _Bracket:
 
     def values(self) -> Column:
         """The column inside the bracket, null outside."""
-        x = F.col(self.column)
+        x = ref(self.column)
         cond = x.isNotNull()
         if self.low is not None:
             cond = cond & (x > F.lit(self.low))
@@ -65,12 +67,12 @@ def quantile_values(
 ) -> dict[str, Column]:
     """Per column an array column of its quantiles: an aggregate, or literals found by narrowing.
 
-    Either form can be used inside `df.agg`. Columns must be numeric; nulls are ignored.
+    Either form can be used inside `df.agg`. Columns must be numeric; nulls and NaN are ignored.
     """
     columns = list(dict.fromkeys(columns))
     if not columns or df.count() * len(columns) <= max_values_in_task:
-        return {c: F.percentile(F.col(c).cast("double"), list(probabilities)) for c in columns}
-    found = _narrow(df.select(*(F.col(c).cast("double").alias(c) for c in columns)),
+        return {c: F.percentile(number(c), list(probabilities)) for c in columns}
+    found = _narrow(df.select(*(number(c).alias(c) for c in columns)),
                     columns, probabilities)
     return {
         c: F.array(*(F.lit(v).cast("double") for v in values)) for c, values in found.items()
@@ -80,7 +82,7 @@ def quantile_values(
 def _narrow(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    sizes = df.agg(*(F.count(F.col(c)).alias(c) for c in columns)).first()
+    sizes = df.agg(*(F.count(ref(c)).alias(c) for c in columns)).first()
     positions = {c: [p * (sizes[c] - 1) for p in probabilities] for c in columns}
     found: dict[tuple[str, int], float] = {}
     brackets = []

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowproof.operators.columns import number, ref
 from rowproof.operators.quantiles import MAX_VALUES_IN_TASK, quantile_values
 
 # --- fixed values: fence widths ---------------------------------------------------------------
@@ -29,10 +30,10 @@ def _one_row_per_column(
 ) -> DataFrame:
     """One aggregation over all columns, turned into one row per column."""
     structs = [
-        F.struct(F.lit(c).alias("column_name"), *(v.alias(k) for k, v in build(c).items())).alias(c)
-        for c in columns
+        F.struct(F.lit(c).alias("column_name"), *(v.alias(k) for k, v in build(c).items())).alias(f"s{i}")
+        for i, c in enumerate(columns)
     ]
-    return df.agg(*structs).select(F.inline(F.array(*(F.col(f"`{c}`") for c in columns))))
+    return df.agg(*structs).select(F.inline(F.array(*(F.col(f"s{i}") for i in range(len(columns))))))
 
 
 def _mean_fields(x: Column) -> dict[str, Column]:
@@ -66,7 +67,7 @@ def numeric_stats(
     quantiles = quantile_values(df, names, [0.25, 0.5, 0.75], max_values_in_task)
 
     def build(c: str) -> dict[str, Column]:
-        x, q = F.col(c).cast("double"), quantiles[c]
+        x, q = number(c), quantiles[c]
         spread = _mean_fields(x)
         return {
             "mean": spread["mean"],
@@ -83,7 +84,7 @@ def numeric_stats(
 
 def mean_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     names = numeric_columns(df) if columns is None else list(columns)
-    return _one_row_per_column(df, names, lambda c: _mean_fields(F.col(c).cast("double")))
+    return _one_row_per_column(df, names, lambda c: _mean_fields(number(c)))
 
 
 def quartile_stats(
@@ -99,7 +100,7 @@ def quartile_stats(
 
 
 def as_micros(c: str) -> Column:
-    return F.unix_micros(F.col(c).cast("timestamp"))
+    return F.unix_micros(ref(c).cast("timestamp"))
 
 
 def date_quartile_stats(

@@ -13,6 +13,7 @@ from rowproof.config import DatasetConfig, existing
 from rowproof.functions.contact import email_check, email_valid, name_check, website_check
 from rowproof.functions.phone import phone_cleaning
 from rowproof.operators.address import OUTPUTS, clean_addresses
+from rowproof.operators.columns import nan_to_null, ref
 from rowproof.operators.duplicates import exact_duplicates
 from rowproof.operators.frequency import frequency
 from rowproof.operators.outliers import date_flags, iqr_flags, z_flags
@@ -41,7 +42,7 @@ class Flags:
             (self.must_not_hold if bad else self.must_hold).append(check)
 
     def verdict(self) -> Column:
-        rules = [F.col(c) for c in self.must_hold] + [~F.col(c) for c in self.must_not_hold]
+        rules = [ref(c) for c in self.must_hold] + [~ref(c) for c in self.must_not_hold]
         return reduce(lambda a, b: a & b, rules, F.lit(True))
 
 
@@ -142,9 +143,10 @@ def flag_rows(
     street_types: Sequence[str] | None = None,
     max_values_in_task: int = MAX_VALUES_IN_TASK,
 ) -> tuple[DataFrame, Flags]:
-    """All rule columns and the verdict, as one plan without a shuffle of the rows."""
+    """All rule columns and the verdict, as one plan without a shuffle of the rows; NaN is null."""
     if config.addresses and zip_ref is None:
         raise ValueError("address rules need a ZIP reference table")
+    df = nan_to_null(df)
     flags = Flags()
     out = df
     if config.addresses:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,12 +40,18 @@ def replace_table(
     types: Mapping[str, str] | None = None,
     jdbc: Mapping[str, str] | None = None,
 ) -> None:
-    """Replace a table, with declared column types when they are given."""
+    """Replace a table, with declared column types when they are given.
+
+    A catalog table keeps declared lengths as VARCHAR(n); writing a longer text fails, and the old
+    table then stays as it was.
+    """
     name = table_name(table, schema)
     resolved = resolve_types(types, df.columns) if types is not None else {}
     typed = cast_columns(df, resolved)
-    if jdbc is None:
-        typed.write.mode("overwrite").option("overwriteSchema", True).saveAsTable(name)
+    if jdbc is None and resolved:
+        _create_typed(typed, name, resolved)
+    elif jdbc is None:
+        typed.write.mode("overwrite").saveAsTable(name)
     else:
         writer = _jdbc(typed, jdbc, name)
         if resolved:
@@ -64,6 +71,19 @@ def truncate_table(
         _jdbc(empty, jdbc, name).option("truncate", True).mode("overwrite").save()
 
 
+def _create_typed(df: DataFrame, name: str, types: Mapping[str, T.DataType]) -> None:
+    """Write under another name first, so that a failing write leaves the old table."""
+    spark, fresh = df.sparkSession, f"{name}_{uuid4().hex}"
+    spark.sql(f"CREATE TABLE {fresh} ({column_types(types)}) USING parquet")
+    try:
+        df.write.insertInto(fresh)
+    except Exception:
+        spark.sql(f"DROP TABLE {fresh}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+
+
 def column_types(types: Mapping[str, T.DataType]) -> str:
     """Column list for the database, e.g. "`name` VARCHAR(256), `id` BIGINT"."""
     return ", ".join(f"`{name}` {kind.simpleString().upper()}" for name, kind in types.items())

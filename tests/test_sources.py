@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from rowproof.config import DatasetConfig, load_registry, resolve_config
 from rowproof.plans.runs import fuzzy_run, load_with_metadata, load_with_types, profile_run
 from rowproof.plans.validation import validate, write_reports
+from rowproof.operators import columns
 from rowproof.sources import sinks, tables
 
 RAW = {
@@ -69,7 +70,7 @@ def test_null_tokens(spark, tmp_path):
 
 def test_nan_to_null(spark):
     df = spark.createDataFrame([(float("nan"), "x"), (1.0, "y")], "n double, s string")
-    assert [r.n for r in tables.nan_to_null(df).collect()] == [None, 1.0]
+    assert [r.n for r in columns.nan_to_null(df).collect()] == [None, 1.0]
 
 
 def test_run_files(spark, people, tmp_path):
