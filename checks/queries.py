@@ -750,11 +750,11 @@ def batch_run(spark, folder):
 
     def job(df: DataFrame, config: DatasetConfig, name: str) -> None:
         validate(df, config, stage=False)["validation_summary"].select(
-            F.col("contact_id").cast("bigint"), "row_is_valid"
+            F.col("contact_id").cast("bigint"), "row_is_valid", F.lit(name).alias("dataset")
         ).write.parquet(f"{base}/out/{name}")
 
     status = run_files(spark, [good, bad, f"{base}/notes.txt"], registry, job)
-    rows = spark.read.parquet(f"{base}/out/contacts").withColumn("dataset", F.lit("contacts"))
+    rows = spark.read.parquet(f"{base}/out/contacts")
     return status.drop("path").join(rows, "dataset", "left")
 
 

@@ -52,7 +52,7 @@ def z_flags(
     With infinite values the deviation is no number, and nothing is flagged.
     """
     return {
-        f"{c}_isOutlier": F.coalesce((z > STD_FENCE) & ~F.isnan(z), F.lit(False))
+        f"{c}_isOutlier": F.coalesce(F.nanvl(z, F.lit(0.0)) > STD_FENCE, F.lit(False))
         for c, z in z_scores(df, columns, null_fill).items()
     }
 
