@@ -4,9 +4,10 @@ Two sets of n tokens or so that overlap enough share a token among the first few
 of all tokens; a false pair that shares one under one order seldom shares one under another. A pair must
 share a prefix token under every order before it is verified on the whole sets.
 
-The orders put a fixed two fifths of all hashes (the ranked tokens) first, rare ones before frequent ones by
-their document counts over the whole table, so common passages stand behind what is a document's own.
-Orders differ in how they break ties. A prefix token of one document only cannot be shared and is not sent.
+The orders put rare tokens before frequent ones, by their document counts over the whole table, so common
+passages stand behind what is a document's own. Orders differ in how they break ties. A prefix token of one
+document only cannot be shared and is not sent; but it counts in the places of the tokens behind it, and a
+pair is a candidate only if behind its shared token both sets are still long enough for their union.
 
 What keeps large groups of copies from being paired with one another: documents with equal sets are one
 class with one representative, and what is asked for is which documents are connected. In the first round
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowproof.llm.components import components
@@ -40,8 +41,6 @@ from rowproof.sources.staging import staged
 SHINGLE = 4
 #: Two sets link from this share of their union on, in hundredths.
 SIMILAR = 85
-#: Of 256 values of a hash's low byte, those of ranked tokens.
-RANKED = 102
 ORDERS = 2
 
 
@@ -66,14 +65,10 @@ def shingles(block: Block, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]
     return doc[new], h[new]
 
 
-def ranked(h: np.ndarray) -> np.ndarray:
-    return (h & np.uint64(255)) < np.uint64(RANKED)
-
-
 def _keys(size: int):
     def run(block: Block) -> list[tuple[np.ndarray, np.ndarray]]:
         _, h = shingles(block, size)
-        return [distinct(h[ranked(h)])]
+        return [distinct(h)]
 
     return run
 
@@ -83,16 +78,19 @@ def prefix_length(n: np.ndarray, similar: int = SIMILAR) -> np.ndarray:
     return n - -(-similar * n // 100) + 1
 
 
-def _prefixes(doc: np.ndarray, h: np.ndarray, rank: np.ndarray, n: np.ndarray, seed: int, similar: int) -> np.ndarray:
-    """Places of the prefix tokens under one order, by document."""
+def _prefixes(
+    doc: np.ndarray, h: np.ndarray, rank: np.ndarray, n: np.ndarray, seed: int, similar: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix tokens under one order by document, and their places in it."""
     tie = h if seed == 0 else mix(h, seed)
     order = np.lexsort((tie, rank, doc))
     begin = np.cumsum(n) - n
     place = np.arange(len(h)) - begin[doc[order]]
-    return order[place < prefix_length(n, similar)[doc[order]]]
+    first = place < prefix_length(n, similar)[doc[order]]
+    return order[first], place[first]
 
 
-def _sets(size: int, similar: int, id_kind: pa.DataType):
+def _sets(size: int, similar: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -100,21 +98,22 @@ def _sets(size: int, similar: int, id_kind: pa.DataType):
                 docs = len(block.first) - 1
                 doc, h = shingles(block, size)
                 n = np.bincount(doc, minlength=docs)
-                first = ranked(h)
-                count = np.ones(len(h), np.int64)
-                _, at = np.unique(h[first], return_inverse=True)
-                count[first] = totals(batch, i, 0, 1, "full")[at]
-                own = np.bincount(doc[first & (count == 1)], minlength=docs)
+                _, at = np.unique(h, return_inverse=True)
+                count = totals(batch, i, 0, 1, "full")[at]
+                own = np.bincount(doc[count == 1], minlength=docs)
                 # A prefix full of tokens that no other document has shares none.
                 open_ = (n > 0) & (own < prefix_length(n, similar))
                 mine = np.flatnonzero(open_[doc])
-                rank = np.where(first, count, np.int64(1) << 40)[mine]
-                picked = []
+                lists = {}
                 for seed in range(ORDERS):
-                    at = mine[_prefixes(np.searchsorted(np.flatnonzero(open_), doc[mine]), h[mine], rank, n[open_], seed, similar)]
-                    at = at[~first[at] | (count[at] > 1)]
-                    at = at[np.argsort(doc[at], kind="stable")]
-                    picked.append(list_column(pa.array(h[at].view(np.int64)), np.bincount(doc[at], minlength=docs)))
+                    number = np.searchsorted(np.flatnonzero(open_), doc[mine])
+                    at, place = _prefixes(number, h[mine], count[mine], n[open_], seed, similar)
+                    at, shared = mine[at], count[mine[at]] > 1
+                    at, place = at[shared], place[shared]
+                    sizes = np.bincount(doc[at], minlength=docs)
+                    lists[f"t{seed}"] = list_column(pa.array(h[at].view(np.int64)), sizes)
+                    if seed == 0:
+                        lists["places"] = list_column(pa.array(place), sizes)
                 edge = np.concatenate([[0], np.cumsum(n)])
                 digest, packed = [], []
                 for k in range(docs):
@@ -128,7 +127,7 @@ def _sets(size: int, similar: int, id_kind: pa.DataType):
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": block.doc_id, "n": n, "own": own, "digest": pa.array(digest, pa.binary()),
-                        **{f"t{k}": column for k, column in enumerate(picked)}, "tokens": pa.array(packed, pa.binary()),
+                        **lists, "tokens": pa.array(packed, pa.binary()),
                     }
                 )
 
@@ -183,39 +182,53 @@ def joined(docs: DataFrame, similar: int = SIMILAR, size: int = SHINGLE, block_t
     blocks = stored_blocks(docs, most=block_text)
     answered = answers(blocks, _keys(size), 1)
     id_field = docs.schema["doc_id"].dataType.simpleString()
-    orders = ", ".join(f"t{k} array<long>" for k in range(ORDERS))
+    orders = ", ".join(["t0 array<long>, places array<long>", *(f"t{k} array<long>" for k in range(1, ORDERS))])
     sets = staged(
         with_answers(blocks, answered).mapInArrow(
-            _sets(size, similar, None), f"doc_id {id_field}, n long, own long, digest binary, {orders}, tokens binary"
+            _sets(size, similar), f"doc_id {id_field}, n long, own long, digest binary, {orders}, tokens binary"
         )
     )
     known = sets.filter("digest is not null and doc_id is not null")
     classes = known.groupBy(F.col("digest").alias("digest_")).agg(F.min("doc_id").alias("stands"))
     heads = staged(known.join(classes, (F.col("digest") == F.col("digest_")) & (F.col("doc_id") == F.col("stands"))).drop("digest_", "stands"))
-    token = heads.select(F.explode("t0").alias("token"), "doc_id", "own")
+    token = heads.select(F.explode(F.arrays_zip("t0", "places")).alias("t"), "doc_id", "own", "n").select(
+        F.col("t.t0").alias("token"), "doc_id", "own", "n", (F.col("n") - F.col("t.places")).alias("left")
+    )
+
+    def enough(n: Column, left: Column, other_n: Column, other_left: Column) -> Column:
+        """From the shared token on, both sets hold as many tokens as the overlap of linked sets needs."""
+        return F.least(left, other_left) * (100 + similar) >= (n + other_n) * similar
 
     # First round: the documents of a prefix token against the one with the fewest tokens of its own.
     centre = token.groupBy(F.col("token").alias("token_")).agg(
-        F.min(F.struct("own", "doc_id")).alias("centre"), F.count(F.lit(1)).alias("c")
+        F.min(F.struct("own", "doc_id", "n", "left")).alias("centre"), F.count(F.lit(1)).alias("c")
     ).filter("c > 1")
     first = _ordered(
-        token.join(centre, F.col("token") == F.col("token_")).select(F.col("doc_id").alias("x"), F.col("centre.doc_id").alias("y"))
+        token.join(
+            centre,
+            (F.col("token") == F.col("token_")) & (F.col("doc_id") != F.col("centre.doc_id"))
+            & enough(F.col("n"), F.col("left"), F.col("centre.n"), F.col("centre.left")),
+        ).select(F.col("doc_id").alias("x"), F.col("centre.doc_id").alias("y"))
     )
     links = staged(_links(first, heads, similar))
 
     # Second round: all documents of a prefix token that are not connected yet.
     linked = staged(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     placed = token.join(linked, F.col("doc_id") == F.col("node"), "left").select(
-        "token", "doc_id", F.coalesce("component", "doc_id").alias("component")
+        "token", "doc_id", "n", "left", F.coalesce("component", "doc_id").alias("component")
     )
     open_ = placed.groupBy(F.col("token").alias("token_")).agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     ).filter("low < high")
-    apart = staged(placed.join(open_, F.col("token") == F.col("token_")).select("token", "doc_id", "component"))
-    other = apart.select(F.col("token").alias("token_"), F.col("doc_id").alias("y"), F.col("component").alias("component_"))
+    apart = staged(placed.join(open_, F.col("token") == F.col("token_")).drop("token_", "low", "high"))
+    other = apart.select(*(F.col(c).alias(f"{c}_") for c in apart.columns))
     second = _ordered(
-        apart.join(other, (F.col("token") == F.col("token_")) & (F.col("doc_id") < F.col("y")) & (F.col("component") != F.col("component_")))
-        .select(F.col("doc_id").alias("x"), "y")
+        apart.join(
+            other,
+            (F.col("token") == F.col("token_")) & (F.col("doc_id") < F.col("doc_id_"))
+            & (F.col("component") != F.col("component_"))
+            & enough(F.col("n"), F.col("left"), F.col("n_"), F.col("left_")),
+        ).select(F.col("doc_id").alias("x"), F.col("doc_id_").alias("y"))
     )
     more = _links(second, heads, similar)
     linked = components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
