@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from checks.relations import ADDRESSES_CTE, CONTACTS_CTE, LINES_CTE, MEASURES_CTE, STREET_WORDS, ZIP_CTE
+from checks.relations import (
+    ADDRESSES_CTE, CONTACTS_CTE, LARGE_ZIP_CTE, LINES_CTE, MEASURES_CTE, POSTAL_CTE, STREET_WORDS, ZIP_CTE,
+)
 from rowproof import lexicon
 
 
@@ -740,6 +742,9 @@ ORACLES: dict[str, str] = {
             good AS zip_ok, CASE WHEN good THEN
                 CASE WHEN cc = 'US' THEN substr(postal_code, 1, 5) ELSE postal_code END END AS zip_text
         FROM j""",
+    "zip_large_reference": f"""WITH {LARGE_ZIP_CTE}, {POSTAL_CTE}, r AS (SELECT DISTINCT zip, place, state FROM zip_ref)
+        SELECT o_orderkey, r.zip IS NOT NULL AS known, r.place AS place, r.state AS state
+        FROM postal LEFT JOIN r ON substr(postal_code, 1, 5) = r.zip""",
     "zip_patterns": f"""WITH a AS (SELECT o_orderkey,
             CASE o_orderkey % 10 WHEN 0 THEN 'US' WHEN 1 THEN 'AU' WHEN 2 THEN 'BR' WHEN 3 THEN 'DE'
                 WHEN 4 THEN 'CA' WHEN 5 THEN 'FR' WHEN 6 THEN 'JP' WHEN 7 THEN 'GB' WHEN 8 THEN 'IN'

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.relations import CONTACT_COLUMNS, addresses, contacts, measures, street_lines, table, zip_ref
+from checks.relations import CONTACT_COLUMNS, addresses, contacts, large_zip_ref, measures, postal_codes, street_lines, table, zip_ref
 from rowproof.config import AddressConfig, DatasetConfig
 from rowproof.functions import address as address_text
 from rowproof.functions import contact as contact_rules
@@ -35,6 +35,7 @@ from rowproof.operators.ziplookup import (
     us_zip_code,
     with_zip_lookup,
     zip_lookup,
+    zip_records,
 )
 from rowproof.plans.runs import fuzzy_run, load_with_metadata, load_with_types, profile_run
 from rowproof.plans.validation import validate
@@ -412,6 +413,16 @@ def zip_rules(spark, folder):
     )
 
 
+def zip_large_reference(spark, folder):
+    """Lookups in a reference of thousands of ZIPs; one code is in a quarter of the rows."""
+    records = zip_records(large_zip_ref(spark, folder))
+    rows = with_zip_lookup(postal_codes(spark, folder), "postal_code", records)
+    return rows.select(
+        "o_orderkey", us_zip_code("zip_hit").alias("known"), us_city_by_zip("zip_hit").alias("place"),
+        us_state_by_zip("zip_hit").alias("state"),
+    )
+
+
 def zip_patterns(spark, folder):
     """Nine countries' patterns over codes made from the keys."""
     rows = table(spark, folder, "orders").selectExpr(
@@ -768,7 +779,7 @@ QUERIES: dict[str, Query] = {
         iqr_outliers, iqr_bounds, bounds_outliers, date_iqr_outliers, exact_duplicates,
         duplicate_texts, duplicates_one_column, distinct_values, null_required, null_any_column,
         report_projection, identifiers, scrub_file, scrub_text, scrub_old, country_rules,
-        country_names, state_rules, city_rules, title_texts, title_names, zip_rules, zip_patterns,
+        country_names, state_rules, city_rules, title_texts, title_names, zip_rules, zip_large_reference, zip_patterns,
         zip_reverse, phone_rules_contacts, phone_validate, phone_in_documents, email_rules,
         email_in_documents, url_rules, name_rules, address_assemble, address_parse,
         address_between, address_messages, address_key, address_duplicates, address_summary,

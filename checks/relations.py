@@ -77,6 +77,18 @@ LINE_COLUMNS = {
         || 'Miami, FL 33101'""",
 }
 
+# A reference of thousands of ZIPs, some twice, and postal codes that meet it or not.
+LARGE_ZIP_COLUMNS = {
+    "zip": "substr(CAST(100000 + o_orderkey % 7919 AS STRING), 2)",
+    "place": "'Town ' || CAST(o_orderkey % 7919 % 40 AS STRING)",
+    "state": "CASE o_orderkey % 7919 % 3 WHEN 0 THEN 'MA' WHEN 1 THEN 'AZ' ELSE 'GA' END",
+}
+POSTAL_COLUMNS = {
+    "o_orderkey": "o_orderkey",
+    "postal_code": """CASE o_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '00007'
+        ELSE substr(CAST(100000 + o_custkey * 31 % 9000 AS STRING), 2) || '-1234' END""",
+}
+
 ZIP_ROWS = """VALUES ('01824', 'Chelmsford', 'MA'), ('85258', 'Scottsdale', 'AZ'),
     ('57107', 'Sioux Falls', 'SD'), ('30303', 'Atlanta', 'GA'), ('27709', 'Durham', 'NC')"""
 
@@ -90,6 +102,8 @@ CONTACTS_CTE = f"contacts AS ({_select(CONTACT_COLUMNS, 'customer')})"
 ADDRESSES_CTE = f"addresses AS ({_select(ADDRESS_COLUMNS, 'customer')})"
 MEASURES_CTE = f"measures AS ({_select(MEASURE_COLUMNS, 'customer')})"
 LINES_CTE = f"street_lines AS ({_select(LINE_COLUMNS, 'customer')})"
+LARGE_ZIP_CTE = f"zip_ref AS ({_select(LARGE_ZIP_COLUMNS, 'orders')})"
+POSTAL_CTE = f"postal AS ({_select(POSTAL_COLUMNS, 'orders')})"
 ZIP_CTE = f"zip_ref(zip, place, state) AS ({ZIP_ROWS})"
 
 
@@ -117,5 +131,15 @@ def street_lines(spark: SparkSession, folder: str) -> DataFrame:
     return rows.selectExpr(*(f"{text} AS {name}" for name, text in LINE_COLUMNS.items()))
 
 
+def large_zip_ref(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "orders")
+    return rows.selectExpr(*(f"{text} AS {name}" for name, text in LARGE_ZIP_COLUMNS.items()))
+
+
+def postal_codes(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "orders")
+    return rows.selectExpr(*(f"{text} AS {name}" for name, text in POSTAL_COLUMNS.items()))
+
+
 def zip_ref(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM ({ZIP_ROWS}) AS t(zip, place, state)")

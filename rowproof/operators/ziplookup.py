@@ -9,6 +9,16 @@ from rowproof.functions.postal import zip5
 from rowproof.functions.text import col
 
 
+def zip_records(zip_ref: DataFrame) -> DataFrame:
+    """One record per ZIP of a reference `(zip, place, state, ...)`."""
+    return (
+        zip_ref.where(F.col("zip").isNotNull())
+        .groupBy(F.col("zip").alias("__zip"))
+        .agg(F.min(F.struct(*zip_ref.columns)).alias("__record"))
+        .select("__record.*")
+    )
+
+
 def with_zip_lookup(
     df: DataFrame, postal: Column | str, zip_ref: DataFrame, out: str = "zip_hit"
 ) -> DataFrame:
@@ -16,7 +26,8 @@ def with_zip_lookup(
 
     One join serves every ZIP function. The reference is reduced to one record per ZIP, so the
     join never multiplies rows. There is no broadcast hint: Catalyst and AQE broadcast the
-    reference when its size is under the session's threshold and shuffle it otherwise.
+    reference when its size is under the session's threshold and shuffle it otherwise. A reference
+    that comes from a file or is staged has a known size; `validate` stages it.
     """
     key = f"__{out}_key"
     records = (

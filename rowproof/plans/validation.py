@@ -19,6 +19,7 @@ from rowproof.operators.frequency import frequency
 from rowproof.operators.outliers import date_flags, iqr_flags, z_flags
 from rowproof.operators.project import default_country, null_rows, report_columns
 from rowproof.operators.quantiles import MAX_VALUES_IN_TASK
+from rowproof.operators.ziplookup import zip_records
 from rowproof.sources.sinks import DETAIL_SEPARATOR, SUMMARY_SEPARATOR, write_report
 from rowproof.sources.staging import staged
 
@@ -187,6 +188,9 @@ def validate(
     With `stage` the flagged table is written once to the shared folder and every report reads
     its own columns from there; without it each report is a plan over the input.
     """
+    if stage and zip_ref is not None and config.addresses:
+        # Reduced and written once, its size is known: all address groups can then broadcast it.
+        zip_ref = staged(zip_records(zip_ref))
     flagged, flags = flag_rows(
         df,
         config,

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 def staging_folder(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`; a temporary one only in local mode."""
@@ -27,5 +32,25 @@ def staged(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_folder(spark)}/staged-{uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging_run(spark: SparkSession) -> Iterator[None]:
+    """Remove, when the block ends, the tables that were staged inside it.
+
+    What reads them must be written or fetched before; only folders that `staged` made are removed.
+    """
+    paths: list[str] = []
+    token = _made.set(paths)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -162,3 +162,50 @@ def test_query_sources(spark, tmp_path):
     path = tmp_path / "q.sql"
     path.write_text("SELECT count(*) AS n\nFROM five;\n")
     assert tables.read_query_file(spark, str(path)).first().n == 5
+
+
+def test_staged_tables_go_when_their_run_ends(spark):
+    from rowproof.sources.staging import staged, staging_run
+
+    outside = staged(spark.range(3).toDF("x"))
+    with staging_run(spark):
+        inside = staged(spark.range(5).toDF("x"))
+        path = inside.inputFiles()[0]
+        assert inside.count() == 5
+    assert outside.count() == 3
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def test_database_reads_can_be_divided():
+    split = tables.Split("id", "0", "1000", 8)
+    options = tables.jdbc_read_options("SELECT * FROM t", {"url": "jdbc:x"}, split)
+    assert options["dbtable"] == "(SELECT * FROM t) AS rows_to_read" and "query" not in options
+    assert (options["partitionColumn"], options["numPartitions"], options["fetchsize"]) == ("id", "8", "10000")
+    assert tables.jdbc_read_options("q", {"url": "u"}) == {"url": "u", "query": "q"}
+
+
+def test_declared_lengths_are_kept_and_guarded(spark):
+    name = "declared_lengths"
+    types = {"a": "sa.String(2)", "b": "sa.Integer"}
+    sinks.replace_table(spark.createDataFrame([("ab", "1")], "a string, b string"), name, types=types)
+    kinds = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE {name}").collect()}
+    assert kinds == {"a": "varchar(2)", "b": "int"}
+    with pytest.raises(Exception, match="(?i)length"):
+        sinks.replace_table(spark.createDataFrame([("abcdef", "1")], "a string, b string"), name, types=types)
+    assert [tuple(r) for r in spark.table(name).collect()] == [("ab", 1)]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_failing_job_does_not_stop_the_other_files(spark, tmp_path):
+    for name in ("bad", "good"):
+        (tmp_path / f"{name}.csv").write_text("id\n1\n")
+    config = DatasetConfig(table="t", primary_key=("id",))
+
+    def job(df, config, name):
+        if name == "bad":
+            raise KeyError("gone")
+
+    paths = [f"{tmp_path}/{n}.csv" for n in ("bad", "good")]
+    rows = tables.run_files(spark, paths, {"bad": config, "good": config}, job).collect()
+    assert [(r.dataset, r.status) for r in rows] == [("bad", "failed"), ("good", "done")]
