@@ -16,7 +16,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 #: Texts are worked on in blocks of about so many bytes, whatever the size of an Arrow batch.
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20
 
 BASE = 0x9E3779B97F4A7C15 | 1
 MASK = (1 << 64) - 1
