@@ -232,8 +232,10 @@ def joined(docs: DataFrame, similar: int = SIMILAR, size: int = SHINGLE, block_t
     )
     more = _links(second, heads, similar)
     linked = components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
-    return (
-        sets.select("doc_id", "n", "digest")
+    # Most documents share no rare token and have no class: they would all be one null key of a join.
+    alone = sets.filter("digest is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return alone.unionByName(
+        sets.filter("digest is not null").select("doc_id", "n", "digest")
         .join(classes, F.col("digest") == F.col("digest_"), "left")
         .join(linked, F.col("stands") == F.col("node"), "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "stands", "doc_id").alias("component_id"))
