@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rowproof.llm import exactdedup, interpolation, jaccard, language, mixing, packing, suffixes, superkmers, toxicity, vectors
+from rowproof.llm.oracles import ORACLES
 
 QUERIES = {
     f.__name__: f
@@ -19,4 +20,5 @@ QUERIES = {
         superkmers.op10_superkmer_dedup,
     )
 }
-ORACLES = {"op7_mixing": mixing.ORACLE, "op9_exact_dedup": exactdedup.ORACLE}
+
+__all__ = ["ORACLES", "QUERIES"]
