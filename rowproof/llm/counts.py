@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowproof.llm.repeats import whole_groups
-from rowproof.llm.texts import LOWER, byte_view, prefix_hash, span_hash, text_or_empty, word_bounds
+from rowproof.llm.texts import LOWER, blocks, byte_view, prefix_hash, span_hash, text_or_empty, word_bounds
 from rowproof.sources.staging import staged
 
 #: Bytes of text in a block.
-BLOCK_TEXT = 8 << 20
+BLOCK_TEXT = 4 << 20
 
 
 def squeeze(data: bytes) -> bytes:
@@ -59,11 +59,10 @@ def unpack_counts(data: bytes) -> np.ndarray:
 
 @dataclass
 class Block:
-    """Documents of one kind: their ids, lower-cased bytes and words as hashes."""
+    """Documents of one kind: their ids, and their lower-cased words as hashes."""
 
     kind: int
     doc_id: pa.Array
-    data: np.ndarray
     words: np.ndarray
     first: np.ndarray
 
@@ -126,11 +125,15 @@ def stored_blocks(docs: DataFrame, kind=None, most: int = BLOCK_TEXT) -> DataFra
 
 
 def read_block(batch: pa.RecordBatch, i: int) -> Block:
-    data = LOWER[np.frombuffer(expand(batch.column("text")[i].as_py()), np.uint8)]
+    data = np.frombuffer(expand(batch.column("text")[i].as_py()), np.uint8)
     at = np.concatenate([[0], np.cumsum(batch.column("sizes")[i].values.to_numpy())])
-    starts, ends, first = word_bounds(data, at)
-    words = span_hash(prefix_hash(data), starts, ends)
-    return Block(batch.column("kind")[i].as_py(), batch.column("ids")[i].values, data, words, first)
+    words, first = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for a, b in blocks(at):  # the numbers per byte are for a part of the block only
+        part = LOWER[data[at[a] : at[b]]]
+        starts, ends, begins = word_bounds(part, at[a : b + 1] - at[a])
+        words.append(span_hash(prefix_hash(part), starts, ends))
+        first.append(begins[1:] + first[-1][-1])
+    return Block(batch.column("kind")[i].as_py(), batch.column("ids")[i].values, np.concatenate(words), np.concatenate(first))
 
 
 #: From a block, per level: all its keys with how often each counts.
