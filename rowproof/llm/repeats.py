@@ -11,7 +11,7 @@ minimiser does, so:
 4. repeated windows come back as spans of their document.
 
 Texts are shuffled once, for steps 3 and 4 together (Spark reuses that exchange). A bucket group is
-bounded: a minimiser with more than `hot` runs goes another way. There, equal pieces are first counted as
+bounded: a minimiser that may have more than `hot` windows goes another way. There, equal pieces are first counted as
 one (partial sums again), then the windows of distinct pieces are counted by two 64-bit hashes, a key for
 every window, so a passage that a third of all documents share is dealt out over all tasks and never
 gathered. Joins back are ordinary equi-joins, which adaptive execution divides where a key is hot.
@@ -35,8 +35,8 @@ from rowproof.llm.texts import (
 )
 from rowproof.sources.staging import staged
 
-#: Runs of one minimiser that one task may hold; more take the way for hot minimisers.
-HOT = 4096
+#: Windows of one minimiser that one task may hold (some hundred bytes each); more take the way for hot ones.
+HOT_WINDOWS = 1 << 21
 #: Bytes of pieces that a bucket task works on at once, beyond the group it is in.
 BUCKET_BYTES = 1 << 22
 #: Symbols of a text looked at together: a minimiser's place must fit in so many.
@@ -308,7 +308,7 @@ def numbered(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_or_empty().alias("text")).select("doc_id", F.hash("text").alias("th"), "text")
 
 
-def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT) -> DataFrame:
+def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT_WINDOWS) -> DataFrame:
     """doc_id, text and `spans` (list of start, stop in symbols, or null) of every row of `docs`.
 
     A span is covered by windows that also start elsewhere. `find` gets keys, distinct pieces with their
@@ -320,7 +320,7 @@ def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT) ->
     keys = staged(
         marks.select(F.explode("keys").alias("known"))
         .groupBy("known").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-        .select("known", (F.col("c") > hot).alias("hot"))
+        .select("known", (F.col("c") * (scheme.window - scheme.gram + 1) > hot).alias("hot"))
     )
     todo = (
         marks.select(F.col("doc_id").alias("t_doc_id"), F.col("th").alias("t_th"),
@@ -353,7 +353,8 @@ def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT) ->
         again = windows.groupBy(F.col("one").alias("one2"), F.col("two").alias("two2")).agg(
             F.sum("copies").alias("c")
         ).filter("c > 1")
-        places = (
+        # Written, so that a piece of very many documents meets a plain exchange, which Spark can divide.
+        places = staged(
             windows.join(again, (F.col("one") == F.col("one2")) & (F.col("two") == F.col("two2")))
             .groupBy(F.col("pid").alias("pid2")).agg(F.collect_list("at").alias("places"))
         )

@@ -22,10 +22,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from rowproof.llm.repeats import HOT, Scheme, covered, with_spans
+from rowproof.llm.repeats import HOT_WINDOWS, Scheme, covered, with_spans
 from rowproof.llm.texts import byte_view, table
 
-WINDOW, GRAM = 200, 48
+WINDOW, GRAM = 200, 32
 DIGIT = 8
 
 
@@ -73,7 +73,7 @@ def equal_windows(key: np.ndarray, pieces: list[bytes], n: np.ndarray, scheme: S
     return again
 
 
-def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, keep_text: bool = False) -> DataFrame:
+def removed(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT_WINDOWS, keep_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and the kept bytes as `kept`, if asked for)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
