@@ -16,6 +16,9 @@ from rowproof.llm.texts import table
 from rowproof.sources.staging import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Near copies are told by sets of so many words, from this share of their union on, in hundredths.
+NEAR_WORDS = 5
+NEAR_SIMILAR = 80
 
 
 def _only(docs: DataFrame, decided: DataFrame) -> DataFrame:
@@ -36,7 +39,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The document of the smallest id stays of each group."""
-    found = jaccard.joined(docs)
+    found = jaccard.joined(docs, similar=NEAR_SIMILAR, size=NEAR_WORDS)
     return _only(docs, found.filter(found["doc_id"].eqNullSafe(found["component_id"])))
 
 
