@@ -4,15 +4,16 @@ Every stage takes what its predecessor kept, is written as Parquet in the shared
 All but the last return the columns of `documents`. A document goes when its language cannot be told
 (no letters, no text, or two languages alike), when an equal text stays instead, when an earlier document
 of its near-duplicate group stays instead, or when the mix does not draw it; every other one stays whole.
+Decisions hold for rows, not ids: rows that share an id, or have none, come and go on their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowproof.llm import exactdedup, jaccard, language, mixing, packing
-from rowproof.llm.texts import table
+from rowproof.llm.texts import table, text_or_empty
 from rowproof.sources.staging import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -21,10 +22,11 @@ NEAR_WORDS = 5
 NEAR_SIMILAR = 80
 
 
-def _only(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id (null is one too) is among the decided ones."""
-    chosen = decided.select(F.col("doc_id").alias("chosen_id"))
-    return docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("chosen_id")), "left_semi").select(*COLUMNS)
+def _same(left: list[Column], right: list[Column]) -> Column:
+    condition = F.lit(True)
+    for a, b in zip(left, right, strict=True):
+        condition &= a.eqNullSafe(b)
+    return condition
 
 
 def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -34,17 +36,42 @@ def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return _only(docs, exactdedup.exact_duplicates(docs).filter("kept"))
+    """One row stays of each group of equal texts, also where several of its rows have the id that stays."""
+    decided = exactdedup.exact_duplicates(docs).filter("kept")
+    chosen = staged(
+        decided.groupBy(F.col("doc_id").alias("chosen_id"), F.col("text_sha256").alias("chosen_text"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    own = F.sha2(exactdedup.normalised(text_or_empty()).cast("binary"), 256)
+    rows = docs.select(*COLUMNS, own.alias("own"))
+    same = _same([rows["doc_id"], rows["own"]], [F.col("chosen_id"), F.col("chosen_text")])
+    single = rows.join(chosen.filter("rows = 1"), same, "left_semi").select(*COLUMNS)
+    # Rows that repeat an id and its text: the longest original stays, as operator 9 has it.
+    repeated = staged(chosen.filter("rows > 1").select("chosen_id", "chosen_text"))
+    one = F.max(F.struct(F.char_length(text_or_empty()).alias("points"), *COLUMNS)).alias("one")
+    several = rows.join(repeated, same, "left_semi").groupBy("doc_id", "own").agg(one)
+    return single.unionByName(several.select(*(F.col(f"one.{c}") for c in COLUMNS)))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The document of the smallest id stays of each group."""
-    found = jaccard.joined(docs, similar=NEAR_SIMILAR, size=NEAR_WORDS)
-    return _only(docs, found.filter(found["doc_id"].eqNullSafe(found["component_id"])))
+    """The document of the smallest id stays of each group.
+
+    Rows are the nodes, by a 64-bit hash of all their columns: an id may be null or repeated.
+    """
+    rows = docs.select(*COLUMNS, F.xxhash64(*COLUMNS).alias("row"))
+    found = jaccard.joined(rows.select(F.col("row").alias("doc_id"), "text"), similar=NEAR_SIMILAR, size=NEAR_WORDS)
+    found = found.select(F.col("doc_id").alias("node"), "component_id")
+    ids = rows.select("doc_id", "row")
+    stays = (
+        found.join(ids, F.col("node") == F.col("row")).groupBy("component_id")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+        .select(F.col("first.row").alias("stays"))
+    )
+    return rows.join(stays, F.col("row") == F.col("stays"), "left_semi").select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return _only(docs, mixing.mixed(docs).filter("kept"))
+    return mixing.mixed(docs, carry=COLUMNS).filter("kept").select("carried.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

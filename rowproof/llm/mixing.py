@@ -49,12 +49,13 @@ def token_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def labelled(docs: DataFrame, topic: Column | None = None) -> DataFrame:
-    """doc_id, source, lang, topic, n_tokens of every row."""
+def labelled(docs: DataFrame, topic: Column | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, source, lang, topic, n_tokens of every row; `carried` holds the columns to carry, if any."""
     text = text_or_empty()
     return docs.select(
         "doc_id", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
         (topic_of(text) if topic is None else topic).alias("topic"), token_count(text).alias("n_tokens"),
+        *([F.struct(*carry).alias("carried")] if carry else []),
     )
 
 
@@ -103,9 +104,11 @@ def draw(doc_id: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
-def mixed(docs: DataFrame, temper: float = TEMPER, rounds: int = ROUNDS, seed: str = "mix-") -> DataFrame:
-    """doc_id, source, lang, topic, n_tokens, rate, kept of every row."""
-    rows = labelled(docs)
+def mixed(
+    docs: DataFrame, temper: float = TEMPER, rounds: int = ROUNDS, seed: str = "mix-", carry: Sequence[str] = ()
+) -> DataFrame:
+    """doc_id, source, lang, topic, n_tokens, rate, kept of every row, and `carried` as in `labelled`."""
+    rows = labelled(docs, carry=carry)
     cells = staged(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("n_tokens")))
     targets = {d: staged(tempered_targets(cells, d, temper)) for d in DIMENSIONS}
     fitted = rake(cells, targets, rounds)
@@ -117,6 +120,7 @@ def mixed(docs: DataFrame, temper: float = TEMPER, rounds: int = ROUNDS, seed: s
     )
     return rows.join(rates, _same(DIMENSIONS, [f"{d}2" for d in DIMENSIONS]), "left").select(
         "doc_id", *DIMENSIONS, "n_tokens", "rate", (draw(F.col("doc_id"), seed) < F.col("rate")).alias("kept"),
+        *(["carried"] if carry else []),
     )
 
 
