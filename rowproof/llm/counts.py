@@ -49,12 +49,13 @@ def unpack_sorted(data: bytes) -> np.ndarray:
 
 
 def pack_counts(counts: np.ndarray) -> bytes:
-    return squeeze(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+    """Unsigned 64-bit numbers, equal bytes of all of them together: the upper ones are mostly zero."""
+    return squeeze(counts.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
 
 
 def unpack_counts(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(expand(data), np.uint8).reshape(4, -1).T
-    return np.ascontiguousarray(raw).view("<u4").ravel().astype(np.int64)
+    raw = np.frombuffer(expand(data), np.uint8).reshape(8, -1).T
+    return np.ascontiguousarray(raw).view("<u8").ravel().astype(np.int64)
 
 
 @dataclass
@@ -181,14 +182,13 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = np.bincount(place, counts * (kind == 0), len(unique)).astype(np.int64)
             full = base + np.bincount(place, counts * (kind == 1), len(unique)).astype(np.int64)
             at = np.cumsum(sizes) - sizes
-            most = np.int64(2**32 - 1)
             for k, (block, own) in enumerate(zip(part.column("block").to_pylist(), part.column("kind").to_pylist(), strict=True)):
                 mine = place[at[k] : at[k] + sizes[k]]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "block": [block], "key": [int(group[low])],
-                        "full": [pack_counts(np.minimum(full[mine], most))],
-                        "base": [pack_counts(np.minimum(base[mine], most)) if own == 1 else None],
+                        "full": [pack_counts(full[mine])],
+                        "base": [pack_counts(base[mine]) if own == 1 else None],
                         "sums": pa.array([None], pa.list_(pa.int64())),
                     },
                     schema=ANSWER,
