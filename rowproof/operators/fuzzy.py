@@ -1,11 +1,11 @@
-"""Fuzzy matching: every value with its five most similar values.
+"""Fuzzy matching: every value with its most similar values, five unless `keep` says otherwise.
 
 Two texts are compared through a normal form, so all work up to the last join is done once per
 distinct form. Pairs come from equi-joins on rare pieces (prefix filtering): texts that reach the
 threshold must share one of the rarest characters or character pairs, or for word sets one of the rarest words,
 of either text. The bounds are proven in `_needed`, `_always_needed` and `_word_prefix`; they lose no match, and no
 block of similar texts is capped. Values with an equal form are never paired with one another:
-the five smallest of them stand for the group.
+the `keep` smallest of them stand for the group, with `keep=None` all of them.
 """
 
 from __future__ import annotations
@@ -37,11 +37,12 @@ def _share(threshold: int) -> float:
 
 
 def fuzzy_matches(
-    df: DataFrame, column: str, threshold: int = THRESHOLD, scorers: Sequence[str] = SCORERS
+    df: DataFrame, column: str, threshold: int = THRESHOLD, scorers: Sequence[str] = SCORERS,
+    keep: int | None = KEEP,
 ) -> DataFrame:
-    """`scorer, value, match, score`: the five best matches of each value that reach `threshold`.
+    """`scorer, value, match, score`: the `keep` best matches of each value that reach `threshold`.
 
-    The value itself takes part with score 100 and uses a place. Ties go to the smaller match.
+    `keep=None` returns all. The value itself takes part with score 100 and uses a place. Ties go to the smaller match.
     Only pairs with `value < match` are returned.
     """
     values = distinct_values(df, column).select(F.col(column).cast("string").alias("value"))
@@ -61,12 +62,11 @@ def fuzzy_matches(
     best = Window.partitionBy("scorer", "form").orderBy(F.desc("score"), "match")
     top = (
         scored_forms(forms, threshold)
-        .join(_members(formed), ["scorer", "other"])
+        .join(_members(formed, keep), ["scorer", "other"])
         .select("scorer", "form", "match", "score")
-        .withColumn("place", F.row_number().over(best))
-        .where(F.col("place") <= KEEP)
-        .drop("place")
     )
+    if keep is not None:
+        top = top.withColumn("place", F.row_number().over(best)).where(F.col("place") <= keep).drop("place")
     return (
         formed.join(top, ["scorer", "form"])
         .where(F.col("value") < F.col("match"))
@@ -74,14 +74,12 @@ def fuzzy_matches(
     )
 
 
-def _members(formed: DataFrame) -> DataFrame:
-    """The five smallest values of each form; the rank filter is applied before the shuffle."""
+def _members(formed: DataFrame, keep: int | None) -> DataFrame:
+    """The `keep` smallest values of each form; the rank filter is applied before the shuffle."""
     ranked = Window.partitionBy("scorer", "form").orderBy("value")
-    return (
-        formed.withColumn("place", F.row_number().over(ranked))
-        .where(F.col("place") <= KEEP)
-        .select("scorer", F.col("form").alias("other"), F.col("value").alias("match"))
-    )
+    if keep is not None:
+        formed = formed.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= keep)
+    return formed.select("scorer", F.col("form").alias("other"), F.col("value").alias("match"))
 
 
 def scored_forms(forms: DataFrame, threshold: int) -> DataFrame:
@@ -407,11 +405,11 @@ def score_lists(matches: DataFrame, scorers: Sequence[str] = SCORERS) -> DataFra
 
 
 def find_fuzzy_matches(
-    df: DataFrame, columns: Sequence[str], table: str, threshold: int = THRESHOLD
+    df: DataFrame, columns: Sequence[str], table: str, threshold: int = THRESHOLD, keep: int | None = KEEP
 ) -> DataFrame:
     """`compare_scores` of every column, stacked with the column and table name."""
     parts = [
-        compare_scores(fuzzy_matches(df, c, threshold)).select(
+        compare_scores(fuzzy_matches(df, c, threshold, keep=keep)).select(
             F.lit(c).alias("table_column"), "*", F.lit(identifier_text(table)).alias("table_name")
         )
         for c in columns
@@ -420,14 +418,14 @@ def find_fuzzy_matches(
 
 
 def multi_fuzzy_matches(
-    df: DataFrame, columns: Sequence[str], threshold: int = THRESHOLD
+    df: DataFrame, columns: Sequence[str], threshold: int = THRESHOLD, keep: int | None = KEEP
 ) -> DataFrame:
     """`score_lists` of every column: `table_column, scorer, value, score, match`.
 
     A report sink may order it by falling score.
     """
     parts = [
-        score_lists(fuzzy_matches(df, c, threshold)).select(F.lit(c).alias("table_column"), "*")
+        score_lists(fuzzy_matches(df, c, threshold, keep=keep)).select(F.lit(c).alias("table_column"), "*")
         for c in columns
     ]
     return reduce(DataFrame.unionByName, parts)
