@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rowproof.llm import exactdedup, mixing
+from rowproof.llm import divergence, exactdedup, mixing
 
 WORD = r"'[^\x20\x09-\x0D]+'"
 
@@ -55,4 +55,5 @@ ORACLES = {
     "op7_mixing": mixing.ORACLE,
     "op9_exact_dedup": exactdedup.ORACLE,
     "op10_superkmer_dedup": SUPERKMERS,
+    "op12_source_divergence": divergence.ORACLE,
 }

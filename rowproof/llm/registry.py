@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rowproof.llm import exactdedup, interpolation, jaccard, language, mixing, packing, suffixes, superkmers, toxicity, vectors
+from rowproof.llm import divergence, exactdedup, interpolation, jaccard, language, mixing, packing, periods, suffixes, superkmers, toxicity, vectors
 from rowproof.llm.oracles import ORACLES
 
 QUERIES = {
@@ -18,6 +18,8 @@ QUERIES = {
         packing.op8_packing,
         exactdedup.op9_exact_dedup,
         superkmers.op10_superkmer_dedup,
+        periods.op11_periodic_runs,
+        divergence.op12_source_divergence,
     )
 }
 
