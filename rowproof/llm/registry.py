@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rowproof.llm import divergence, exactdedup, interpolation, jaccard, language, mixing, packing, periods, suffixes, superkmers, toxicity, vectors
+from rowproof.llm import divergence, exactdedup, interpolation, jaccard, language, mixing, packing, periods, phrases, suffixes, superkmers, toxicity, vectors
 from rowproof.llm.oracles import ORACLES
 
 QUERIES = {
@@ -20,6 +20,7 @@ QUERIES = {
         superkmers.op10_superkmer_dedup,
         periods.op11_periodic_runs,
         divergence.op12_source_divergence,
+        phrases.op13_phrase_fingerprint,
     )
 }
 
