@@ -49,11 +49,43 @@ SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(component, vec_id) AS compo
 FROM embeddings LEFT JOIN n ON n.x = vec_id LEFT JOIN m ON m.x = vec_id
 """
 
+PERIODS = rf"""
+WITH c AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), {WORD}) AS w,
+    xor(list_reduce(flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''),
+        lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1])),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END,
+      CAST(4294967295 AS BIGINT)), 4294967295) AS h FROM documents),
+  b AS (SELECT *, len(w) AS n, h // 10 AS g FROM c),
+  f AS (SELECT *, g % n AS a FROM b WHERE n > 0),
+  k AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS q FROM f),
+  d AS (SELECT id, doc_id, n, CASE WHEN h % 10 = 0
+      THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i >= a THEN a + (i - a) % q ELSE i END]) ELSE w END AS w FROM k),
+  words AS (SELECT id, unnest(w) AS word, unnest(range(n)) AS i FROM d),
+  tried AS (SELECT id, p, unnest(range(0, n - 3 * p + 1, p)) AS i FROM (SELECT id, n, unnest(range(1, n // 4 + 1)) AS p FROM d)),
+  alike AS (SELECT t.id, p, t.i FROM tried t JOIN words x ON x.id = t.id AND x.i = t.i
+    JOIN words y ON y.id = t.id AND y.i = t.i + p AND y.word = x.word),
+  inside AS (SELECT id, p, i FROM alike JOIN d USING (id) WHERE w[i + 1 : i + 2 * p] = w[i + p + 1 : i + 3 * p]),
+  differ AS (SELECT id, p, j FROM (SELECT id, p, w, unnest(range(n - p)) AS j FROM (SELECT DISTINCT id, p FROM inside) JOIN d USING (id))
+    WHERE w[j + 1] <> w[j + p + 1]),
+  bounds AS (SELECT id, p, i, coalesce(max(j) FILTER (j < i) + 1, 0) AS s, coalesce(min(j) FILTER (j >= i), any_value(n) - p) + p AS e
+    FROM inside JOIN d USING (id) LEFT JOIN differ USING (id, p) GROUP BY id, p, i),
+  runs AS (SELECT id, s, e - s AS m, min(p) AS p FROM bounds WHERE e - s >= greatest(6, 4 * p) GROUP BY id, s, e),
+  listed AS (SELECT id, count(*) AS n_runs, string_agg(s || ',' || m || ',' || p || chr(10), '' ORDER BY s, p) AS t,
+    max(struct_pack(m := m, s := -s, p := -p)) AS best FROM runs GROUP BY id),
+  gone AS (SELECT DISTINCT id, unnest(range(s + p, s + m)) AS i FROM runs),
+  kept AS (SELECT id, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (id, i) GROUP BY id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, -best.s AS start, CAST(best.m AS BIGINT) AS length, -best.p AS period,
+  1000 * best.m // -best.p AS exponent_milli, sha256(coalesce(listed.t, '')) AS runs_sha256,
+  sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM c LEFT JOIN listed USING (id) LEFT JOIN kept USING (id)
+"""
+
 ORACLES = {
     "op3_vector_dedup": VECTORS,
     "op6_jaccard_join": JACCARD,
     "op7_mixing": mixing.ORACLE,
     "op9_exact_dedup": exactdedup.ORACLE,
     "op10_superkmer_dedup": SUPERKMERS,
+    "op11_periodic_runs": PERIODS,
     "op12_source_divergence": divergence.ORACLE,
 }
