@@ -544,7 +544,7 @@ def ratio(a: str, b: str) -> str:
         ELSE CAST(round_even(100 * ((2 * {lcs(a, b)}) / (length({a}) + length({b}))), 0) AS INTEGER) END"""
 
 
-def fuzzy_base(columns: dict[str, str], threshold: int) -> str:
+def fuzzy_base(columns: dict[str, str], threshold: int, keep: int | None = 5) -> str:
     values = " UNION ALL ".join(
         f"SELECT {q(c)} AS c, v FROM (SELECT DISTINCT {c} AS v FROM {source} WHERE {c} IS NOT NULL)"
         for c, source in columns.items()
@@ -568,7 +568,7 @@ def fuzzy_base(columns: dict[str, str], threshold: int) -> str:
         topped AS (SELECT *, row_number() OVER (PARTITION BY c, scorer, value ORDER BY score DESC, match)
             AS r FROM scored),
         matches AS (SELECT c, scorer, value, match, score FROM topped
-            WHERE r <= 5 AND score >= {threshold} AND value < match)"""
+            WHERE {f"r <= {keep} AND" if keep else ""} score >= {threshold} AND value < match)"""
 
 
 def fuzzy_list(scorer: str) -> str:
@@ -820,6 +820,11 @@ ORACLES: dict[str, str] = {
         SELECT scorer, value, match, score FROM matches""",
     "fuzzy_low_threshold": f"""WITH {fuzzy_base({'p_name': 'part'}, 70)}
         SELECT scorer, value, match, score FROM matches""",
+    **{
+        f"fuzzy_suppliers_{name}": f"""WITH {fuzzy_base({'s_name': 'supplier'}, threshold, keep)}
+        SELECT scorer, value, match, score FROM matches"""
+        for name, threshold, keep in (("60", 60, 5), ("85", 85, 5), ("95", 95, 5), ("all", 94, None))
+    },
     "fuzzy_compare": f"""WITH {fuzzy_base({'p_name': 'part'}, 85)}
         SELECT c AS table_column, value, coalesce(s.list, '') AS token_sort_ratio,
             coalesce(t.list, '') AS token_set_ratio, 'part' AS table_name

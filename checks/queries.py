@@ -642,6 +642,24 @@ def fuzzy_low_threshold(spark, folder):
     return fuzzy.fuzzy_matches(table(spark, folder, "part"), "p_name", threshold=70)
 
 
+def fuzzy_suppliers_60(spark, folder):
+    """Numbered names, nearly all alike."""
+    return fuzzy.fuzzy_matches(table(spark, folder, "supplier"), "s_name", threshold=60)
+
+
+def fuzzy_suppliers_85(spark, folder):
+    return fuzzy.fuzzy_matches(table(spark, folder, "supplier"), "s_name")
+
+
+def fuzzy_suppliers_95(spark, folder):
+    return fuzzy.fuzzy_matches(table(spark, folder, "supplier"), "s_name", threshold=95)
+
+
+def fuzzy_suppliers_all(spark, folder):
+    """Every match that reaches the threshold, not only the best."""
+    return fuzzy.fuzzy_matches(table(spark, folder, "supplier"), "s_name", threshold=94, keep=None)
+
+
 def fuzzy_compare(spark, folder):
     config = DatasetConfig(table="part", primary_key=("p_partkey",), duplicates=("p_name",))
     return fuzzy_run(table(spark, folder, "part"), config)
@@ -784,7 +802,7 @@ QUERIES: dict[str, Query] = {
         email_in_documents, url_rules, name_rules, address_assemble, address_parse,
         address_between, address_messages, address_key, address_duplicates, address_summary,
         address_frequency, address_street_types, validation_summary, stream_verdict, fuzzy_matches,
-        fuzzy_low_threshold, fuzzy_compare, fuzzy_multi, csv_scan, query_scan, query_file_scan,
+        fuzzy_low_threshold, fuzzy_suppliers_60, fuzzy_suppliers_85, fuzzy_suppliers_95, fuzzy_suppliers_all, fuzzy_compare, fuzzy_multi, csv_scan, query_scan, query_file_scan,
         table_sinks, report_sink, typed_load, static_type_load, batch_run,
     )
 }

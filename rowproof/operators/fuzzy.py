@@ -1,11 +1,19 @@
 """Fuzzy matching: every value with its most similar values, five unless `keep` says otherwise.
 
 Two texts are compared through a normal form, so all work up to the last join is done once per
-distinct form. Pairs come from equi-joins on rare pieces (prefix filtering): texts that reach the
-threshold must share one of the rarest characters or character pairs, or for word sets one of the rarest words,
+distinct form. Candidates come from equi-joins on rare pieces (prefix filtering): texts that reach a
+score must share one of the rarest characters or character pairs, or for word sets one of the rarest words,
 of either text. The bounds are proven in `_needed`, `_always_needed` and `_word_prefix`; they lose no match, and no
 block of similar texts is capped. Values with an equal form are never paired with one another:
 the `keep` smallest of them stand for the group, with `keep=None` all of them.
+
+The matches wanted are the best, so the search goes down in bands of falling score (`BANDS`). High
+scores leave few candidates; a form that has its `keep` matches in a band is done and no longer asks. The
+threshold itself is searched at once when few pairs have to be tested for the forms that are left.
+
+The joins hold ids, lengths, bit sets and pieces only; texts join the pairs that are left. A piece of many
+forms is divided into cells on both sides, so that no task tests more than `CELL` times `CELL` pairs of
+it, and the number of tasks follows the number of tests, which is counted first. Scores are expressions.
 """
 
 from __future__ import annotations
@@ -16,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowproof.functions.similarity import set_form, set_score, sort_form, sort_score
+from rowproof.functions.similarity import char_places, set_form, set_score, sort_form, sort_score
 from rowproof.functions.text import identifier_text
 from rowproof.operators.duplicates import distinct_values
 from rowproof.sources.staging import staged
@@ -25,6 +33,16 @@ from rowproof.sources.staging import staged
 SCORERS = ("token_sort_ratio", "token_set_ratio")
 KEEP = 5
 THRESHOLD = 85
+# Scores searched from, in turn, above the threshold.
+BANDS = (97, 94, 90, 85, 80, 70)
+# Pair tests up to which the threshold is searched at once, and those of one task.
+TESTS_AT_ONCE = 2_000_000
+TESTS_IN_TASK = 4_000_000
+# Forms that a task indexes, and pairs that it scores: both cost far more time than bytes.
+FORMS_IN_TASK = 2_000
+PAIRS_IN_TASK = 20_000
+# Rows of one piece that meet one another in one task.
+CELL = 2048
 # Hash buckets in which the frequency of pieces is counted.
 RANK_BUCKETS = 4096
 # 64-bit words of the bit sets that rule out most pairs before their bags are compared.
@@ -57,87 +75,189 @@ def fuzzy_matches(
     ).select("value", F.inline("forms"))
 
     forms = formed.groupBy("form").agg(
-        *(F.bool_or(F.col("scorer") == s).alias(f"is_{s}") for s in SCORERS)
+        *(F.count_if(F.col("scorer") == s).alias(f"n_{s}") for s in SCORERS)
     )
-    best = Window.partitionBy("scorer", "form").orderBy(F.desc("score"), "match")
+    index = indexed(forms)
+    by_id = formed.join(index.select("form", "id"), "form").select("value", "scorer", "id")
+    best = Window.partitionBy("scorer", "id").orderBy(F.desc("score"), "match")
     top = (
-        scored_forms(forms, threshold)
-        .join(_members(formed, keep), ["scorer", "other"])
-        .select("scorer", "form", "match", "score")
+        best_forms(index, threshold, keep)
+        .join(_members(by_id, keep), ["scorer", "other"])
+        .select("scorer", "id", "match", "score")
     )
     if keep is not None:
         top = top.withColumn("place", F.row_number().over(best)).where(F.col("place") <= keep).drop("place")
     return (
-        formed.join(top, ["scorer", "form"])
+        by_id.join(top, ["scorer", "id"])
         .where(F.col("value") < F.col("match"))
         .select("scorer", "value", "match", "score")
     )
 
 
-def _members(formed: DataFrame, keep: int | None) -> DataFrame:
+def _members(by_id: DataFrame, keep: int | None) -> DataFrame:
     """The `keep` smallest values of each form; the rank filter is applied before the shuffle."""
-    ranked = Window.partitionBy("scorer", "form").orderBy("value")
+    ranked = Window.partitionBy("scorer", "id").orderBy("value")
     if keep is not None:
-        formed = formed.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= keep)
-    return formed.select("scorer", F.col("form").alias("other"), F.col("value").alias("match"))
-
+        by_id = by_id.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= keep)
+    return by_id.select("scorer", F.col("id").alias("other"), F.col("value").alias("match"))
 
-def scored_forms(forms: DataFrame, threshold: int) -> DataFrame:
-    """`scorer, form, other, score` that reach the threshold, in both directions and with itself."""
-    sort, by_set = (f"is_{s}" for s in SCORERS)
-    pairs = candidate_pairs(forms, threshold)
 
-    def score(scorer: str, function) -> Column:
-        wanted = F.col(f"is_{scorer}")
-        return function(F.when(wanted, F.col("a")), F.when(wanted, F.col("b"))).alias(scorer)
+def indexed(forms: DataFrame) -> DataFrame:
+    """The forms with their id, length, pieces, bit sets and places of characters, written once.
 
-    scores = pairs.select(
-        "a", "b", score("token_sort_ratio", sort_score), score("token_set_ratio", set_score)
-    )
-    directed = scores.select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(s).alias("scorer"),
-                        F.col(x).alias("form"),
-                        F.col(y).alias("other"),
-                        F.col(s).alias("score"),
-                    )
-                    for s in SCORERS
-                    for x, y in (("a", "b"), ("b", "a"))
-                )
-            )
+    `forms` holds `form` and for each scorer the number of values that have it. Pieces are in order of
+    rising frequency in the table.
+    """
+    text = F.col("form")
+    numbered = staged(forms.withColumn("id", F.monotonically_increasing_id()))
+    tasks = 1 + numbered.count() // FORMS_IN_TASK
+    rows = numbered.repartition(tasks).select("*", F.length(text).alias("m"), char_places(text).alias("places"))
+    for pieces in (1, 2):
+        bag = F.when(F.length(text) > 0, _bag(text, pieces)).otherwise(F.array().cast("array<bigint>"))
+        rows = _rare_first(rows.withColumn(f"bag{pieces}", bag), f"bag{pieces}")
+    set_words = F.when((text != "") & (F.col("n_token_set_ratio") > 0), F.split(text, " ")).otherwise(F.array())
+    rows = _rare_first(rows.withColumn("words", set_words.cast("array<string>")), "words")
+    for pieces in (1, 2):
+        rows = rows.withColumn(f"masks{pieces}", F.struct(*_masks(F.col(f"bag{pieces}"))))
+    return staged(rows)
+
+
+def best_forms(index: DataFrame, threshold: int, keep: int | None = KEEP) -> DataFrame:
+    """`scorer, id, other, score`: of every form all others that its `keep` best values may come from, itself included.
+
+    A form that has `keep` values in a band needs no others: all that are left score less.
+    """
+    wanted = F.array(*(F.when(F.col(f"n_{s}") > 0, F.struct(F.lit(s).alias("scorer"), F.col(f"n_{s}").alias("n"))) for s in SCORERS))
+    own = index.select("id", F.inline(F.array_compact(wanted)))
+    itself = own.select("scorer", "id", F.col("id").alias("other"), F.lit(100).alias("score"))
+    asking, found = index.select("id", *((F.col(f"n_{s}") > 0).alias(f"asks_{s}") for s in SCORERS)), [itself]
+    asks = [f"asks_{s}" for s in SCORERS]
+    bands = [threshold] if keep is None else [b for b in BANDS if b > threshold] + [threshold]
+    for band in bands:
+        if band != threshold:
+            if candidates(index, asking, threshold).tests <= TESTS_AT_ONCE:
+                band = threshold
+        scored = staged(_scored(index, candidates(index, asking, band).pairs(), asking, band))
+        if band == threshold:
+            return reduce(DataFrame.unionByName, [*found, scored])
+        sizes = own.select("scorer", F.col("id").alias("other"), F.col("n").alias("there"))
+        counted = scored.join(sizes, ["scorer", "other"]).groupBy("scorer", "id").agg(F.sum("there").alias("there"))
+        done = (
+            own.join(counted, ["scorer", "id"], "left").where(F.col("n") + F.coalesce("there", F.lit(0)) >= keep)
+            .select("scorer", "id")
         )
-    ).where(F.col("score") >= threshold)
-    itself = forms.select(
-        "form",
-        F.explode(
-            F.array_compact(
-                F.array(
-                    F.when(F.col(sort), F.lit("token_sort_ratio")),
-                    F.when(F.col(by_set), F.lit("token_set_ratio")),
-                )
+        done = staged(done)
+        found.append(scored.join(done, ["scorer", "id"], "left_semi"))
+        left = asking
+        for s in SCORERS:
+            ready = done.where(F.col("scorer") == s).select("id", F.lit(True).alias("ready"))
+            left = left.join(ready, "id", "left").withColumn(f"asks_{s}", F.col(f"asks_{s}") & F.col("ready").isNull()).drop("ready")
+        asking = staged(left.where(reduce(lambda x, y: x | y, [F.col(a) for a in asks])))
+        if asking.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, found)
+
+
+def _scored(index: DataFrame, pairs: DataFrame, asking: DataFrame, band: int) -> DataFrame:
+    """`scorer, id, other, score` of those pairs that reach the band, from the side that asks."""
+    def side(name: str, *more: str) -> DataFrame:
+        flags = [(F.col(f"n_{s}") > 0).alias(f"{name}_{s}") for s in SCORERS]
+        return index.select(F.col("id").alias(name), F.col("form").alias(f"{name}_form"), *flags, *more)
+
+    pairs = staged(pairs)
+    tasks = 1 + pairs.count() // PAIRS_IN_TASK
+    with_texts = pairs.join(side("b"), "b").repartition(tasks, "a").join(side("a", "places").repartition(tasks, "a"), "a")
+    scorers = {"token_sort_ratio": sort_score, "token_set_ratio": set_score}
+    scores = F.array(
+        *(
+            F.struct(
+                F.lit(s).alias("scorer"),
+                F.when(F.col(f"a_{s}") & F.col(f"b_{s}"), score(F.col("a_form"), F.col("b_form"), F.col("places"))).alias("score"),
             )
-        ).alias("scorer"),
-    ).select("scorer", "form", F.col("form").alias("other"), F.lit(100).alias("score"))
-    return directed.unionByName(itself)
+            for s, score in scorers.items()
+        )
+    )
+    reached = with_texts.select("a", "b", F.inline(scores)).where(F.col("score") >= band)
+    ways = F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("other")), F.struct(F.col("b").alias("id"), F.col("a").alias("other")))
+    asked = asking.select(
+        "id", F.inline(F.array(*(F.struct(F.lit(s).alias("scorer"), F.col(f"asks_{s}").alias("asks")) for s in SCORERS)))
+    ).where("asks").drop("asks")
+    return reached.select("scorer", "score", F.inline(ways)).join(asked, ["scorer", "id"], "left_semi").select("scorer", "id", "other", "score")
+
+
+class Candidates:
+    """Joins on pieces, and how many pairs they will test."""
+
+    def __init__(self, joins: list[_PieceJoin]) -> None:
+        self.joins = joins
+        self.tests = sum(j.tests for j in joins)
+
+    def pairs(self) -> DataFrame:
+        """`a, b`: unordered pairs of ids, each once."""
+        met = reduce(DataFrame.unionByName, [j.pairs() for j in self.joins])
+        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def candidates(index: DataFrame, asking: DataFrame, threshold: int) -> Candidates:
+    """Pairs of forms that may reach the threshold, of which one at least is among the `asking` ids."""
+    flagged = index.join(asking.select("id", F.lit(True).alias("asked")), "id", "left").fillna(False, "asked")
+    share = _share(threshold)
+    return Candidates([_by_characters(flagged, share), _by_words(flagged, share)])
 
 
 def candidate_pairs(forms: DataFrame, threshold: int) -> DataFrame:
-    """Unordered pairs `a < b` of forms that may reach the threshold, each once.
+    """`a, b`: unordered pairs of forms that may reach the threshold, each once.
 
-    `forms` holds `form` and one flag per scorer that uses the form; a pair keeps the flags that
-    both forms have. Pairs near in characters serve both scorers, so texts without repeated words
-    are compared once.
+    `forms` holds `form` and one flag per scorer that uses the form.
     """
-    near = _by_characters(forms, threshold)
-    words = _by_words(forms.where("is_token_set_ratio"), threshold)
-    return (
-        near.unionByName(words)
-        .groupBy("a", "b")
-        .agg(*(F.bool_or(f"is_{s}").alias(f"is_{s}") for s in SCORERS))
-    )
+    index = indexed(forms.groupBy("form").agg(*(F.count_if(f"is_{s}").alias(f"n_{s}") for s in SCORERS)))
+    found = candidates(index, index.select("id"), threshold).pairs()
+    texts = index.select("id", "form")
+    one, two = (texts.select(F.col("id").alias(x), F.col("form").alias(f"{x}_form")) for x in "ab")
+    both = found.join(one, "a").join(two, "b")
+    return both.select(F.least("a_form", "b_form").alias("a"), F.greatest("a_form", "b_form").alias("b"))
+
+
+class _PieceJoin:
+    """Rows of both sides that share a piece, tested by `fits`.
+
+    Rows have `id` and `piece`. How often a piece occurs on each side is counted first: the sum of the
+    products is the number of tests, and a piece of more than `CELL` rows is divided into cells of about so
+    many, of which each meets each of the other side.
+    """
+
+    def __init__(self, left: DataFrame, right: DataFrame, fits: Column) -> None:
+        self.left, self.right, self.fits = left, right, fits
+        both = left.select("piece", F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+            right.select("piece", F.lit(0).alias("l"), F.lit(1).alias("r"))
+        )
+        counted = both.groupBy("piece").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+        some = staged(counted.where(((F.col("l") > 0) & (F.col("r") > 0)) | (F.greatest("l", "r") > CELL)))
+        self.crowded = some.where(F.greatest("l", "r") > CELL).select(
+            "piece", *(F.ceil(F.col(side) / CELL).cast("int").alias(side) for side in "lr")
+        )
+        tests, most = some.agg(F.sum(F.col("l").cast("double") * F.col("r")), F.max(F.greatest("l", "r"))).first()
+        self.tests, self.divided = tests or 0.0, (most or 0) > CELL
+
+    def pairs(self) -> DataFrame:
+        tasks = max(1, int(self.tests // TESTS_IN_TASK))
+        keys = ("piece", "cell_l", "cell_r")
+
+        def dealt(rows: DataFrame, name: str, own: str, others: str) -> DataFrame:
+            columns = [F.col(c).alias(f"{name}_{c}") for c in rows.columns if c != "piece"]
+            if self.divided:
+                rows = rows.join(self.crowded, "piece", "left").fillna(1, ["l", "r"])
+            else:
+                rows = rows.withColumns({"l": F.lit(1), "r": F.lit(1)})
+            # A piece that the other side does not have has no cells there, so its rows go.
+            cells = F.when(F.col(others) > 0, F.sequence(F.lit(1), F.col(others)))
+            rows = rows.withColumn(f"cell_{others}", F.explode(cells))
+            rows = rows.withColumn(f"cell_{own}", 1 + F.pmod(F.xxhash64("id"), F.greatest(F.col(own), F.lit(1))).cast("int"))
+            return rows.select(*keys, *columns).repartition(tasks, *keys)
+
+        # Exploding multiplies the rows, which size estimates do not see: no broadcast of either side.
+        joined = dealt(self.left, "x", "l", "r").join(dealt(self.right, "y", "r", "l").hint("merge"), list(keys))
+        return joined.where(self.fits).select(F.col("x_id").alias("a"), F.col("y_id").alias("b"))
 
 
 # ---- pairs that share characters -------------------------------------------------------------
@@ -249,54 +369,31 @@ def _missing_bits(a: str, b: str) -> Column:
     return reduce(lambda x, y: x + y, words)
 
 
-def _by_characters(forms: DataFrame, threshold: int) -> DataFrame:
-    share = _share(threshold)
+def _by_characters(index: DataFrame, share: float) -> _PieceJoin:
     pieces = _pieces_for(share)
-    m = F.length("form")
-    flags = [f"is_{s}" for s in SCORERS]
-    # Bags cost far more time than bytes, by which partitions would be sized.
-    tasks = forms.sparkSession.sparkContext.defaultParallelism
-    bags = forms.where(m > 0).repartition(tasks).select(
-        "form", *flags, m.alias("m"), _bag(F.col("form"), pieces).alias("bag")
-    )
-    bags = staged(_rare_first(bags, "bag").select("*", *_masks(F.col("bag"))))
-    # The shorter text `a` may meet texts from its own length on, the longer one `b` texts down to
-    # the shortest length whose ratio can still be reached.
+    bag = F.col(f"bag{pieces}")
+    # A form may meet texts down to the shortest length whose ratio can still be reached.
     shortest = F.ceil(F.col("m") * share / (2 - share) - 1e-9)
-
-    def prefix(partner: Column) -> Column:
-        needed = _always_needed(F.col("m") + partner, share, pieces)
-        return F.slice("bag", F.lit(1), F.size("bag") - needed + 1)
-
-    def masks(side: str) -> list[Column]:
-        return [F.col(f"mask{i}").alias(f"{side}mask{i}") for i in range(MASK_WORDS)]
-
-    a = bags.select(
-        F.col("form").alias("a"), *(F.col(f).alias(f"a_{f}") for f in flags),
-        F.col("m").alias("am"), F.col("bag").alias("abag"), *masks("a"),
-        prefix(F.col("m")).alias("apre"),
-    ).withColumn("piece", F.explode("apre"))
-    b = bags.select(
-        F.col("form").alias("b"), *(F.col(f).alias(f"b_{f}") for f in flags),
-        F.col("m").alias("bm"), F.col("bag").alias("bbag"), *masks("b"),
-        prefix(shortest).alias("bpre"),
-    ).withColumn("piece", F.explode("bpre"))
-    ordered = (F.col("am") < F.col("bm")) | ((F.col("am") == F.col("bm")) & (F.col("a") < F.col("b")))
-    in_reach = F.col("am") >= F.col("bm") * (share / (2 - share)) - 1e-9
-    needed = _needed(F.col("am") + F.col("bm"), share, pieces)
-    # Exploding multiplies the rows, which size estimates do not see: no broadcast of either side.
-    joined = a.join(b.hint("merge"), "piece").where(
-        ordered
-        & in_reach
-        & (F.size("abag") - _missing_bits("a", "b") >= needed)
-        # A pair that shares several prefix pieces is kept at the first of them.
-        & (F.get(F.array_intersect("apre", "bpre"), F.lit(0)) == F.col("piece"))
-        & (F.size(F.array_intersect("abag", "bbag")) >= needed)
+    prefix = F.slice(bag, F.lit(1), F.size(bag) - _always_needed(F.col("m") + shortest, share, pieces) + 1)
+    rows = index.where("m > 0").select(
+        "id", "asked", "m", F.size(bag).alias("n"),
+        *(F.col(f"masks{p}.mask{i}").alias(f"p{p}_mask{i}") for p in {1, pieces} for i in range(MASK_WORDS)),
+        F.posexplode(prefix).alias("place", "piece"),
     )
-    both = [(F.col(f"a_{f}") & F.col(f"b_{f}")).alias(f) for f in flags]
-    return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *both).where(
-        reduce(lambda x, y: x | y, [F.col(f) for f in flags])
+    both = F.col("x_m") + F.col("y_m")
+    needed = _needed(both, share, pieces)
+    # At the first piece that both prefixes have, no more can be common than is left on either side.
+    left = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place"))
+    low, high = F.least("x_m", "y_m"), F.greatest("x_m", "y_m")
+    fits = (
+        # A form that asks meets each other one that asks once.
+        ((F.col("x_id") < F.col("y_id")) | (~F.col("y_asked") & (F.col("x_id") != F.col("y_id"))))
+        & (low >= high * (share / (2 - share)) - 1e-9)
+        & (left >= needed)
+        & (F.col("x_n") - _missing_bits(f"x_p{pieces}_", f"y_p{pieces}_") >= needed)
+        & (F.col("x_m") - _missing_bits("x_p1_", "y_p1_") >= _needed(both, share, 1))
     )
+    return _PieceJoin(rows.where("asked"), rows, fits)
 
 
 # ---- pairs that share words ------------------------------------------------------------------
@@ -336,30 +433,18 @@ def _word_prefix(words: Column, need: Column) -> Column:
     return F.slice(words, F.lit(1), walked["taken"])
 
 
-def _by_words(forms: DataFrame, threshold: int) -> DataFrame:
+def _by_words(index: DataFrame, share: float) -> _PieceJoin:
     """Pairs whose shared words cover most of at least one of the two texts."""
-    share = _share(threshold)
-    words = forms.where(F.length("form") > 0).select("form", F.split("form", " ").alias("words"))
-    words = _rare_first(words, "words")
+    words = index.where(F.size("words") > 0).select("id", "asked", "form", "words")
     need = _word_need(F.col("form"), share)
-    x = words.select(
-        F.col("form").alias("x"), F.col("words").alias("xw"), need.alias("need"),
-        _word_prefix(F.col("words"), need).alias("xpre"),
-    ).withColumn("piece", F.explode("xpre"))
-    y = words.select(F.col("form").alias("y"), F.col("words").alias("yw")).withColumn(
-        "piece", F.explode("yw")
-    )
-    joined = x.join(y.hint("merge"), "piece").where(
-        (F.col("x") != F.col("y"))
-        & (F.get(F.array_intersect("xpre", "yw"), F.lit(0)) == F.col("piece"))
-        & (_weight(F.array_intersect("xw", "yw")) >= F.col("need"))
-    )
-    return joined.select(
-        F.least("x", "y").alias("a"),
-        F.greatest("x", "y").alias("b"),
-        F.lit(False).alias("is_token_sort_ratio"),
-        F.lit(True).alias("is_token_set_ratio"),
+    x = words.select("id", "asked", "words", need.alias("need"), F.explode(_word_prefix(F.col("words"), need)).alias("piece"))
+    y = words.select("id", "asked", "words", F.explode("words").alias("piece"))
+    fits = (
+        (F.col("x_id") != F.col("y_id"))
+        & (F.col("x_asked") | F.col("y_asked"))
+        & (_weight(F.array_intersect("x_words", "y_words")) >= F.col("x_need"))
     )
+    return _PieceJoin(x, y, fits)
 
 
 # ---- report forms ----------------------------------------------------------------------------

@@ -5,6 +5,7 @@ import re
 from itertools import combinations, product
 
 import pytest
+from pyspark.sql import functions as F
 
 from rowproof.functions import similarity
 from rowproof.operators import fuzzy
@@ -34,7 +35,7 @@ def sort_score(a, b):
     return ratio(" ".join(sorted(words(a))), " ".join(sorted(words(b))))
 
 
-def set_score(a, b):
+def set_score(a, b, words=words):
     x, y = set(words(a)), set(words(b))
     if not x or not y:
         return 100 if x == y else 0
@@ -108,10 +109,42 @@ def test_forms(apply):
     assert apply(similarity.set_form("a"), rows)[0] == "a b"
 
 
-def test_known_score():
-    assert similarity._ratio("cold anvil", "old anvil") == 95
-    assert similarity._ratio("", "a") == 0 and similarity._ratio("", "") == 100
-    assert similarity._set_ratio("acme", "acme corp") == 100
+def test_known_score(apply):
+    one, two = F.col("a"), F.col("b")
+    places = similarity.char_places(one)
+    rows = [("cold anvil", "old anvil"), ("", "a"), ("", "")]
+    assert apply(similarity.sort_score(one, two, places), rows) == [95, 0, 100]
+    assert apply(similarity.set_score(one, two, places), [("acme", "acme corp"), ("", "a"), ("", "")]) == [100, 0, 100]
+
+
+def test_scores_equal_the_definition(spark):
+    """Lengths around the ends of one and two longs, characters of several bytes, shared words."""
+    rng = random.Random(7)
+    pairs = []
+    for n in [0, 1, 3, 10, 30, 61, 62, 63, 64, 100, 124, 125, 200] * 12:
+        a, b = ("".join(rng.choice("abcd é🙂") for _ in range(k)).split() for k in (n, rng.choice([n, 5, 40])))
+        pairs += [(" ".join(sorted(a)), " ".join(sorted(b))), (" ".join(sorted(set(a))), " ".join(sorted(set(b))))]
+    one, two = F.col("a"), F.col("b")
+    df = spark.createDataFrame(pairs, "a string, b string").withColumn("places", similarity.char_places(one))
+    places = F.col("places")
+    for a, b, by_sort, by_set, n in df.select(
+        "a", "b", similarity.sort_score(one, two, places), similarity.set_score(one, two, places), similarity.common_length(places, two)
+    ).collect():
+        assert (by_sort, n) == (ratio(a, b), common(a, b))
+        if len(set(a.split())) == len(a.split()) and len(set(b.split())) == len(b.split()):
+            assert by_set == set_score(a, b, str.split)
+
+
+@pytest.mark.parametrize("cell, at_once", [(3, 0), (2048, 0), (3, 10**9)])
+def test_bands_and_cells_lose_nothing(spark, monkeypatch, cell, at_once):
+    """Numbered keys, nearly all alike: every band is used, and pieces are divided into many cells."""
+    monkeypatch.setattr(fuzzy, "CELL", cell)
+    monkeypatch.setattr(fuzzy, "TESTS_AT_ONCE", at_once)
+    monkeypatch.setattr(fuzzy, "TESTS_IN_TASK", 2000)
+    values = [f"Customer#{i:09d}" for i in range(0, 2400, 17)] + made_up(11, 40)
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    rows = [tuple(r) for r in fuzzy.fuzzy_matches(df, "v", 80).collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == all_pairs(values, 80)
 
 
 @pytest.mark.parametrize("threshold", [1, 40, 67, 68, 75, 85, 99])

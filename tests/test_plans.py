@@ -6,15 +6,13 @@ from checks import queries as Q
 from rowproof.operators.duplicates import exact_duplicates
 
 FOLDER = "/root/testdata/sf0.001"
-# The only Python in any plan is the Arrow function that scores fuzzy candidates.
-FUZZY = {"fuzzy_matches", "fuzzy_low_threshold", "fuzzy_compare", "fuzzy_multi"}
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - FUZZY - {"stream_verdict"}))
+@pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - {"stream_verdict"}))
 def test_no_python_and_no_global_window(spark, name):
     plan = plan_of(Q.QUERIES[name](spark, FOLDER))
     assert "EvalPython" not in plan and "InPandas" not in plan
@@ -36,10 +34,8 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "IsNotNull(p_name)" in plan and "p_brand" not in plan and "p_retailprice" not in plan
 
 
-def test_fuzzy_scores_only_candidates_in_arrow(spark):
-    plan = plan_of(Q.fuzzy_matches(spark, FOLDER))
-    assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan
-    assert "WindowGroupLimit" in plan
+def test_fuzzy_ranks_before_the_shuffle(spark):
+    assert "WindowGroupLimit" in plan_of(Q.fuzzy_matches(spark, FOLDER))
 
 
 def test_statistics_read_one_column(spark):
