@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowproof.functions.similarity import char_places, set_form, set_score, sort_form, sort_score
+from rowproof.functions.similarity import char_places, let, set_form, set_score, sort_form, sort_score
 from rowproof.functions.text import identifier_text
 from rowproof.operators.duplicates import distinct_values
 from rowproof.sources.staging import staged
@@ -36,7 +36,7 @@ THRESHOLD = 85
 # Scores searched from, in turn, above the threshold.
 BANDS = (97, 94, 90, 85, 80, 70)
 # Pair tests up to which the threshold is searched at once, and those of one task.
-TESTS_AT_ONCE = 2_000_000
+TESTS_AT_ONCE = 20_000_000
 TESTS_IN_TASK = 4_000_000
 # Forms that a task indexes, and pairs that it scores: both cost far more time than bytes.
 FORMS_IN_TASK = 2_000
@@ -111,15 +111,15 @@ def indexed(forms: DataFrame) -> DataFrame:
     text = F.col("form")
     numbered = staged(forms.withColumn("id", F.monotonically_increasing_id()))
     tasks = 1 + numbered.count() // FORMS_IN_TASK
-    rows = numbered.repartition(tasks).select("*", F.length(text).alias("m"), char_places(text).alias("places"))
-    for pieces in (1, 2):
-        bag = F.when(F.length(text) > 0, _bag(text, pieces)).otherwise(F.array().cast("array<bigint>"))
-        rows = _rare_first(rows.withColumn(f"bag{pieces}", bag), f"bag{pieces}")
+    places = char_places(text).alias("places")
     set_words = F.when((text != "") & (F.col("n_token_set_ratio") > 0), F.split(text, " ")).otherwise(F.array())
-    rows = _rare_first(rows.withColumn("words", set_words.cast("array<string>")), "words")
-    for pieces in (1, 2):
-        rows = rows.withColumn(f"masks{pieces}", F.struct(*_masks(F.col(f"bag{pieces}"))))
-    return staged(rows)
+    bags = {f"bag{n}": F.when(F.length(text) > 0, _bag(text, n)).otherwise(F.array().cast("array<bigint>")) for n in (1, 2)}
+    bags["words"] = set_words.cast("array<string>")
+    rows = numbered.repartition(tasks).select(
+        "*", F.length(text).alias("m"), places, *(bag.alias(name) for name, bag in bags.items())
+    )
+    rows = _rare_first(staged(rows), list(bags))
+    return staged(rows.withColumns({f"masks{n}": _masks(F.col(f"bag{n}")) for n in (1, 2)}))
 
 
 def best_forms(index: DataFrame, threshold: int, keep: int | None = KEEP) -> DataFrame:
@@ -134,10 +134,12 @@ def best_forms(index: DataFrame, threshold: int, keep: int | None = KEEP) -> Dat
     asks = [f"asks_{s}" for s in SCORERS]
     bands = [threshold] if keep is None else [b for b in BANDS if b > threshold] + [threshold]
     for band in bands:
-        if band != threshold:
-            if candidates(index, asking, threshold).tests <= TESTS_AT_ONCE:
-                band = threshold
-        scored = staged(_scored(index, candidates(index, asking, band).pairs(), asking, band))
+        met = candidates(index, asking, threshold)
+        if met.tests <= TESTS_AT_ONCE:
+            band = threshold
+        elif band != threshold:
+            met = candidates(index, asking, band)
+        scored = staged(_scored(index, met.pairs(), asking, band))
         if band == threshold:
             return reduce(DataFrame.unionByName, [*found, scored])
         sizes = own.select("scorer", F.col("id").alias("other"), F.col("n").alias("there"))
@@ -318,46 +320,49 @@ def _bucket(piece: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(piece), F.lit(buckets)).cast("int")
 
 
-def _rare_first(frame: DataFrame, pieces: str) -> DataFrame:
-    """Sort the array column by how often its pieces occur in the table, rarest first.
+def _rare_first(frame: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Sort each array column by how often its pieces occur in the table, rarest first.
 
-    Pieces are counted by hash bucket, so what every task must know is one array of fixed size.
+    Pieces are counted by hash bucket, so what every task must know is one array of fixed size for a column.
     Any common order gives the same pairs; this one keeps frequent pieces out of the join keys.
     """
+    buckets = F.array(
+        *(F.struct(F.lit(c).alias("of"), F.transform(c, lambda p: _bucket(p, RANK_BUCKETS)).alias("buckets")) for c in names)
+    )
     counted = (
-        frame.select(F.explode(pieces).alias("piece"))
-        .groupBy(_bucket(F.col("piece"), RANK_BUCKETS).alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("bucket", "n"))).alias("counts"))
+        frame.select(F.inline(buckets)).select("of", F.explode("buckets").alias("bucket"))
+        .groupBy("of", "bucket").agg(F.count(F.lit(1)).alias("n"))
     )
     every = F.sequence(F.lit(0), F.lit(RANK_BUCKETS - 1))
-    ranks = counted.select(
-        F.transform(every, lambda i: F.coalesce(F.try_element_at("counts", i), F.lit(0)))
-    ).scalar()
-    ordered = F.array_sort(
-        F.transform(
-            pieces,
-            lambda p: F.struct(F.get("ranks", _bucket(p, RANK_BUCKETS)).alias("n"), p.alias("p")),
-        )
-    )
-    return frame.withColumn("ranks", ranks).withColumn(pieces, ordered["p"]).drop("ranks")
 
+    def filled(c: str) -> Column:
+        return F.transform(every, lambda b: F.coalesce(F.try_element_at(F.col(c), b), F.lit(0))).alias(c)
 
-def _masks(bag: Column) -> list[Column]:
-    """The bag as a set of MASK_WORDS * 64 bits: every piece sets the bit that its hash names."""
+    def of_column(c: str) -> Column:
+        return F.map_from_entries(F.collect_list(F.when(F.col("of") == c, F.struct("bucket", "n")))).alias(c)
 
-    places = F.transform(bag, lambda piece: _bucket(piece, MASK_WORDS * 64))
+    ranks = counted.agg(*(of_column(c) for c in names)).select(F.struct(*(filled(c) for c in names))).scalar()
 
-    def word(i: int) -> Column:
+    def ordered(c: str) -> Column:
+        ranked = F.transform(c, lambda p: F.struct(F.get(F.col("ranks")[c], _bucket(p, RANK_BUCKETS)).alias("n"), p.alias("p")))
+        return F.array_sort(ranked)["p"]
+
+    return frame.withColumn("ranks", ranks).withColumns({c: ordered(c) for c in names}).drop("ranks")
+
+
+def _masks(bag: Column) -> Column:
+    """The bag as a set of MASK_WORDS * 64 bits: every piece sets the bit that its hash names."""
+
+    def word(places: Column, i: int) -> Column:
         def add(bits: Column, place: Column) -> Column:
             # A shift of a long uses the last six bits of the place.
             bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
-            here = F.shiftright(place, 6) == i
-            return bits.bitwiseOR(F.when(here, bit).otherwise(F.lit(0).cast("bigint")))
+            return F.when(F.shiftright(place, 6) == i, bits.bitwiseOR(bit)).otherwise(bits)
 
-        return F.aggregate(places, F.lit(0).cast("bigint"), add)
+        return F.aggregate(places, F.lit(0).cast("bigint"), add).alias(f"mask{i}")
 
-    return [word(i).alias(f"mask{i}") for i in range(MASK_WORDS)]
+    places = F.transform(bag, lambda piece: _bucket(piece, MASK_WORDS * 64))
+    return let(places, lambda found: F.struct(*(word(found, i) for i in range(MASK_WORDS))))
 
 
 def _missing_bits(a: str, b: str) -> Column:
