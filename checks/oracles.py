@@ -596,6 +596,10 @@ LOADED = f"""SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o
 
 ORACLES: dict[str, str] = {
     "freq_all_strings": freq("orders", ["o_orderstatus", "o_orderpriority"], "orders"),
+    "freq_long_texts": freq("documents", ["text", "lang"], "documents"),
+    "freq_long_texts_all": freq(
+        "(SELECT html, repeat('same beginning ', 6) || url AS url FROM pages)", ["html", "url"], "pages",
+    ).replace("WHERE r <= 50", ""),
     "freq_by_column": freq(
         "lineitem", ["l_returnflag", "l_linestatus", "l_linenumber", "l_suppkey", "l_shipdate"],
         "lineitem",

@@ -131,6 +131,17 @@ def freq_text_by_column(spark, folder):
     return frequency.frequency_text(table(spark, folder, "part"), ["p_name", "p_size"])
 
 
+def freq_long_texts(spark, folder):
+    """Whole texts, of which only those that are kept are moved."""
+    return frequency.frequency(table(spark, folder, "documents"), "documents", ["text", "lang"])
+
+
+def freq_long_texts_all(spark, folder):
+    """Every text of the documents and pages columns, also those that begin alike."""
+    pages = table(spark, folder, "pages").selectExpr("html", "concat(repeat('same beginning ', 6), url) AS url")
+    return frequency.frequency(pages, "pages", ["html", "url"], keep=None)
+
+
 def describe_table(spark, folder):
     return report_numbers(describing.describe(table(spark, folder, "part")))
 
@@ -790,7 +801,7 @@ def batch_run(spark, folder):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        freq_all_strings, freq_by_column, freq_text, freq_text_by_column, describe_table,
+        freq_all_strings, freq_by_column, freq_text, freq_text_by_column, freq_long_texts, freq_long_texts_all, describe_table,
         describe_transposed, numeric_stats, numeric_stats_narrowed, mean_stats, quartile_stats,
         date_quartiles, column_profile, histogram, nan_statistics, nan_outliers, nan_profile, nan_nulls,
         nan_verdict, z_outliers, z_scores,

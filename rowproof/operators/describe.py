@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from rowproof.functions.text import identifier_text
 from rowproof.operators.columns import number, ref
-from rowproof.operators.frequency import value_counts
+from rowproof.operators.frequency import key_counts, most_frequent
 from rowproof.operators.quantiles import MAX_VALUES_IN_TASK, quantile_values
 from rowproof.operators.statistics import date_columns, numeric_columns
 
@@ -89,15 +89,14 @@ def describe_columns(
 
 def _label_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct values, most frequent value and its count: one row per column."""
-    counts = value_counts(df, columns).where(F.col("table_values").isNotNull())
+    counts = key_counts(df, columns).where(F.col("key").isNotNull())
+    sizes = counts.groupBy(F.col("table_column").alias("column_name")).agg(
+        F.count(F.lit(1)).alias("unique_values"), F.max("value_counts").alias("freq")
+    )
+    top = most_frequent(counts, df, columns, 1).select(F.col("table_column").alias("column_name"), F.col("table_values").alias("top_values"))
     return (
-        counts.groupBy(F.col("table_column").alias("column_name"))
-        .agg(
-            F.count(F.lit(1)).alias("unique_values"),
-            F.min(F.struct(-F.col("value_counts"), F.col("table_values").alias("v"))).alias("top"),
-            F.max("value_counts").alias("freq"),
-        )
-        .select("column_name", "unique_values", F.col("top.v").alias("top_values"), "freq")
+        sizes.join(top, "column_name")
+        .select("column_name", "unique_values", "top_values", "freq")
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rowproof.operators.columns import ref
 from rowproof.operators.describe import measured
-from rowproof.operators.frequency import value_counts
+from rowproof.operators.frequency import key_counts
 from rowproof.operators.project import text_columns
 from rowproof.operators.quantiles import MAX_VALUES_IN_TASK, quantile_values
 
@@ -60,9 +60,9 @@ def profile_columns(
         F.inline(F.array(*(F.col(f"s{i}") for i in range(len(values.columns)))))
     )
     distinct = (
-        value_counts(df, df.columns)
+        key_counts(df, df.columns)
         .groupBy(F.col("table_column").alias("column_name"))
-        .agg(F.count("table_values").alias("n_distinct"))
+        .agg(F.count("key").alias("n_distinct"))
     )
     missing = F.col("n") - F.col("n_present")
     return rows.join(distinct, "column_name", "left").select(

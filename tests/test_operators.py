@@ -27,6 +27,23 @@ def test_frequency_ties_nulls_and_limit(spark):
     assert (text.column_name, text.percent) == ("v", "38.1%")
 
 
+def test_long_values_are_counted_by_keys(spark):
+    """Values that begin alike tie by their whole texts, and no shuffle of the counts holds a long text."""
+    long = "x" * 70
+    rows = [(f"{long}{i % 80:02d}" + "y" * 5000,) for i in range(160)] + [(long[:64],), (long[:64],), (None,)]
+    df = spark.createDataFrame(rows, "v string")
+    for keep in (5, 50, None):
+        found = frequency.frequency(df, "t", keep=keep).orderBy(F.desc("value_counts"), F.asc_nulls_last("table_values")).collect()
+        wanted = sorted({r[0] for r in rows if r[0]})
+        assert [r.table_values for r in found if r.value_counts == 2] == wanted[:keep]
+    sizes = []
+    for repeat in (100, 4000):
+        texts = spark.range(3000).select(F.concat(F.repeat(F.lit("word "), repeat), F.col("id").cast("string")).alias("v"))
+        counts = frequency.key_counts(texts, ["v"])
+        sizes.append(counts.agg(F.sum(F.length("key"))).first()[0])
+    assert sizes[0] == sizes[1]
+
+
 def test_frequency_of_nothing(spark):
     assert frequency.frequency(spark.createDataFrame([], "v string"), "t").count() == 0
 
