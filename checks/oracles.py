@@ -851,6 +851,19 @@ ORACLES: dict[str, str] = {
     "batch_run": f"""{CHECKED_CONTACTS} SELECT 'contacts' AS dataset, 'done' AS status, '' AS detail, contact_id,
         row_is_valid FROM flagged UNION ALL SELECT 'other', 'skipped', 'no configuration', NULL, NULL
         UNION ALL SELECT 'notes.txt', 'skipped', 'not a .csv file', NULL, NULL""",
+    "registry_run": f"""{CHECKED_CONTACTS}, fences AS (SELECT quantile_cont(s_acctbal, 0.25) AS a, quantile_cont(s_acctbal, 0.75) AS b
+            FROM supplier)
+        SELECT 'crm_contact_export' AS dataset, 'done' AS status, '' AS detail, contact_id AS key, row_is_valid FROM flagged
+        UNION ALL SELECT 'GPVendors', 'done', '', s_suppkey, s_acctbal BETWEEN a - (b - a) * 1.5 AND b + (b - a) * 1.5
+            FROM supplier, fences
+        UNION ALL SELECT 'orphan', 'skipped', 'no configuration', NULL, NULL
+        UNION ALL SELECT 'NoKey', 'skipped', 'no single primary key', NULL, NULL""",
+    "contact_duplicates_email": f"""WITH {CONTACTS_CTE} SELECT contact_id, email FROM (
+        SELECT contact_id, email, count(*) OVER (PARTITION BY email) AS n FROM contacts
+        WHERE email IS NOT NULL) WHERE n > 1""",
+    "contact_phone_frequency": contact_freq(["phone_is_valid"]),
+    "contact_email_frequency": contact_freq(["email_check"]),
+    "contact_iqr_outliers_frequency": contact_freq(["revenue_iq_outlier"]),
     "contact_phone_detail": contact_detail(
         "phone", "country", "phone_is_valid", "phone_formatted", "phone_ext_formatted"
     ),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.relations import CONTACT_COLUMNS, addresses, contacts, large_zip_ref, measures, postal_codes, street_lines, table, zip_ref
-from rowproof.config import AddressConfig, DatasetConfig
+from rowproof.config import AddressConfig, DatasetConfig, load_registry
 from rowproof.functions import address as address_text
 from rowproof.functions import contact as contact_rules
 from rowproof.functions import geo
@@ -798,6 +798,40 @@ def batch_run(spark, folder):
     return status.drop("path").join(rows, "dataset", "left")
 
 
+REGISTRY_JSON = """{
+    "Contacts": {
+        "db_table": ["contacts"], "db_primary_key": ["contact_id"], "reference_fields": ["account_id"],
+        "default_country_field": ["country"], "duplicates": ["email", "first_name"],
+        "isNull": ["first_name", "email", "phone"], "phone": ["phone"], "email": ["email"], "url": ["url"],
+        "name": ["first_name"], "z_num_outliers": ["revenue"], "iq_num_outliers": ["revenue"],
+        "exception_from_row_validation": ["url"]
+    },
+    "Supplier_Master": {
+        "db_table": ["suppliers"], "db_primary_key": ["s_suppkey"], "isNull": [null],
+        "iq_num_outliers": ["s_acctbal"], "address": {"hasAddress": false}
+    },
+    "no_key": {"db_table": ["none"], "db_primary_key": [null]}
+}"""
+SOURCE_NAMES = {"CRM_Contact_Export": "contacts", "gp_vendors.csv": "SupplierMaster", "Orphan": "missing"}
+
+
+def registry_run(spark, folder):
+    """A JSON registry and a map from source names to datasets; four files at a time, unusable ones passed over."""
+    base = scratch(spark, "registry")
+    write_report(contacts(spark, folder), f"{base}/crm_contact_export.csv")
+    write_report(table(spark, folder, "supplier").select("s_suppkey", "s_acctbal"), f"{base}/GPVendors.csv")
+
+    def job(df: DataFrame, config: DatasetConfig, name: str) -> None:
+        validate(df, config, stage=False)["validation_summary"].select(
+            F.col(config.key).cast("bigint").alias("key"), "row_is_valid", F.lit(name).alias("dataset")
+        ).write.parquet(f"{base}/out/{config.table}")
+
+    files = [f"{base}/{name}.csv" for name in ("crm_contact_export", "GPVendors", "orphan", "NoKey")]
+    status = run_files(spark, files, load_registry(REGISTRY_JSON), job, names=SOURCE_NAMES)
+    rows = spark.read.parquet(f"{base}/out/contacts", f"{base}/out/suppliers")
+    return status.drop("path").join(rows, "dataset", "left")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -814,7 +848,7 @@ QUERIES: dict[str, Query] = {
         address_between, address_messages, address_key, address_duplicates, address_summary,
         address_frequency, address_street_types, validation_summary, stream_verdict, fuzzy_matches,
         fuzzy_low_threshold, fuzzy_suppliers_60, fuzzy_suppliers_85, fuzzy_suppliers_95, fuzzy_suppliers_all, fuzzy_compare, fuzzy_multi, csv_scan, query_scan, query_file_scan,
-        table_sinks, report_sink, typed_load, static_type_load, batch_run,
+        table_sinks, report_sink, typed_load, static_type_load, batch_run, registry_run,
     )
 }
 QUERIES |= {
@@ -832,6 +866,10 @@ QUERIES |= {
     "contact_z_detail": contact_report("z_outliers"),
     "contact_iqr_detail": contact_report("iqr_outliers"),
     "contact_duplicates": contact_report("exact_duplicates"),
+    "contact_duplicates_email": contact_report("duplicates_email"),
+    "contact_phone_frequency": contact_report("phone_frequency"),
+    "contact_email_frequency": contact_report("email_frequency"),
+    "contact_iqr_outliers_frequency": contact_report("iqr_outliers_frequency"),
     "contact_nulls": contact_report("null_required_fields"),
     "check_frequency": contact_report("check_frequency", stage=True),
     "row_frequency": contact_report("row_frequency", stage=True),

@@ -122,9 +122,19 @@ def _plain_name(name: str) -> str:
     return base.removesuffix(".csv").replace("_", "")
 
 
-def resolve_config(name: str, registry: Mapping[str, DatasetConfig]) -> DatasetConfig | None:
-    """Find the dataset for a file or table name, ignoring case, underscores and `.csv`."""
+def resolve_config(
+    name: str, registry: Mapping[str, DatasetConfig], names: Mapping[str, str] | None = None
+) -> DatasetConfig | None:
+    """Find the dataset for a file or table name, ignoring case, underscores and `.csv`.
+
+    `names` maps source names to dataset names, as found where sources are called otherwise than their
+    tables; it is asked first, and a name that it lacks stands for itself.
+    """
     wanted = _plain_name(name)
+    for source, target in (names or {}).items():
+        if _plain_name(source) == wanted:
+            wanted = _plain_name(target)
+            break
     return next((c for key, c in registry.items() if _plain_name(key) == wanted), None)
 
 

@@ -50,12 +50,15 @@ def _long_values(df: DataFrame, columns: Sequence[str], primary_key: str) -> Dat
 
 
 def duplicates_by_column(df: DataFrame, column: str, primary_key: str) -> DataFrame:
-    """Key and value of the rows that share their value, sorted by value."""
+    """Key and value of the rows that share their value, sorted by value.
+
+    Values are counted and rows are found by a 256-bit digest, so a value moves only with the rows that are
+    reported, to the range of the sorted report that it belongs to.
+    """
     values = df.select(ref(primary_key), ref(column)).where(present(df, column).isNotNull())
-    repeated = values.groupBy(ref(column).alias("__value")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return values.join(repeated, ref(column) == F.col("__value"), "left_semi").orderBy(
-        ref(column), ref(primary_key)
-    )
+    keyed = values.withColumn("__digest", F.sha2(present(df, column).cast("string").cast("binary"), 256))
+    repeated = keyed.groupBy("__digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__digest")
+    return keyed.join(repeated, "__digest", "left_semi").drop("__digest").orderBy(ref(column), ref(primary_key))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

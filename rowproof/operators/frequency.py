@@ -21,6 +21,8 @@ from rowproof.operators.project import text_columns
 TOP_VALUES = 50
 # Characters up to which a value is its own key.
 KEY_LENGTH = 64
+# Slots that tell which long values are looked up; their list has a fixed size at most.
+SLOTS = 1 << 16
 
 
 def key_of(text: Column) -> Column:
@@ -33,6 +35,11 @@ def _is_long(key: Column) -> Column:
     return F.char_length(key) > KEY_LENGTH
 
 
+def _slot(key: Column) -> Column:
+    """One of `SLOTS` numbers."""
+    return F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
+
+
 def _long_rows(df: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
     """`table_column` and the value as text, a row per row and column."""
     texts = df.select(*(present(df, c).cast("string").alias(f"c{i}") for i, c in enumerate(columns)))
@@ -56,11 +63,12 @@ def with_values(counts: DataFrame, df: DataFrame, columns: Sequence[str]) -> Dat
     texts = [c for c in dict.fromkeys(columns) if isinstance(df.schema[c].dataType, (T.StringType, T.VarcharType, T.CharType))]
     if not texts:
         return counts.withColumnRenamed("key", "table_values")
+    wanted = counts.where(_is_long(F.col("key"))).agg(F.collect_set(_slot(F.col("key")))).scalar()
     long = _long_rows(df, texts, "value").where(_is_long(F.col("value"))).select(
         F.col("table_column").alias("__of"), key_of(F.col("value")).alias("__key"), "value"
     )
-    wanted = counts.where(_is_long(F.col("key"))).select(F.col("table_column").alias("__of"), F.col("key").alias("__key")).distinct()
-    found = long.join(wanted, ["__of", "__key"], "left_semi").groupBy("__of", "__key").agg(F.min("value").alias("__value"))
+    # Texts of other keys stay where they are read, but for the few that fall into a wanted slot.
+    found = long.where(F.array_contains(wanted, _slot(F.col("__key")))).groupBy("__of", "__key").agg(F.min("value").alias("__value"))
     same = (F.col("table_column") == F.col("__of")) & F.col("key").eqNullSafe(F.col("__key"))
     return counts.join(found, same, "left").withColumn("table_values", F.coalesce("__value", "key")).drop("__of", "__key", "__value", "key")
 

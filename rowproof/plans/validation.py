@@ -14,7 +14,7 @@ from rowproof.functions.contact import email_check, email_valid, name_check, web
 from rowproof.functions.phone import phone_cleaning
 from rowproof.operators.address import OUTPUTS, clean_addresses
 from rowproof.operators.columns import nan_to_null, ref
-from rowproof.operators.duplicates import exact_duplicates
+from rowproof.operators.duplicates import duplicates_by_column, exact_duplicates
 from rowproof.operators.frequency import frequency
 from rowproof.operators.outliers import date_flags, iqr_flags, z_flags
 from rowproof.operators.project import default_country, null_rows, report_columns
@@ -35,10 +35,12 @@ class Flags:
     must_hold: list[str] = field(default_factory=list)
     must_not_hold: list[str] = field(default_factory=list)
     checks: list[str] = field(default_factory=list)
+    families: dict[str, list[str]] = field(default_factory=dict)
 
     def add(self, family: str, columns: Sequence[str], check: str, counts: bool, bad: bool = False):
         self.details.setdefault(family, []).extend(columns)
         self.checks.append(check)
+        self.families.setdefault(family, []).append(check)
         if counts:
             (self.must_not_hold if bad else self.must_hold).append(check)
 
@@ -208,6 +210,8 @@ def validate(
         builders["exact_duplicates"] = lambda: exact_duplicates(
             df, repeated, config.key, config.table
         )
+        for c in repeated:
+            builders[f"duplicates_{c}"] = partial(duplicates_by_column, df, c, config.key)
     if config.required:
         needed = existing([*config.base_fields, *config.required], df.columns)
         builders["null_required_fields"] = lambda: null_rows(df, needed)
@@ -229,6 +233,10 @@ def validate(
     messages = [f"{root}_addr_error_messg" for root in roots]
     if flags.checks:
         builders["check_frequency"] = lambda: frequencies([*flags.checks, *messages])
+    for family, checks in flags.families.items():
+        # An address group shows its messages beside its check.
+        texts = [m for m in messages if family == f"address_{m.removesuffix('_addr_error_messg')}"]
+        builders[f"{family}_frequency"] = partial(frequencies, [*checks, *texts])
     builders["row_frequency"] = lambda: frequencies([VERDICT])
     shown = [c for columns in flags.details.values() for c in columns]
     builders["column_frequency"] = lambda: frequencies([*config.base_fields, VERDICT, *shown])
@@ -250,5 +258,6 @@ def write_reports(reports: Mapping[str, DataFrame], folder: str, name: str) -> N
         "check_frequency", "row_frequency", "column_frequency",
     }
     for report, df in reports.items():
-        sep = SUMMARY_SEPARATOR if report in commas else DETAIL_SEPARATOR
+        plain = report in commas or report.endswith("_frequency") or report.startswith("duplicates_")
+        sep = SUMMARY_SEPARATOR if plain else DETAIL_SEPARATOR
         write_report(df, f"{folder.rstrip('/')}/{report}_{name}", sep)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +20,9 @@ NULL_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# Files of a batch that are worked on at a time.
+FILES_AT_ONCE = 4
+
 # --- fixed values: SQL text types in a metadata table -----------------------------------------
 SQL_TEXT_TYPES = ("nvarchar", "varchar", "nchar", "char")
 
@@ -98,16 +103,23 @@ def run_files(
     registry: Mapping[str, DatasetConfig],
     job: Callable[[DataFrame, DatasetConfig, str], object],
     multi_line: bool = True,
+    at_once: int = FILES_AT_ONCE,
+    names: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Run `job(table, config, name)` for every usable file; return one status row per file.
 
     Files that do not end in `.csv`, cannot be read, have no configuration or no single key are
-    skipped and do not stop the others.
+    skipped and do not stop the others. `names` says which dataset a file belongs to where that is
+    not its own name.
+
+    `at_once` files are worked on at a time, each in a scheduler pool of its own: with
+    `spark.scheduler.mode` FAIR a large file shares the cluster with the others, and with any mode a file
+    that leaves cores idle does not hold up the rest.
     """
-    statuses = []
-    for path in paths:
+
+    def one(path: str) -> tuple[str, str, str, str]:
         name = path.rsplit("/", 1)[-1].removesuffix(".csv")
-        config = resolve_config(name, registry)
+        config = resolve_config(name, registry, names)
         if not path.lower().endswith(".csv"):
             status, detail = "skipped", "not a .csv file"
         elif config is None:
@@ -115,12 +127,19 @@ def run_files(
         elif not config.has_key:
             status, detail = "skipped", "no single primary key"
         else:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
             try:
                 job(read_dataset(spark, path, config, multi_line), config, name)
                 status, detail = "done", ""
             except Exception as error:  # noqa: BLE001 - recorded; the other files go on
                 status, detail = "failed", (str(error).splitlines() or [type(error).__name__])[0]
-        statuses.append((path, name, status, detail))
+            finally:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+        return path, name, status, detail
+
+    with ThreadPoolExecutor(max(1, at_once)) as workers:
+        # Each file runs in a copy of the caller's context, so tables it stages belong to the caller's run.
+        statuses = [f.result() for f in [workers.submit(copy_context().run, one, path) for path in paths]]
     return spark.createDataFrame(
         statuses, "path string, dataset string, status string, detail string"
     )

@@ -1,6 +1,7 @@
 """Files, metadata, types, sinks and configuration."""
 
 import json
+import threading
 
 import pytest
 from pyspark.sql import types as T
@@ -209,3 +210,35 @@ def test_a_failing_job_does_not_stop_the_other_files(spark, tmp_path):
     paths = [f"{tmp_path}/{n}.csv" for n in ("bad", "good")]
     rows = tables.run_files(spark, paths, {"bad": config, "good": config}, job).collect()
     assert [(r.dataset, r.status) for r in rows] == [("bad", "failed"), ("good", "done")]
+
+
+def test_a_slow_file_does_not_hold_up_the_others(spark, tmp_path):
+    """The first file's job waits until all others are done; statuses come in the order of the files."""
+    names = ["slow", "b", "c", "d", "e"]
+    for name in names:
+        (tmp_path / f"{name}.csv").write_text("id,v\n1,a\n")
+    registry = {n: DatasetConfig(table=n, primary_key=("id",)) for n in names}
+    others, lock, counted = threading.Event(), threading.Lock(), []
+
+    def job(df, config, name):
+        if name == "slow":
+            assert others.wait(60)
+        rows = df.count()
+        with lock:
+            counted.append((name, rows, spark.sparkContext.getLocalProperty("spark.scheduler.pool")))
+            if len(counted) == 4:
+                others.set()
+        if name == "d":
+            raise ValueError("no good")
+
+    paths = [str(tmp_path / f"{n}.csv") for n in names]
+    status = tables.run_files(spark, paths, registry, job, at_once=2).collect()
+    assert [(r.dataset, r.status) for r in status] == [(n, "failed" if n == "d" else "done") for n in names]
+    assert sorted(counted) == sorted((n, 1, n) for n in names) and counted[-1][0] == "slow"
+
+
+def test_names_of_sources():
+    registry = {"Contacts": DatasetConfig(table="contacts", primary_key=("id",)), "own": DatasetConfig(table="own", primary_key=("id",))}
+    names = {"CRM_Export": "contacts", "gone": "nowhere"}
+    found = [resolve_config(n, registry, names) for n in ("crmexport.csv", "/in/CRM_EXPORT.CSV", "own", "gone", "contacts", "other")]
+    assert [c and c.table for c in found] == ["contacts", "contacts", "own", None, "contacts", None]
