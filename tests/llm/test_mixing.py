@@ -32,3 +32,26 @@ def test_awkward_rows(spark):
     assert again == {r.doc_id: r.kept for r in rows}
     repeated = spark.createDataFrame([(1, "a b", "en", "s"), (1, "a b", "en", "s"), (None, None, None, None)], "doc_id long, text string, lang string, source string")
     assert mixing.mixed(repeated, rounds=1).count() == 3
+
+
+def test_an_empty_text_with_labels_of_its_own_changes_no_other_rate(spark):
+    schema = "doc_id long, text string, lang string, source string"
+    rows = [(i, "some words here " * (1 + i % 7), "en" if i % 3 else "de", f"s{i % 4}") for i in range(120)]
+    for empty in ("", None, " \n"):
+        more = [*rows, (999, empty, "en", "alone")]
+        before = {r.doc_id: (r.rate, r.kept) for r in mixing.mixed(spark.createDataFrame(rows, schema)).collect()}
+        after = {r.doc_id: (r.rate, r.kept) for r in mixing.mixed(spark.createDataFrame(more, schema)).collect()}
+        assert 0 < after.pop(999)[0] <= 1
+        assert after == before
+        assert max(rate for rate, _ in after.values()) == 1
+
+
+def test_raking_stops_at_its_tolerance_and_says_so(spark):
+    rows = [("a", "x", "p", 50), ("a", "y", "q", 20), ("b", "x", "q", 10), ("b", "y", "p", 15)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, n_tokens long")
+    want = {"source": {"a": 0.3, "b": 0.7}, "lang": {"x": 0.5, "y": 0.5}}
+    targets = {d: spark.createDataFrame(list(t.items()), "value string, share double") for d, t in want.items()}
+    fitted = mixing.rake(cells, targets, 40, 1e-9).collect()
+    assert 1 < fitted[0].rounds < 40 and fitted[0].gap <= 1e-9
+    short = mixing.rake(cells, targets, 2, 1e-9).first()
+    assert short.rounds == 2 and short.gap > 1e-9
