@@ -11,13 +11,15 @@ minimiser does, so:
 4. repeated windows come back as spans of their document.
 
 Texts are shuffled once, for steps 3 and 4 together (Spark reuses that exchange). A bucket group is
-bounded: a minimiser that may have more than `hot` windows goes another way. There, equal pieces are first counted as
-one (partial sums again), then the windows of distinct pieces are counted by two 64-bit hashes, a key for
-every window, so a passage that a third of all documents share is dealt out over all tasks and never
-gathered. Joins back are ordinary equi-joins, which adaptive execution divides where a key is hot.
-
-Rows are known by doc_id and a hash of their text, so that rows sharing a doc_id are texts of their own
-and a repeated row is a copy.
+bounded: the group of a minimiser with more than `hot` windows is not gathered but split by further digits,
+each a distributed pass with partial sums. Equal pieces are counted as one first. The next digit is a 64-bit
+hash of the whole window; windows alone under theirs leave as numbers. The last digit is the window itself:
+what is left is counted by its bytes, so equal groups are equal windows here too, and a passage that a third of
+all documents share is summed in every task before it moves. Joins back are ordinary equi-joins, which
+adaptive execution divides where a key is hot.
+
+Rows are known by doc_id and a 128-bit hash of their text, so that rows sharing a doc_id, or without one, are
+texts of their own and a repeated row is a copy.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowproof.llm.texts import (
-    BASE, Powers, blocks, byte_view, list_column, mix, prefix_hash, span_hash, text_or_empty, word_bounds,
+    blocks, byte_view, list_column, prefix_hash, span_hash, text_or_empty, word_bounds,
 )
 from rowproof.sources.staging import staged
 
@@ -43,16 +45,15 @@ BUCKET_BYTES = 1 << 22
 PLACE_BITS = 22
 LONGEST = 1 << (PLACE_BITS - 1)
 
-OTHER = Powers(0xA0761D6478BD642F)
-
 
 @dataclass(frozen=True)
 class Scheme:
-    """What a symbol is, and the lengths of a window and of a gram in symbols."""
+    """What a symbol is, the lengths of a window and of a gram in symbols, and the bits of a hot window's digit."""
 
     words: bool
     window: int
     gram: int
+    digit_bits: int = 64
 
 
 @dataclass
@@ -256,8 +257,8 @@ def _bucket(scheme: Scheme, find: Finder):
     return run
 
 
-def _window_hashes(scheme: Scheme):
-    """Two independent hashes of every window of a piece."""
+def _digits(scheme: Scheme):
+    """A hash of every window of a piece, the same for equal windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,17 +269,40 @@ def _window_hashes(scheme: Scheme):
                 row = np.repeat(np.arange(b - a), n)
                 place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
                 begin = s.first[row] + place
-                one = span_hash(prefix_hash(s.values), begin, begin + scheme.window, 1)
-                up, down = OTHER.to(len(s.values) + 1)
-                h = np.concatenate([[np.uint64(0)], np.cumsum(mix(s.values.astype(np.uint64), 2) * up[:-1])])
-                two = mix((h[begin + scheme.window] - h[begin]) * down[begin], 3)
+                digit = span_hash(prefix_hash(s.values), begin, begin + scheme.window, 1) >> np.uint64(64 - scheme.digit_bits)
+                which = pa.array(row)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "number": batch.column("number").slice(a, b - a).take(which),
+                        "at": pa.array(place),
+                        "digit": pa.array(digit.view(np.int64)),
+                        "copies": batch.column("copies").slice(a, b - a).take(which),
+                    }
+                )
+
+    return run
+
+
+def _windows(scheme: Scheme):
+    """The bytes of the windows that `places` names, from their pieces."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, at = byte_view(batch.column("piece"))
+            for a, b in blocks(at, BUCKET_BYTES // 16):
+                part = data[at[a] : at[b]]
+                s = symbols(part, at[a : b + 1] - at[a], scheme.words)
+                places = batch.column("places").slice(a, b - a)
+                row = np.repeat(np.arange(b - a), np.diff(places.offsets.to_numpy()))
+                place = places.flatten().to_numpy()
+                begin = s.first[row] + place
+                start, end = s.starts[begin], s.ends[begin + scheme.window - 1]
                 which = pa.array(row)
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "pid": batch.column("pid").slice(a, b - a).take(which),
+                        "number": batch.column("number").slice(a, b - a).take(which),
                         "at": pa.array(place),
-                        "one": pa.array(one.view(np.int64)),
-                        "two": pa.array(two.view(np.int64)),
+                        "window": pa.array([part[x:y].tobytes() for x, y in zip(start.tolist(), end.tolist(), strict=True)], pa.binary()),
                         "copies": batch.column("copies").slice(a, b - a).take(which),
                     }
                 )
@@ -305,7 +329,7 @@ def same_row(left: str, right: str) -> Column:
 
 def numbered(docs: DataFrame) -> DataFrame:
     """doc_id, th, text: what rows are known by, and their text."""
-    return docs.select("doc_id", text_or_empty().alias("text")).select("doc_id", F.hash("text").alias("th"), "text")
+    return docs.select("doc_id", text_or_empty().alias("text")).select("doc_id", F.unhex(F.md5("text")).alias("th"), "text")
 
 
 def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT_WINDOWS) -> DataFrame:
@@ -315,12 +339,13 @@ def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT_WIN
     numbers of windows, and tells for every window whether it equals another one of the same key.
     """
     base = numbered(docs)
-    id_kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, th int"
+    id_kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, th binary"
     marks = staged(base.mapInArrow(_mark(scheme), f"{id_kind}, runs array<long>, keys array<long>"))
     keys = staged(
-        marks.select(F.explode("keys").alias("known"))
-        .groupBy("known").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-        .select("known", (F.col("c") * (scheme.window - scheme.gram + 1) > hot).alias("hot"))
+        marks.select(F.explode(F.arrays_zip("runs", "keys")).alias("r"))
+        .groupBy(F.col("r.keys").alias("known"))
+        .agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("r.runs").bitwiseAND(0xFFFF)).alias("windows")).filter("c > 1")
+        .select("known", (F.col("windows") > hot).alias("hot"))
     )
     todo = (
         marks.select(F.col("doc_id").alias("t_doc_id"), F.col("th").alias("t_th"),
@@ -342,24 +367,36 @@ def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT_WIN
         pieces = staged(
             chosen.filter(F.exists("todo", lambda x: x["hot"]))
             .mapInArrow(_cut(scheme, True), piece_kind)
-            .withColumn("pid", F.unhex(F.sha2("piece", 256)))
+            .select("doc_id", "th", "first", "n", "piece", F.unhex(F.md5("piece")).alias("pid"))
         )
+        # Numbers are given once: what is written keeps them.
         distinct = staged(
-            pieces.groupBy("pid").agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("piece").alias("piece"))
+            pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"))
+            .withColumns({"pid": F.unhex(F.md5("piece")), "number": F.monotonically_increasing_id()})
+        )
+        windows = distinct.mapInArrow(_digits(scheme), "number long, at long, digit long, copies long")
+        again = windows.groupBy(F.col("digit").alias("digit2")).agg(F.sum("copies").alias("c")).filter("c > 1").select("digit2")
+        left = staged(
+            windows.join(again, F.col("digit") == F.col("digit2"), "left_semi")
+            .groupBy(F.col("number").alias("number2")).agg(F.collect_list("at").alias("places"))
         )
-        windows = distinct.mapInArrow(
-            _window_hashes(scheme), "pid binary, at long, one long, two long, copies long"
+        # A window that occurs once has one row, which the least number and place of its group name.
+        alone = (
+            distinct.join(left, F.col("number") == F.col("number2")).select("number", "copies", "piece", "places")
+            .mapInArrow(_windows(scheme), "number long, at long, window binary, copies long")
+            .groupBy("window").agg(F.sum("copies").alias("c"), F.min("number").alias("number"), F.min("at").alias("at"))
+            .filter("c = 1").groupBy(F.col("number").alias("number3")).agg(F.collect_list("at").alias("never"))
         )
-        again = windows.groupBy(F.col("one").alias("one2"), F.col("two").alias("two2")).agg(
-            F.sum("copies").alias("c")
-        ).filter("c > 1")
         # Written, so that a piece of very many documents meets a plain exchange, which Spark can divide.
+        none = F.array().cast("array<bigint>")
         places = staged(
-            windows.join(again, (F.col("one") == F.col("one2")) & (F.col("two") == F.col("two2")))
-            .groupBy(F.col("pid").alias("pid2")).agg(F.collect_list("at").alias("places"))
+            left.join(alone, F.col("number2") == F.col("number3"), "left")
+            .join(distinct.select("number", F.col("pid").alias("pid2")), F.col("number2") == F.col("number"))
+            .select("pid2", F.array_except("places", F.coalesce("never", none)).alias("places"))
+            .filter(F.size("places") > 0)
         )
         spans = spans.unionByName(
-            pieces.drop("piece").join(places, F.col("pid") == F.col("pid2"))
+            pieces.join(places, F.col("pid") == F.col("pid2"))
             .select("doc_id", "th", "first", "places")
             .mapInArrow(_hot_spans(scheme), span_kind)
         )

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rowproof.llm import repeats, suffixes, superkmers
 from tests.llm.helpers import awkward, frame
@@ -64,6 +65,34 @@ def test_long_texts_are_marked_in_stretches(monkeypatch, module, words, window,
     assert whole[2].sum() == 4000 - window + 1
 
 
+@pytest.mark.parametrize("module, words, window, gram", SCHEMES)
+@pytest.mark.parametrize("bits", [2, 12])
+def test_digits_of_hot_windows_that_clash_join_nothing(spark, module, words, window, gram, bits):
+    texts = awkward()
+    found = repeats.with_spans(frame(spark, texts), repeats.Scheme(words, window, gram, bits), module.equal_windows, hot=1)
+    for doc_id, _, spans in found.collect():
+        symbols = (texts[doc_id] or "").encode().split() if words else (texts[doc_id] or "").encode()
+        marked = bytearray(len(symbols))
+        for a, b in spans or []:
+            marked[a:b] = b"\x01" * (b - a)
+        assert sum(marked) == brute(texts, words, window)[doc_id][1]
+
+
+def test_rows_without_id_whose_texts_share_a_short_hash(spark):
+    passage = "one passage that the rows of this test have in common, long enough to be a window of either kind "
+    long = passage + "and much more of it than that, in the second text only " * 3
+    texts = spark.range(150_000).select(F.when(F.col("id") % 2 == 0, passage).otherwise(long).alias("p"), "id").select(
+        F.concat("p", F.col("id").cast("string")).alias("text")
+    )
+    clash = texts.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("same")).filter("size(same) > 1").first().same
+    rows = [(None, x) for x in clash] + [(7, x) for x in clash]
+    for module, words, window, gram in SCHEMES:
+        for hot in (repeats.HOT_WINDOWS, 1):
+            got = module.removed(spark.createDataFrame(rows, "doc_id long, text string"), window, gram, hot).collect()
+            want = brute([x for _, x in rows], words, window)
+            assert sorted(map(tuple, got), key=str) == sorted([(r[0], *w) for r, w in zip(rows, want, strict=True)], key=str)
+
+
 def test_windows_of_one_hash_are_told_apart_by_their_words(monkeypatch):
     monkeypatch.setattr(superkmers, "span_hash", lambda h, a, b: np.zeros(len(a), np.uint64))
     pieces = [b"a b c d", b"a b c e", b"q a b c"]
