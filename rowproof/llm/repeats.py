@@ -11,12 +11,15 @@ minimiser does, so:
 4. repeated windows come back as spans of their document.
 
 Texts are shuffled once, for steps 3 and 4 together (Spark reuses that exchange). A bucket group is
-bounded: the group of a minimiser with more than `hot` windows is not gathered but split by further digits,
-each a distributed pass with partial sums. Equal pieces are counted as one first. The next digit is a 64-bit
-hash of the whole window; windows alone under theirs leave as numbers. The last digit is the window itself:
-what is left is counted by its bytes, so equal groups are equal windows here too, and a passage that a third of
-all documents share is summed in every task before it moves. Joins back are ordinary equi-joins, which
-adaptive execution divides where a key is hot.
+bounded: the group of a minimiser with more than `hot` windows is not gathered but split by one more digit,
+a 128-bit cryptographic digest (BLAKE2b) of each window's own bytes. Equal pieces are counted as one first, then
+the windows of distinct pieces by that digit, with partial sums, so a passage that a third of all documents
+share is summed in every task before it moves. Only here do equal digests stand for equal windows; sending the
+bytes of each such window as well takes more disk than texts of this kind may (see the README). Joins back
+are ordinary equi-joins, which adaptive execution divides where a key is hot.
+
+Hot minimisers are few, one for each `hot` windows of the corpus at most. Up to `MOST_HOT` of them are sent to
+a second scan of the texts; more are joined to the rows that have them.
 
 Rows are known by doc_id and a 128-bit hash of their text, so that rows sharing a doc_id, or without one, are
 texts of their own and a repeated row is a copy.
@@ -24,6 +27,7 @@ texts of their own and a repeated row is a copy.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -41,6 +45,8 @@ from rowproof.sources.staging import staged
 HOT_WINDOWS = 1 << 21
 #: Bytes of pieces that a bucket task works on at once, beyond the group it is in.
 BUCKET_BYTES = 1 << 22
+#: Hot minimisers that a task may hold as a list (eight bytes each); more come to the rows by a join.
+MOST_HOT = 1 << 18
 #: Symbols of a text looked at together: a minimiser's place must fit in so many.
 PLACE_BITS = 22
 LONGEST = 1 << (PLACE_BITS - 1)
@@ -48,12 +54,11 @@ LONGEST = 1 << (PLACE_BITS - 1)
 
 @dataclass(frozen=True)
 class Scheme:
-    """What a symbol is, the lengths of a window and of a gram in symbols, and the bits of a hot window's digit."""
+    """What a symbol is, and the lengths of a window and of a gram in symbols."""
 
     words: bool
     window: int
     gram: int
-    digit_bits: int = 64
 
 
 @dataclass
@@ -123,7 +128,9 @@ def _stretches(s: Symbols, window: int) -> Iterator[tuple[int, int, int, np.ndar
         t = last
 
 
-def _mark(scheme: Scheme):
+def _mark(scheme: Scheme, whole: bool = False):
+    """The runs of every text that has any; with the rows of those texts, if `whole`."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = byte_view(batch.column("text"))
@@ -138,14 +145,16 @@ def _mark(scheme: Scheme):
                 text, start, count, key = (np.concatenate(x) for x in zip(*found, strict=True))
                 sizes = np.bincount(text, minlength=b - a)
                 some = pa.array(np.flatnonzero(sizes))
-                yield pa.RecordBatch.from_pydict(
+                rows = batch.slice(a, b - a).take(some)
+                marked = pa.RecordBatch.from_pydict(
                     {
-                        "doc_id": batch.column("doc_id").slice(a, b - a).take(some),
-                        "th": batch.column("th").slice(a, b - a).take(some),
+                        "doc_id": rows.column("doc_id"),
+                        "th": rows.column("th"),
                         "runs": list_column(pa.array((start << 16) | count), sizes[sizes > 0]),
                         "keys": list_column(pa.array(key), sizes[sizes > 0]),
                     }
                 )
+                yield (marked, rows) if whole else marked
 
     return run
 
@@ -187,6 +196,28 @@ def _cut(scheme: Scheme, with_hot: bool):
     return run
 
 
+def _cut_known(scheme: Scheme, known: np.ndarray):
+    """The pieces of runs whose minimiser is one of the sorted `known`, straight from the texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = _cut(scheme, True)
+        for marked, rows in _mark(scheme, whole=True)(batches):
+            keys, places = marked.column("keys"), marked.column("runs")
+            sizes = np.diff(keys.offsets.to_numpy())
+            key = keys.flatten().to_numpy()
+            mine = known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key
+            if not mine.any():
+                continue
+            count = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[mine], minlength=len(sizes))
+            todo = pa.StructArray.from_arrays(
+                [places.flatten().filter(pa.array(mine)), pa.array(key[mine]), pa.array(np.ones(mine.sum(), bool))], ["run", "key", "hot"]
+            )
+            texts = {c: rows.column(c) for c in ("doc_id", "th", "text")}
+            yield from cut([pa.RecordBatch.from_pydict(texts | {"todo": list_column(todo, count)})])
+
+    return run
+
+
 def merged(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Overlapping or touching spans of a row as one; spans come in any order."""
     order = np.lexsort((start, row))
@@ -258,51 +289,29 @@ def _bucket(scheme: Scheme, find: Finder):
 
 
 def _digits(scheme: Scheme):
-    """A hash of every window of a piece, the same for equal windows."""
+    """The digest of every window of a piece, as two numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = byte_view(batch.column("piece"))
             for a, b in blocks(at, BUCKET_BYTES // 16):
-                s = symbols(data[at[a] : at[b]], at[a : b + 1] - at[a], scheme.words)
+                part = data[at[a] : at[b]]
+                s = symbols(part, at[a : b + 1] - at[a], scheme.words)
                 n = batch.column("n").slice(a, b - a).to_numpy()
                 row = np.repeat(np.arange(b - a), n)
                 place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
                 begin = s.first[row] + place
-                digit = span_hash(prefix_hash(s.values), begin, begin + scheme.window, 1) >> np.uint64(64 - scheme.digit_bits)
+                start, end = s.starts[begin].tolist(), s.ends[begin + scheme.window - 1].tolist()
+                view = memoryview(part.tobytes())
+                digest = b"".join(hashlib.blake2b(view[x:y], digest_size=16).digest() for x, y in zip(start, end, strict=True))
+                one, two = np.frombuffer(digest, np.int64).reshape(-1, 2).T
                 which = pa.array(row)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "number": batch.column("number").slice(a, b - a).take(which),
                         "at": pa.array(place),
-                        "digit": pa.array(digit.view(np.int64)),
-                        "copies": batch.column("copies").slice(a, b - a).take(which),
-                    }
-                )
-
-    return run
-
-
-def _windows(scheme: Scheme):
-    """The bytes of the windows that `places` names, from their pieces."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, at = byte_view(batch.column("piece"))
-            for a, b in blocks(at, BUCKET_BYTES // 16):
-                part = data[at[a] : at[b]]
-                s = symbols(part, at[a : b + 1] - at[a], scheme.words)
-                places = batch.column("places").slice(a, b - a)
-                row = np.repeat(np.arange(b - a), np.diff(places.offsets.to_numpy()))
-                place = places.flatten().to_numpy()
-                begin = s.first[row] + place
-                start, end = s.starts[begin], s.ends[begin + scheme.window - 1]
-                which = pa.array(row)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "number": batch.column("number").slice(a, b - a).take(which),
-                        "at": pa.array(place),
-                        "window": pa.array([part[x:y].tobytes() for x, y in zip(start.tolist(), end.tolist(), strict=True)], pa.binary()),
+                        "one": pa.array(one.copy()),
+                        "two": pa.array(two.copy()),
                         "copies": batch.column("copies").slice(a, b - a).take(which),
                     }
                 )
@@ -311,13 +320,21 @@ def _windows(scheme: Scheme):
 
 
 def _hot_spans(scheme: Scheme):
+    """Spans of all windows of a piece but those that `alone` names (null: none)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places = batch.column("places")
-            sizes = np.diff(places.offsets.to_numpy())
-            if len(places):
-                row = np.repeat(np.arange(batch.num_rows), sizes)
-                yield _spans(pa.Table.from_batches([batch]), row, places.flatten().to_numpy(), scheme.window)
+        for whole in batches:
+            for low in range(0, whole.num_rows, 1 << 12):
+                batch = whole.slice(low, 1 << 12)
+                n, alone = batch.column("n").to_numpy(), batch.column("alone")
+                row = np.repeat(np.arange(len(n)), n)
+                begin = np.cumsum(n) - n
+                again = np.ones(len(row), bool)
+                sizes = alone.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                again[np.repeat(begin, sizes) + alone.flatten().to_numpy()] = False
+                if again.any():
+                    at = np.arange(len(row)) - np.repeat(begin, n)
+                    yield _spans(pa.Table.from_batches([batch]), row[again], at[again], scheme.window)
 
     return run
 
@@ -332,7 +349,7 @@ def numbered(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text_or_empty().alias("text")).select("doc_id", F.unhex(F.md5("text")).alias("th"), "text")
 
 
-def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT_WINDOWS) -> DataFrame:
+def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT_WINDOWS, most_hot: int = MOST_HOT) -> DataFrame:
     """doc_id, text and `spans` (list of start, stop in symbols, or null) of every row of `docs`.
 
     A span is covered by windows that also start elsewhere. `find` gets keys, distinct pieces with their
@@ -363,41 +380,33 @@ def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT_WIN
         .repartition("key").sortWithinPartitions("key")
         .mapInArrow(_bucket(scheme, find), span_kind)
     )
-    if not keys.filter("hot").isEmpty():
-        pieces = staged(
-            chosen.filter(F.exists("todo", lambda x: x["hot"]))
-            .mapInArrow(_cut(scheme, True), piece_kind)
-            .select("doc_id", "th", "first", "n", "piece", F.unhex(F.md5("piece")).alias("pid"))
+    known = np.sort(np.array([r.known for r in keys.filter("hot").select("known").limit(most_hot + 1).collect()], np.int64))
+    if len(known):
+        cut = (
+            base.mapInArrow(_cut_known(scheme, known), piece_kind) if len(known) <= most_hot
+            else chosen.filter(F.exists("todo", lambda x: x["hot"])).mapInArrow(_cut(scheme, True), piece_kind)
         )
+        pieces = staged(cut.select("doc_id", "th", "first", "n", "piece", F.unhex(F.md5("piece")).alias("pid")))
         # Numbers are given once: what is written keeps them.
         distinct = staged(
             pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"))
             .withColumns({"pid": F.unhex(F.md5("piece")), "number": F.monotonically_increasing_id()})
         )
-        windows = distinct.mapInArrow(_digits(scheme), "number long, at long, digit long, copies long")
-        again = windows.groupBy(F.col("digit").alias("digit2")).agg(F.sum("copies").alias("c")).filter("c > 1").select("digit2")
-        left = staged(
-            windows.join(again, F.col("digit") == F.col("digit2"), "left_semi")
-            .groupBy(F.col("number").alias("number2")).agg(F.collect_list("at").alias("places"))
-        )
         # A window that occurs once has one row, which the least number and place of its group name.
         alone = (
-            distinct.join(left, F.col("number") == F.col("number2")).select("number", "copies", "piece", "places")
-            .mapInArrow(_windows(scheme), "number long, at long, window binary, copies long")
-            .groupBy("window").agg(F.sum("copies").alias("c"), F.min("number").alias("number"), F.min("at").alias("at"))
-            .filter("c = 1").groupBy(F.col("number").alias("number3")).agg(F.collect_list("at").alias("never"))
+            distinct.mapInArrow(_digits(scheme), "number long, at long, one long, two long, copies long")
+            .groupBy("one", "two").agg(F.sum("copies").alias("c"), F.min("number").alias("number2"), F.min("at").alias("at"))
+            .filter("c = 1").groupBy("number2").agg(F.collect_list("at").alias("alone"))
         )
         # Written, so that a piece of very many documents meets a plain exchange, which Spark can divide.
-        none = F.array().cast("array<bigint>")
         places = staged(
-            left.join(alone, F.col("number2") == F.col("number3"), "left")
-            .join(distinct.select("number", F.col("pid").alias("pid2")), F.col("number2") == F.col("number"))
-            .select("pid2", F.array_except("places", F.coalesce("never", none)).alias("places"))
-            .filter(F.size("places") > 0)
+            distinct.select(F.col("pid").alias("pid2"), "number", F.col("n").alias("n2"))
+            .join(alone, F.col("number") == F.col("number2"), "left")
+            .filter(F.col("alone").isNull() | (F.size("alone") < F.col("n2"))).select("pid2", "alone")
         )
         spans = spans.unionByName(
             pieces.join(places, F.col("pid") == F.col("pid2"))
-            .select("doc_id", "th", "first", "places")
+            .select("doc_id", "th", "first", "n", "alone")
             .mapInArrow(_hot_spans(scheme), span_kind)
         )
     listed = spans.groupBy(F.col("doc_id").alias("s_doc_id"), F.col("th").alias("s_th")).agg(

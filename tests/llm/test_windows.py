@@ -66,16 +66,17 @@ def test_long_texts_are_marked_in_stretches(monkeypatch, module, words, window,
 
 
 @pytest.mark.parametrize("module, words, window, gram", SCHEMES)
-@pytest.mark.parametrize("bits", [2, 12])
-def test_digits_of_hot_windows_that_clash_join_nothing(spark, module, words, window, gram, bits):
+def test_more_hot_minimisers_than_a_task_may_hold_are_joined(spark, module, words, window, gram):
     texts = awkward()
-    found = repeats.with_spans(frame(spark, texts), repeats.Scheme(words, window, gram, bits), module.equal_windows, hot=1)
-    for doc_id, _, spans in found.collect():
-        symbols = (texts[doc_id] or "").encode().split() if words else (texts[doc_id] or "").encode()
-        marked = bytearray(len(symbols))
-        for a, b in spans or []:
-            marked[a:b] = b"\x01" * (b - a)
-        assert sum(marked) == brute(texts, words, window)[doc_id][1]
+    scheme = repeats.Scheme(words, window, gram)
+    for most_hot in (repeats.MOST_HOT, 3):
+        found = repeats.with_spans(frame(spark, texts), scheme, module.equal_windows, 1, most_hot)
+        for doc_id, _, spans in found.collect():
+            symbols = (texts[doc_id] or "").encode().split() if words else (texts[doc_id] or "").encode()
+            marked = bytearray(len(symbols))
+            for a, b in spans or []:
+                marked[a:b] = b"\x01" * (b - a)
+            assert sum(marked) == brute(texts, words, window)[doc_id][1]
 
 
 def test_rows_without_id_whose_texts_share_a_short_hash(spark):
