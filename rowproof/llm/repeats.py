@@ -22,7 +22,8 @@ Hot minimisers are few, one for each `hot` windows of the corpus at most. Up to
 a second scan of the texts; more are joined to the rows that have them.
 
 Rows are known by doc_id and a 128-bit hash of their text, so that rows sharing a doc_id, or without one, are
-texts of their own and a repeated row is a copy.
+texts of their own and a repeated row is a copy. Runs, pieces and spans carry a number for the two, given when
+the runs are written.
 """
 
 from __future__ import annotations
@@ -159,7 +160,9 @@ def _mark(scheme: Scheme, whole: bool = False):
     return run
 
 
-def _cut(scheme: Scheme, with_hot: bool):
+def _cut(scheme: Scheme, with_hot: bool, row: tuple[str, ...] = ("number",)):
+    """The runs in `todo` as pieces; `row` are the columns that tell whose they are."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = byte_view(batch.column("text"))
@@ -185,8 +188,7 @@ def _cut(scheme: Scheme, with_hot: bool):
                 yield pa.RecordBatch.from_pydict(
                     {
                         "key": todo.field("key").take(pa.array(mine)),
-                        "doc_id": batch.column("doc_id").slice(a, b - a).take(which),
-                        "th": batch.column("th").slice(a, b - a).take(which),
+                        **{c: batch.column(c).slice(a, b - a).take(which) for c in row},
                         "first": pa.array(first),
                         "n": pa.array(count),
                         "piece": pa.array(piece, pa.binary()),
@@ -200,7 +202,7 @@ def _cut_known(scheme: Scheme, known: np.ndarray):
     """The pieces of runs whose minimiser is one of the sorted `known`, straight from the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = _cut(scheme, True)
+        cut = _cut(scheme, True, ("doc_id", "th"))
         for marked, rows in _mark(scheme, whole=True)(batches):
             keys, places = marked.column("keys"), marked.column("runs")
             sizes = np.diff(keys.offsets.to_numpy())
@@ -240,8 +242,7 @@ def _spans(table: pa.Table, row: np.ndarray, at: np.ndarray, window: int) -> pa.
     which = pa.array(row)
     return pa.RecordBatch.from_pydict(
         {
-            "doc_id": table.column("doc_id").combine_chunks().take(which),
-            "th": table.column("th").combine_chunks().take(which),
+            **{c: table.column(c).combine_chunks().take(which) for c in ("number", "doc_id", "th") if c in table.column_names},
             "start": pa.array(start),
             "stop": pa.array(end),
         }
@@ -357,36 +358,45 @@ def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT_WIN
     """
     base = numbered(docs)
     id_kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, th binary"
-    marks = staged(base.mapInArrow(_mark(scheme), f"{id_kind}, runs array<long>, keys array<long>"))
+    marks = staged(
+        base.mapInArrow(_mark(scheme), f"{id_kind}, runs array<long>, keys array<long>")
+        .withColumn("number", F.monotonically_increasing_id())
+    )
     keys = staged(
         marks.select(F.explode(F.arrays_zip("runs", "keys")).alias("r"))
         .groupBy(F.col("r.keys").alias("known"))
         .agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("r.runs").bitwiseAND(0xFFFF)).alias("windows")).filter("c > 1")
         .select("known", (F.col("windows") > hot).alias("hot"))
     )
+    # Rows that repeat an id and its text have one number.
+    rows = staged(
+        marks.groupBy(F.col("doc_id").alias("t_doc_id"), F.col("th").alias("t_th")).agg(F.min("number").alias("number"))
+    )
     todo = (
-        marks.select(F.col("doc_id").alias("t_doc_id"), F.col("th").alias("t_th"),
-                     F.explode(F.arrays_zip("runs", "keys")).alias("r"))
-        .select("t_doc_id", "t_th", F.col("r.runs").alias("run"), F.col("r.keys").alias("key"))
+        marks.select(F.col("number").alias("number2"), F.explode(F.arrays_zip("runs", "keys")).alias("r"))
+        .select("number2", F.col("r.runs").alias("run"), F.col("r.keys").alias("key"))
         .join(keys, F.col("key") == F.col("known"))
-        .groupBy("t_doc_id", "t_th")
-        .agg(F.collect_set(F.struct("run", "key", "hot")).alias("todo"))
+        .groupBy("number2")
+        .agg(F.collect_list(F.struct("run", "key", "hot")).alias("todo"))
     )
-    chosen = base.join(todo, same_row("", "t_")).select("doc_id", "th", "text", "todo")
-    piece_kind = f"key long, {id_kind}, first long, n long, piece binary"
-    span_kind = f"{id_kind}, start long, stop long"
+    todo = rows.join(todo, F.col("number") == F.col("number2")).drop("number2")
+    chosen = base.join(todo, same_row("", "t_")).select("number", "text", "todo")
+    piece_kind = "first long, n long, piece binary"
+    span_kind = "number long, start long, stop long"
     spans = (
-        chosen.mapInArrow(_cut(scheme, False), piece_kind)
+        chosen.mapInArrow(_cut(scheme, False), f"key long, number long, {piece_kind}")
         .repartition("key").sortWithinPartitions("key")
         .mapInArrow(_bucket(scheme, find), span_kind)
     )
     known = np.sort(np.array([r.known for r in keys.filter("hot").select("known").limit(most_hot + 1).collect()], np.int64))
     if len(known):
-        cut = (
-            base.mapInArrow(_cut_known(scheme, known), piece_kind) if len(known) <= most_hot
-            else chosen.filter(F.exists("todo", lambda x: x["hot"])).mapInArrow(_cut(scheme, True), piece_kind)
-        )
-        pieces = staged(cut.select("doc_id", "th", "first", "n", "piece", F.unhex(F.md5("piece")).alias("pid")))
+        if len(known) <= most_hot:
+            own = ("doc_id", "th")
+            cut = base.mapInArrow(_cut_known(scheme, known), f"key long, {id_kind}, {piece_kind}")
+        else:
+            own = ("number",)
+            cut = chosen.filter(F.exists("todo", lambda x: x["hot"])).mapInArrow(_cut(scheme, True), f"key long, number long, {piece_kind}")
+        pieces = staged(cut.select(*own, "first", "n", "piece", F.unhex(F.md5("piece")).alias("pid")))
         # Numbers are given once: what is written keeps them.
         distinct = staged(
             pieces.groupBy("piece").agg(F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"))
@@ -404,13 +414,17 @@ def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT_WIN
             .join(alone, F.col("number") == F.col("number2"), "left")
             .filter(F.col("alone").isNull() | (F.size("alone") < F.col("n2"))).select("pid2", "alone")
         )
-        spans = spans.unionByName(
-            pieces.join(places, F.col("pid") == F.col("pid2"))
-            .select("doc_id", "th", "first", "n", "alone")
-            .mapInArrow(_hot_spans(scheme), span_kind)
+        found = (
+            pieces.join(places, F.col("pid") == F.col("pid2")).select(*own, "first", "n", "alone")
+            .mapInArrow(_hot_spans(scheme), span_kind if own == ("number",) else f"{id_kind}, start long, stop long")
         )
-    listed = spans.groupBy(F.col("doc_id").alias("s_doc_id"), F.col("th").alias("s_th")).agg(
-        F.collect_set(F.struct("start", "stop")).alias("spans")
+        if own != ("number",):
+            found = found.join(rows, same_row("", "t_")).select("number", "start", "stop")
+        spans = spans.unionByName(found)
+    listed = spans.groupBy(F.col("number").alias("number2")).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    listed = (
+        rows.join(listed, F.col("number") == F.col("number2"))
+        .select(F.col("t_doc_id").alias("s_doc_id"), F.col("t_th").alias("s_th"), "spans")
     )
     return base.join(listed, same_row("", "s_"), "left").select("doc_id", "text", "spans")
 
