@@ -347,7 +347,9 @@ def same_row(left: str, right: str) -> Column:
 
 def numbered(docs: DataFrame) -> DataFrame:
     """doc_id, th, text: what rows are known by, and their text."""
-    return docs.select("doc_id", text_or_empty().alias("text")).select("doc_id", F.unhex(F.md5("text")).alias("th"), "text")
+    # Never null, also by its type: an inner join would else filter the texts, and their exchange serve only once.
+    digest = F.coalesce(F.unhex(F.md5("text")), F.lit(b""))
+    return docs.select("doc_id", text_or_empty().alias("text")).select("doc_id", digest.alias("th"), "text")
 
 
 def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT_WINDOWS, most_hot: int = MOST_HOT) -> DataFrame:
