@@ -14,9 +14,8 @@ Texts are shuffled once, for steps 3 and 4 together (Spark reuses that exchange)
 bounded: the group of a minimiser with more than `hot` windows is not gathered but split by one more digit,
 a 128-bit cryptographic digest (BLAKE2b) of each window's own bytes. Equal pieces are counted as one first, then
 the windows of distinct pieces by that digit, with partial sums, so a passage that a third of all documents
-share is summed in every task before it moves. Only here do equal digests stand for equal windows; sending the
-bytes of each such window as well takes more disk than texts of this kind may (see the README). Joins back
-are ordinary equi-joins, which adaptive execution divides where a key is hot.
+share is summed in every task before it moves. Only here do equal digests stand for equal windows; their
+bytes are not compared. Joins back are ordinary equi-joins, which adaptive execution divides where a key is hot.
 
 Hot minimisers are few, one for each `hot` windows of the corpus at most. Up to `MOST_HOT` of them are sent to
 a second scan of the texts; more are joined to the rows that have them.
