@@ -389,6 +389,8 @@ def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT_WIN
         .repartition("key").sortWithinPartitions("key")
         .mapInArrow(_bucket(scheme, find), span_kind)
     )
+    spans_of = F.collect_set(F.struct("start", "stop")).alias("spans")
+    hot_listed = None
     known = np.sort(np.array([r.known for r in keys.filter("hot").select("known").limit(most_hot + 1).collect()], np.int64))
     if len(known):
         if len(known) <= most_hot:
@@ -419,14 +421,18 @@ def with_spans(docs: DataFrame, scheme: Scheme, find: Finder, hot: int = HOT_WIN
             pieces.join(places, F.col("pid") == F.col("pid2")).select(*own, "first", "n", "alone")
             .mapInArrow(_hot_spans(scheme), span_kind if own == ("number",) else f"{id_kind}, start long, stop long")
         )
-        if own != ("number",):
-            found = found.join(rows, same_row("", "t_")).select("number", "start", "stop")
-        spans = spans.unionByName(found)
-    listed = spans.groupBy(F.col("number").alias("number2")).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+        if own == ("number",):
+            spans = spans.unionByName(found)
+        else:
+            hot_listed = found.groupBy(F.col("doc_id").alias("s_doc_id"), F.col("th").alias("s_th")).agg(spans_of)
+    listed = spans.groupBy(F.col("number").alias("number2")).agg(spans_of)
     listed = (
         rows.join(listed, F.col("number") == F.col("number2"))
         .select(F.col("t_doc_id").alias("s_doc_id"), F.col("t_th").alias("s_th"), "spans")
     )
+    if hot_listed is not None:
+        # A row has two lists at most, one of each way.
+        listed = listed.unionByName(hot_listed).groupBy("s_doc_id", "s_th").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     return base.join(listed, same_row("", "s_"), "left").select("doc_id", "text", "spans")
 
 
