@@ -4,10 +4,11 @@ Two sets of n tokens or so that overlap enough share a token among the first few
 of all tokens; a false pair that shares one under one order seldom shares one under another. A pair must
 share a prefix token under every order before it is verified on the whole sets.
 
-The orders put rare tokens before frequent ones, by their document counts over the whole table, so common
-passages stand behind what is a document's own. Orders differ in how they break ties. A prefix token of one
-document only cannot be shared and is not sent; but it counts in the places of the tokens behind it, and a
-pair is a candidate only if behind its shared token both sets are still long enough for their union.
+The first order puts rare tokens before frequent ones, by their document counts over the whole table, so
+common passages stand behind what is a document's own; the others go by a hash of their own, whatever the
+counts. A prefix token of one document only cannot be shared and is not sent; but it counts in the places of
+the tokens behind it, and a pair is a candidate only if behind its shared token both sets are still long
+enough for their union.
 
 What keeps large groups of copies from being paired with one another: documents with equal sets are one
 class with one representative, and what is asked for is which documents are connected. In the first round
@@ -17,8 +18,8 @@ token and are not yet connected are compared, all of them, so no link between tw
 inside a connected group change nothing and are not looked for.
 
 Defined cases: a null text or one without words has an empty set and links with nothing. A row with
-a null doc_id belongs to the group of an equal set, else to none. Rows sharing a doc_id are one node with the links of all its texts. Other columns are
-not read. Shingles are told apart by 64-bit hashes.
+a null doc_id belongs to the group of an equal set, else to none. Rows sharing a doc_id are one node with the
+links of all its texts, and have one component_id. Other columns are not read. Shingles are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -82,8 +83,7 @@ def _prefixes(
     doc: np.ndarray, h: np.ndarray, rank: np.ndarray, n: np.ndarray, seed: int, similar: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """The prefix tokens under one order by document, and their places in it."""
-    tie = h if seed == 0 else mix(h, seed)
-    order = np.lexsort((tie, rank, doc))
+    order = np.lexsort((h, rank, doc) if seed == 0 else (mix(h, seed), doc))
     begin = np.cumsum(n) - n
     place = np.arange(len(h)) - begin[doc[order]]
     first = place < prefix_length(n, similar)[doc[order]]
@@ -231,9 +231,21 @@ def joined(docs: DataFrame, similar: int = SIMILAR, size: int = SHINGLE, block_t
         ).select(F.col("doc_id").alias("x"), F.col("doc_id_").alias("y"))
     )
     more = _links(second, heads, similar)
-    linked = components(links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    # An id of several rows connects the classes of its texts, and its rows without class follow them.
+    repeated = sets.filter("doc_id is not null").groupBy(F.col("doc_id").alias("id")).count().filter("count > 1")
+    shared = staged(
+        known.join(repeated, F.col("doc_id") == F.col("id")).select("id", "digest").distinct()
+        .join(classes, F.col("digest") == F.col("digest_")).select("id", "stands")
+    )
+    least = shared.groupBy(F.col("id").alias("id_")).agg(F.min("stands").alias("low"))
+    bridges = shared.join(least, F.col("id") == F.col("id_")).select(F.col("low").alias("a"), F.col("stands").alias("b"))
+    linked = components(links.unionByName(more).unionByName(bridges).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    follow = least.join(linked, F.col("low") == F.col("node"), "left").select("id_", F.coalesce("component", "low").alias("leads"))
     # Most documents share no rare token and have no class: they would all be one null key of a join.
-    alone = sets.filter("digest is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    alone = (
+        sets.filter("digest is null").join(follow, F.col("doc_id") == F.col("id_"), "left")
+        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("leads", "doc_id").alias("component_id"))
+    )
     return alone.unionByName(
         sets.filter("digest is not null").select("doc_id", "n", "digest")
         .join(classes, F.col("digest") == F.col("digest_"), "left")
