@@ -11,7 +11,7 @@ adaptive execution can divide a hot group.
 
 Defined cases: a null text is an empty one, and all empty texts are one group. Rows that share a
 doc_id share its decision, so repeated rows of the id that stays are all `kept`. A null doc_id loses
-against any other. Other columns of the input are not read.
+against any other. Ids may be of any type that has an order. Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -61,10 +61,10 @@ def exact_duplicates(docs: DataFrame, digest=F.md5) -> DataFrame:
         "doc_id", "points", "h", "text_sha256",
         F.when(F.col("body") != F.col("sample"), F.col("body")).alias("other"),
     )
-    # More code points first, then the smaller id: one number per step keeps the aggregates partial.
+    # More code points first, then the smaller id, null last: the least of each task moves, whatever type an id has.
     longest = compared.groupBy("h", "other").agg(
         F.count(F.lit(1)).alias("group_size"),
-        F.max_by(F.struct("doc_id"), F.struct("points", -F.col("doc_id"))).alias("best"),
+        F.min(F.struct((-F.col("points")).alias("fewer"), F.col("doc_id").isNull().alias("none"), "doc_id")).alias("best"),
     )
     classes = longest.select(
         F.col("h").alias("h2"), F.col("other").alias("other2"), "group_size", F.col("best.doc_id").alias("keep_id")

@@ -43,3 +43,9 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
 def test_query_equals_sql(spark):
     folder = "/root/testdata/sf0.001"
     assert differences(exactdedup.op9_exact_dedup(spark, folder), duck(folder), exactdedup.ORACLE) == []
+
+
+def test_text_ids(spark):
+    rows = spark.createDataFrame([("b", "x y"), ("a", "x\ty"), ("c", "xy"), (None, "x y"), ("d", "z")], "doc_id string, text string")
+    got = {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in exactdedup.exact_duplicates(rows).collect()}
+    assert got == {("a", "a", 4, True), ("b", "a", 4, False), ("c", "a", 4, False), (None, "a", 4, False), ("d", "d", 1, True)}
