@@ -14,7 +14,7 @@ the matrix of second moments (dimension squared) and the counts of cells (at mos
 that the driver sees.
 
 Defined cases: vectors that are null, empty, zero, or hold a null or a value that is not finite link with
-nothing, nor does a null id. Vectors of different lengths are never linked; the basis is learned from the
+nothing, nor does a null id. Ids are of any integral type. Vectors of different lengths are never linked; the basis is learned from the
 most common length and others keep their own axes. Rows that share an id add up their links under it, and
 copies of a row are links of each other. Other columns are not read.
 """
@@ -186,8 +186,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
     if common is None:
         return out.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     axes = principal_axes(rows, common.d)
+    id_kind = rows.schema["id"].dataType.simpleString()
     width = float(np.sqrt(2 - 2 * threshold)) * (1 + 1e-9)  # linked unit vectors are no farther apart
-    celled = staged(rows.mapInArrow(_celled(axes, width), "id long, x array<double>, size long, c1 long, c2 long"))
+    celled = staged(rows.mapInArrow(_celled(axes, width), f"id {id_kind}, x array<double>, size long, c1 long, c2 long"))
     place = ("size", "c1", "c2")
     cells = celled.groupBy(*(F.col(c).alias(f"{c}_") for c in place)).agg(F.ceil(F.count(F.lit(1)) / tile).alias("parts"))
     same = F.lit(True)
@@ -198,7 +199,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
     )
     tiles = staged(
         tiled.select("id", "x", *place, "tile").groupBy("tile")
-        .applyInPandas(_packed, "tile string, size long, c1 long, c2 long, ids array<long>, data binary")
+        .applyInPandas(_packed, f"tile string, size long, c1 long, c2 long, ids array<{id_kind}>, data binary")
     )
     near = F.array(*(F.struct((F.col("c1") + i).alias("c1"), (F.col("c2") + j).alias("c2")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
     left = tiles.select(F.col("tile").alias("a"), F.col("size").alias("size_a"), F.explode(near).alias("n"))
@@ -212,7 +213,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
         pairs.join(side["a"], F.col("a") == F.col("t_a")).join(side["b"], F.col("b") == F.col("t_b"))
         .drop("t_a", "t_b").repartition("a", "b")
     )
-    found = staged(work.mapInArrow(_compared(axes, threshold), "u long, v long, n long"))
+    found = staged(work.mapInArrow(_compared(axes, threshold), f"u {id_kind}, v {id_kind}, n long"))
     links = found.groupBy(F.col("u").alias("u_")).agg(F.sum("n").alias("n_links"))
     linked = components(found.select("u", "v"))
     component = F.coalesce(F.col("component"), F.col("vec_id"))

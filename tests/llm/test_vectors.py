@@ -66,3 +66,10 @@ def test_components_of_paths_and_stars(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in [*range(100, 130), 300]}}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_ids_of_type_int_and_many_equal_rows(spark):
+    rows = [(i, [1.0, 2.0, 3.0]) for i in range(300)] + [(300, [1.0, -2.0, 3.0])]
+    docs = spark.createDataFrame(rows, "vec_id int, embedding array<float>").repartition(3)
+    got = {v.vec_id: (v.n_links, v.component_id, v.kept) for v in vectors.near_duplicates(docs, tile=64).collect()}
+    assert got == {i: (299, 0, i == 0) for i in range(300)} | {300: (0, 300, True)}
