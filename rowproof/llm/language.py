@@ -246,4 +246,4 @@ def held_out(column: str = "doc_id") -> Column:
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     codes = learn(docs.filter(~held_out()))
-    return predict(docs, codes).withColumn("held_out", held_out())
+    return predict(docs, codes).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
