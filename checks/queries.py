@@ -21,6 +21,7 @@ from rowproof.lexicon import countries
 from rowproof.operators import describe as describing
 from rowproof.operators import duplicates, frequency, fuzzy, outliers, profile, statistics
 from rowproof.operators.address import OUTPUTS, clean_addresses
+from rowproof.operators.columns import spread
 from rowproof.operators.project import (
     default_country,
     null_rows,
@@ -552,7 +553,7 @@ def address_assemble(spark, folder):
 
 
 def address_parse(spark, folder):
-    rows = assembled(addresses(spark, folder))
+    rows = assembled(spread(addresses(spark, folder)))
     parsed = address_text.parse_address("full_text", "code").alias("p")
     return rows.select("address_id", parsed).select("address_id", "p.*")
 
@@ -600,7 +601,7 @@ def address_summary(spark, folder):
 
 def address_street_types(spark, folder):
     """Every street type, with directions and units, parsed out of one line."""
-    rows = street_lines(spark, folder)
+    rows = spread(street_lines(spark, folder))
     parsed = address_text.parse_address("line", F.lit("US")).alias("p")
     return rows.select("line_id", parsed).select("line_id", "p.*")
 

@@ -12,6 +12,7 @@ from rowproof.functions import address as A
 from rowproof.functions import geo
 from rowproof.functions.postal import zip_code_check
 from rowproof.functions.text import strip, title_case
+from rowproof.operators.columns import spread
 from rowproof.operators.ziplookup import with_zip_lookup
 
 # --- fixed values: output columns of one address group, after the group's root name -----------
@@ -62,6 +63,31 @@ def clean_addresses(
 ) -> DataFrame:
     """Add the nine `{root}_...` columns; `{root}_addr_error_messg` is an array of messages.
 
+    The rows are dealt to tasks by their number first, since the patterns cost far more than reading.
+    """
+    return with_clean_address(
+        spread(df), root, zip_ref, address1=address1, city=city, state=state, postal_code=postal_code,
+        country=country, full_address=full_address, address2=address2, address3=address3, street_types=street_types,
+    )
+
+
+def with_clean_address(
+    df: DataFrame,
+    root: str,
+    zip_ref: DataFrame,
+    *,
+    address1: Column | str,
+    city: Column | str,
+    state: Column | str,
+    postal_code: Column | str,
+    country: Column | str | None = None,
+    full_address: Column | str | None = None,
+    address2: Column | str | None = None,
+    address3: Column | str | None = None,
+    street_types: Sequence[str] | None = None,
+) -> DataFrame:
+    """`clean_addresses` of rows that stay in their tasks, for several address groups of the same rows.
+
     Rows are only extended: one projection before the ZIP join and one after it, whose later
     columns refer to its earlier ones. Working columns start with `_` and are dropped again.
     """

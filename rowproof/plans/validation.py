@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from rowproof.config import DatasetConfig, existing
 from rowproof.functions.contact import email_check, email_valid, name_check, website_check
 from rowproof.functions.phone import phone_cleaning
-from rowproof.operators.address import OUTPUTS, clean_addresses
-from rowproof.operators.columns import nan_to_null, ref
+from rowproof.operators.address import OUTPUTS, with_clean_address
+from rowproof.operators.columns import nan_to_null, ref, spread
 from rowproof.operators.duplicates import duplicates_by_column, exact_duplicates
 from rowproof.operators.frequency import frequency
 from rowproof.operators.outliers import date_flags, iqr_flags, z_flags
@@ -85,10 +85,11 @@ def add_address_checks(
     zip_ref: DataFrame,
     street_types: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The nine output columns of every address group, groups in key order."""
+    """The nine output columns of every address group, groups in key order; rows are dealt to tasks once."""
+    df = spread(df)
     for key in sorted(config.addresses):
         group = config.addresses[key]
-        df = clean_addresses(
+        df = with_clean_address(
             df,
             group.root,
             zip_ref,
@@ -146,7 +147,7 @@ def flag_rows(
     street_types: Sequence[str] | None = None,
     max_values_in_task: int = MAX_VALUES_IN_TASK,
 ) -> tuple[DataFrame, Flags]:
-    """All rule columns and the verdict, as one plan without a shuffle of the rows; NaN is null."""
+    """All rule columns and the verdict, as one plan; NaN is null. Only address rules of many rows shuffle them, once."""
     if config.addresses and zip_ref is None:
         raise ValueError("address rules need a ZIP reference table")
     df = nan_to_null(df)
