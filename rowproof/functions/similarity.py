@@ -151,14 +151,28 @@ def _percent(common: Column, both: Column) -> Column:
     return F.rint(F.lit(100) * ((F.lit(2) * common) / both)).cast("int")
 
 
-def sort_score(a: Column, b: Column, places: Column) -> Column:
-    """Ratio of two sort forms, 0 to 100; `places` are the `char_places` of `a`."""
-    ratio = _percent(common_length(places, b), F.length(a) + F.length(b))
+def _may_reach(a: Column, b: Column, both: Column, share: float) -> Column:
+    """Whether a ratio of two texts of joined length `both`, of which a and b are what may differ, may be `share`.
+
+    Then both-2c characters at most are in one text only, c being their fewest common ones for that ratio. So
+    many deletions and insertions turn one text into the other, and the edit distance, which also has
+    replacements, is no larger.
+    """
+    apart = (both - 2 * F.ceil(both * (share / 2) - 1e-9)).cast("int")
+    return F.call_function("levenshtein", a, b, apart) >= 0
+
+
+def sort_score(a: Column, b: Column, places: Column, share: float = 0.0) -> Column:
+    """Ratio of two sort forms, 0 to 100; `places` are the `char_places` of `a`. One below `share` may be 0."""
+    both = F.length(a) + F.length(b)
+    ratio = _percent(common_length(places, b), both)
+    if share > 0:
+        ratio = F.when(_may_reach(a, b, both, share), ratio).otherwise(0)
     return F.when(a == b, 100).when((a == "") | (b == ""), 0).otherwise(ratio)
 
 
-def set_score(a: Column, b: Column, places: Column) -> Column:
-    """Best ratio of two set forms: shared words against each side, and the sides.
+def set_score(a: Column, b: Column, places: Column, share: float = 0.0) -> Column:
+    """Best ratio of two set forms: shared words against each side, and the sides. One below `share` may be lower.
 
     The sides begin with the shared words, which are then common to both in full; only the words
     that are left need a common subsequence. Without shared words the sides are the forms.
@@ -189,8 +203,11 @@ def set_score(a: Column, b: Column, places: Column) -> Column:
             return s + 1 + F.length(text)
 
         alone = _percent(s, s + F.least(side(x), side(y)))
+        sides = _percent(s + 1 + left, side(x) + side(y))
+        if share > 0:
+            sides = F.when(_may_reach(x, y, side(x) + side(y), share), sides)
         # Without a word of its own one side is the shared words.
-        return F.when((x == "") | (y == ""), 100).otherwise(F.greatest(alone, _percent(s + 1 + left, side(x) + side(y))))
+        return F.when((x == "") | (y == ""), 100).otherwise(F.greatest(alone, sides))
 
     def split_up(words: Column) -> Column:
         one, two, both = words["one"], words["two"], words["both"]
@@ -205,6 +222,6 @@ def set_score(a: Column, b: Column, places: Column) -> Column:
     words = F.struct(one.alias("one"), two.alias("two"), F.array_intersect(one, two).alias("both"))
     ratio = let(
         words,
-        lambda w: F.when(F.size(w["both"]) == 0, sort_score(a, b, places)).otherwise(let(split_up(w), scored)),
+        lambda w: F.when(F.size(w["both"]) == 0, sort_score(a, b, places, share)).otherwise(let(split_up(w), scored)),
     )
     return F.when(a == b, 100).when((a == "") | (b == ""), 0).otherwise(ratio)

@@ -3,8 +3,9 @@
 Two texts are compared through a normal form, so all work up to the last join is done once per
 distinct form. Candidates come from equi-joins on rare pieces (prefix filtering): texts that reach a
 score must share one of the rarest characters or character pairs, or for word sets one of the rarest words,
-of either text. The bounds are proven in `_needed`, `_always_needed` and `_word_prefix`; they lose no match, and no
-block of similar texts is capped. Values with an equal form are never paired with one another:
+of either text. Where single pieces would give many tests, short texts that may differ by one edit meet by what is left
+after it (`_by_edits`). The bounds are proven in `_needed`, `_always_needed`, `_near_length` and `_word_prefix`;
+they lose no match, and no block of similar texts is capped. Values with an equal form are never paired with one another:
 the `keep` smallest of them stand for the group, with `keep=None` all of them.
 
 The matches wanted are the best, so the search goes down in bands of falling score (`BANDS`). High
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,6 +45,8 @@ FORMS_IN_TASK = 2_000
 PAIRS_IN_TASK = 20_000
 # Rows of one piece that meet one another in one task.
 CELL = 2048
+# Forms up to this length may be met by their single edits where pieces are too frequent.
+NEAR_LENGTH = 62
 # Hash buckets in which the frequency of pieces is counted.
 RANK_BUCKETS = 4096
 # 64-bit words of the bit sets that rule out most pairs before their bags are compared.
@@ -137,8 +141,8 @@ def best_forms(index: DataFrame, threshold: int, keep: int | None = KEEP) -> Dat
         met = candidates(index, asking, threshold)
         if met.tests <= TESTS_AT_ONCE:
             band = threshold
-        elif band != threshold:
-            met = candidates(index, asking, band)
+        else:
+            met = candidates(index, asking, band, deep=True)
         scored = staged(_scored(index, met.pairs(), asking, band))
         if band == threshold:
             return reduce(DataFrame.unionByName, [*found, scored])
@@ -174,7 +178,7 @@ def _scored(index: DataFrame, pairs: DataFrame, asking: DataFrame, band: int) ->
         *(
             F.struct(
                 F.lit(s).alias("scorer"),
-                F.when(F.col(f"a_{s}") & F.col(f"b_{s}"), score(F.col("a_form"), F.col("b_form"), F.col("places"))).alias("score"),
+                F.when(F.col(f"a_{s}") & F.col(f"b_{s}"), score(F.col("a_form"), F.col("b_form"), F.col("places"), _share(band))).alias("score"),
             )
             for s, score in scorers.items()
         )
@@ -200,11 +204,17 @@ class Candidates:
         return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def candidates(index: DataFrame, asking: DataFrame, threshold: int) -> Candidates:
-    """Pairs of forms that may reach the threshold, of which one at least is among the `asking` ids."""
+def candidates(index: DataFrame, asking: DataFrame, threshold: int, deep: bool = False) -> Candidates:
+    """Pairs of forms that may reach the threshold, of which one at least is among the `asking` ids.
+
+    With `deep` short forms meet by their edits if single pieces give too many tests, and more than those.
+    """
     flagged = index.join(asking.select("id", F.lit(True).alias("asked")), "id", "left").fillna(False, "asked")
     share = _share(threshold)
-    return Candidates([_by_characters(flagged, share), _by_words(flagged, share)])
+    by_characters = [_by_characters(flagged, share)]
+    if deep and by_characters[0].tests > TESTS_AT_ONCE:
+        by_characters = min(by_characters, _by_edits(flagged, share), key=lambda joins: sum(j.tests for j in joins))
+    return Candidates([*by_characters, _by_words(flagged, share)])
 
 
 def candidate_pairs(forms: DataFrame, threshold: int) -> DataFrame:
@@ -374,23 +384,29 @@ def _missing_bits(a: str, b: str) -> Column:
     return reduce(lambda x, y: x + y, words)
 
 
-def _by_characters(index: DataFrame, share: float) -> _PieceJoin:
+def _prefixes(index: DataFrame, share: float) -> DataFrame:
+    """A row for each form and each of its rarest pieces, of which a match must have one."""
     pieces = _pieces_for(share)
     bag = F.col(f"bag{pieces}")
     # A form may meet texts down to the shortest length whose ratio can still be reached.
     shortest = F.ceil(F.col("m") * share / (2 - share) - 1e-9)
     prefix = F.slice(bag, F.lit(1), F.size(bag) - _always_needed(F.col("m") + shortest, share, pieces) + 1)
-    rows = index.where("m > 0").select(
+    return index.where("m > 0").select(
         "id", "asked", "m", F.size(bag).alias("n"),
         *(F.col(f"masks{p}.mask{i}").alias(f"p{p}_mask{i}") for p in {1, pieces} for i in range(MASK_WORDS)),
         F.posexplode(prefix).alias("place", "piece"),
     )
+
+
+def _fits(share: float) -> Column:
+    """Whether two rows that share a piece may reach the share."""
+    pieces = _pieces_for(share)
     both = F.col("x_m") + F.col("y_m")
     needed = _needed(both, share, pieces)
     # At the first piece that both prefixes have, no more can be common than is left on either side.
     left = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place"))
     low, high = F.least("x_m", "y_m"), F.greatest("x_m", "y_m")
-    fits = (
+    return (
         # A form that asks meets each other one that asks once.
         ((F.col("x_id") < F.col("y_id")) | (~F.col("y_asked") & (F.col("x_id") != F.col("y_id"))))
         & (low >= high * (share / (2 - share)) - 1e-9)
@@ -398,7 +414,94 @@ def _by_characters(index: DataFrame, share: float) -> _PieceJoin:
         & (F.col("x_n") - _missing_bits(f"x_p{pieces}_", f"y_p{pieces}_") >= needed)
         & (F.col("x_m") - _missing_bits("x_p1_", "y_p1_") >= _needed(both, share, 1))
     )
-    return _PieceJoin(rows.where("asked"), rows, fits)
+
+
+def _by_characters(index: DataFrame, share: float) -> _PieceJoin:
+    rows = _prefixes(index, share)
+    return _PieceJoin(rows.where("asked"), rows, _fits(share))
+
+
+def _near_length(share: float) -> int:
+    """Longest form, up to `NEAR_LENGTH`, for which a match of the same length or one more or less differs by one edit.
+
+    Of two texts of joined length b that reach the share, both - 2c characters at most are not common. As long as that
+    is two at most, texts of one length have lost one character each, texts that differ by one in length one in all.
+    """
+    def apart(both: int) -> int:
+        return both - 2 * ceil(both * (share / 2) - 1e-9)
+
+    longest = 0
+    while longest < NEAR_LENGTH and max(apart(2 * longest + 2), apart(2 * longest + 3)) <= 2:
+        longest += 1
+    return longest
+
+
+def _edits(form: Column) -> Column:
+    """Hashes of the words in order, as they are and after each loss of one character, a blank included.
+
+    Two texts with one character lost each are then equal, and so are their words. In set scores the words that are
+    shared come first and the others follow in order, so a lost blank may join any two words of a text.
+    """
+
+    def number(words: Column) -> Column:
+        return F.xxhash64(F.array_sort(words))
+
+    def lost(words: Column) -> Column:
+        def of_word(w: Column, i: Column) -> Column:
+            def without(k: Column) -> Column:
+                rest = F.concat(F.substr(w, F.lit(1), k - 1), F.substr(w, k + 1))
+                return number(F.transform(words, lambda v, t: F.when(t == i, rest).otherwise(v)))
+
+            return F.transform(F.sequence(F.lit(1), F.length(w)), without)
+
+        return F.flatten(F.transform(words, of_word))
+
+    def joined(words: Column) -> Column:
+        def of_word(w: Column, i: Column) -> Column:
+            def with_later(u: Column, j: Column) -> Column:
+                one = F.transform(words, lambda v, t: F.when(t == i, F.concat(w, u)).when(t != i + 1 + j, v))
+                return number(F.array_compact(one))
+
+            return F.transform(F.slice(words, i + 2, F.size(words)), with_later)
+
+        return F.flatten(F.transform(words, of_word))
+
+    return let(F.split(form, " "), lambda w: F.array_distinct(F.concat(F.array(number(w)), lost(w), joined(w))))
+
+
+def _by_edits(index: DataFrame, share: float) -> list[_PieceJoin]:
+    """As `_by_characters`, but short forms of nearly one length meet by `_edits`, so that their tests are nearly all matches.
+
+    All other pairs meet by single pieces: short ones whose lengths differ by more than one by piece and both lengths,
+    and pairs with a long form by piece. Keys whose hashes clash give a test more, never a pair less.
+    """
+    near = _near_length(share)
+    short = index.where((F.col("m") > 0) & (F.col("m") <= near)).select("id", "asked", "m", F.explode(_edits(F.col("form"))).alias("piece"))
+    order = (F.col("x_id") < F.col("y_id")) | (~F.col("y_asked") & (F.col("x_id") != F.col("y_id")))
+    both, differ = F.col("x_m") + F.col("y_m"), F.abs(F.col("x_m") - F.col("y_m"))
+    # Different texts lose two characters at least if their lengths are equal.
+    apart = both - 2 * F.ceil(both * (share / 2) - 1e-9)
+    fits = order & (differ <= 1) & (apart >= F.when(differ == 0, 2).otherwise(1))
+    by_edits = _PieceJoin(short.where("asked"), short, fits)
+
+    rows = _prefixes(index, share)
+    is_long = F.col("m") > near
+    # Lengths that a form may meet; all short ones but its own and its neighbours'.
+    lowest, highest = F.ceil(F.col("m") * share / (2 - share) - 1e-9), F.floor(F.col("m") * (2 - share) / share + 1e-9)
+    lengths = F.filter(
+        F.sequence(lowest.cast("int"), F.least(highest, F.lit(near)).cast("int")), lambda n: F.abs(n - F.col("m")) > 1
+    )
+    short_rows = rows.where(~is_long).withColumn("other", F.explode(lengths))
+
+    def keyed(at: DataFrame, kind: str, *more: str) -> DataFrame:
+        return at.select(*(c for c in rows.columns if c != "piece"), F.xxhash64(F.lit(kind), "piece", *more).alias("piece"))
+
+    left = [keyed(short_rows, "lengths", "m", "other"), keyed(rows.where(is_long), "long"), keyed(rows.where(~is_long), "short")]
+    right = [keyed(short_rows, "lengths", "other", "m"), keyed(rows, "long"), keyed(rows.where(is_long), "short")]
+    others = _PieceJoin(
+        reduce(DataFrame.unionByName, left).where("asked"), reduce(DataFrame.unionByName, right), _fits(share)
+    )
+    return [by_edits, others]
 
 
 # ---- pairs that share words ------------------------------------------------------------------

@@ -157,3 +157,33 @@ def test_bounds_hold_for_all_short_texts(spark, threshold):
     wanted = {(a, b) for a, b in combinations(sorted(texts), 2) if ratio(a, b) >= threshold}
     assert wanted <= {tuple(r) for r in rows}
     assert len(rows) == len(set(rows))
+
+
+def test_short_forms_meet_by_edits(spark, monkeypatch):
+    """Numbered keys give tests in step with their matches, and no pair of any length or word order is lost."""
+    monkeypatch.setattr(fuzzy, "TESTS_AT_ONCE", 0)
+    monkeypatch.setattr(fuzzy, "NEAR_LENGTH", 20)
+    share = fuzzy._share(90)
+    near = fuzzy._near_length(share)
+    assert 10 <= near < 20
+    rng = random.Random(5)
+    words = ["ab", "abc", "b", "bcd", "cdab", "d", "dd", "a"]
+    values = {" ".join(rng.choices(words, k=rng.randint(2, 8))) for _ in range(260)}
+    forms = sorted({" ".join(sorted(v.split())) for v in values} | {" ".join(sorted(set(v.split()))) for v in values})
+    rows = spark.createDataFrame([(f,) for f in forms], "form string").selectExpr("form", "1L AS n_token_sort_ratio", "1L AS n_token_set_ratio")
+    index = fuzzy.indexed(rows)
+    asked = index.withColumn("asked", F.col("id") % 2 == 0)
+    text = {r.id: r.form for r in index.select("id", "form").collect()}
+    met = fuzzy.Candidates([*fuzzy._by_edits(asked, share), fuzzy._by_words(asked, share)])
+    found = {frozenset((text[r.a], text[r.b])) for r in met.pairs().collect()}
+    some = {f for i, f in text.items() if i % 2 == 0}
+    wanted = {
+        frozenset((a, b)) for a, b in combinations(forms, 2)
+        if (a in some or b in some)
+        and (ratio(a, b) >= 90 or (a.split() == sorted(set(a.split())) and b.split() == sorted(set(b.split())) and set_score(a, b, str.split) >= 90))
+    }
+    assert wanted <= found and {len(f) <= near for f in forms} == {True, False}
+
+    numbered = spark.range(4000).selectExpr("printf('%09d supplier', id) AS form", "1L AS n_token_sort_ratio", "1L AS n_token_set_ratio")
+    met = fuzzy.candidates(fuzzy.indexed(numbered), numbered.select(F.monotonically_increasing_id().alias("id")), 94, deep=True)
+    assert met.tests < 200 * 4000
