@@ -3,15 +3,18 @@
 Unit vectors are turned into the basis of their principal components, largest first. Two tiles of vectors
 are compared a few leading dimensions at a time; what the other dimensions can still add to a cosine is
 at most the product of the two suffix norms, so a pair stops as soon as it cannot reach the threshold.
+This is done in single precision with room for its rounding; what it cannot tell is computed in double.
 
 Tiles are cells of a grid over the first two components, wide enough that linked vectors lie in the same
 or in neighbouring cells; a cell with more vectors than a tile holds is divided by a hash. A tile is packed
-into one row. Pairs of tiles are rows too and are dealt out evenly, so a large group of copies is many
-pairs of tiles, never one task; and it leaves a task as counts and a spanning forest, never as pairs.
+into one row, in the precision in which its vectors are given, and written once. Pairs of tiles are never
+shuffled or written: a task reads two parts of the tiles and compares what of them are neighbours, so the disk holds
+the vectors twice, however many pairs there are. A large group of copies is many pairs of tiles, never one
+task; and it leaves a task as counts and a spanning forest, a row for each vector, never as pairs.
 
 Comparing every pair that the grid leaves is the operator's own work and grows with the square of a cell;
-the matrix of second moments (dimension squared) and the counts of cells (at most a few hundred) are all
-that the driver sees.
+the matrix of second moments (dimension squared) and the counts of crowded cells (at most a few hundred) are
+all that the driver sees.
 
 Defined cases: vectors that are null, empty, zero, or hold a null or a value that is not finite link with
 nothing, nor does a null id. Ids are of any integral type. Vectors of different lengths are never linked; the basis is learned from the
@@ -22,12 +25,14 @@ copies of a row are links of each other. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from rowproof.llm.components import components
 from rowproof.llm.texts import table
@@ -35,18 +40,24 @@ from rowproof.sources.staging import staged
 
 THRESHOLD = 0.95
 #: Vectors of a tile, and rows of a tile compared at once.
-TILE, STRIP = 4096, 1024
+TILE, STRIP = 4096, 512
+#: Bytes of a tile as doubles; long vectors make smaller tiles.
+TILE_BYTES = 4 << 20
 #: Dimensions added between two tests of the bound.
 STEP = 16
 #: Below this share of pairs left, these are finished one by one.
 FEW = 0.02
 #: Cosines this near to the threshold are computed again from the given vectors.
 CLOSE = 1e-9
+#: Bytes of prepared tiles that a task keeps, and edges that it keeps before they are made a forest.
+HELD, EDGES = 64 << 20, 1 << 20
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """id, x: vectors that can be linked, as doubles."""
-    x = F.transform("embedding", lambda v: v.cast("double"))
+    """id, x: vectors that can be linked, as floats if they are given so, else as doubles."""
+    given = vectors.schema["embedding"].dataType
+    single = isinstance(getattr(given, "elementType", None), FloatType)
+    x = F.col("embedding") if single else F.transform("embedding", lambda v: v.cast("double"))
     sound = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     return vectors.select(F.col("vec_id").alias("id"), x.alias("x")).filter(
         F.col("id").isNotNull() & F.col("x").isNotNull() & sound & F.exists("x", lambda v: v != 0)
@@ -54,7 +65,8 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def _units(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(1, keepdims=True)
+    x = x.astype(float)
+    x /= np.abs(x).max(1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -64,8 +76,10 @@ def principal_axes(rows: DataFrame, dimension: int) -> np.ndarray:
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((dimension, dimension))
         for batch in batches:
-            x = _units(batch.column("x").flatten().to_numpy().reshape(-1, dimension))
-            total += x.T @ x
+            flat = batch.column("x").flatten().to_numpy().reshape(-1, dimension)
+            for low in range(0, len(flat), STRIP):
+                x = _units(flat[low : low + STRIP])
+                total += x.T @ x
         yield pa.RecordBatch.from_pydict({"moment": [total.tobytes()]})
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
@@ -77,56 +91,150 @@ def principal_axes(rows: DataFrame, dimension: int) -> np.ndarray:
     return np.linalg.eigh(np.reshape(total, (dimension, dimension)))[1][:, ::-1].copy()
 
 
-def _celled(axes: np.ndarray, width: float):
+def _cells(x: pa.ListArray, axes: np.ndarray, width: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Length and cell of each vector; a vector's cell does not depend on the rows around it."""
+    sizes = np.diff(x.offsets.to_numpy()).astype(np.int64)
+    flat = x.flatten().to_numpy()
+    at = np.cumsum(sizes) - sizes
+    cell = np.zeros((len(sizes), 2), np.int64)
+    for d in np.unique(sizes):
+        every = np.flatnonzero(sizes == d)
+        for low in range(0, len(every), STRIP):
+            rows = every[low : low + STRIP]
+            u = _units(flat[at[rows][:, None] + np.arange(d)])
+            lead = np.einsum("ij,jk->ik", u, axes[:, :2]) if d == len(axes) else u[:, :2]
+            cell[rows[:, None], np.arange(lead.shape[1])] = np.floor(lead / width)
+    return sizes, cell[:, 0], cell[:, 1]
+
+
+def _counted(axes: np.ndarray, width: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in filter(len, batches):
+            place, n = np.unique(np.stack(_cells(batch.column("x"), axes, width)), axis=1, return_counts=True)
+            yield pa.RecordBatch.from_pydict({"size": place[0], "c1": place[1], "c2": place[2], "n": n})
+
+    return run
+
+
+def _dealt(axes: np.ndarray, width: float, parts: dict[tuple[int, int, int], int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.diff(batch.column("x").offsets.to_numpy())
-            flat = batch.column("x").flatten().to_numpy()
-            at = np.cumsum(sizes) - sizes
-            cell = np.zeros((len(sizes), 2), np.int64)
-            for d in np.unique(sizes):
-                rows = np.flatnonzero(sizes == d)
-                x = _units(flat[at[rows][:, None] + np.arange(d)])
-                lead = (x @ axes if d == len(axes) else x)[:, :2]
-                cell[rows[:, None], np.arange(lead.shape[1])] = np.floor(lead / width)
+            place = _cells(batch.column("x"), axes, width)
+            most = np.array([parts.get(p, 1) for p in zip(*(c.tolist() for c in place), strict=True)], np.int64)
+            part = batch.column("h").to_numpy() % most if len(most) else most
             yield pa.RecordBatch.from_pydict(
-                {"id": batch.column("id"), "x": batch.column("x"), "size": sizes.astype(np.int64), "c1": cell[:, 0], "c2": cell[:, 1]}
+                {"id": batch.column("id"), "x": batch.column("x"), "size": place[0], "c1": place[1], "c2": place[2], "part": part}
             )
 
     return run
 
 
-def _packed(group: pd.DataFrame) -> pd.DataFrame:
-    x = np.stack(group["x"].to_numpy())
-    first = group.iloc[0]
-    return pd.DataFrame(
+def _packed(group: pa.Table) -> pa.Table:
+    first = group.slice(0, 1).to_pylist()[0]
+    ids, x = (group.column(c).combine_chunks() for c in ("id", "x"))
+    offsets = pa.array([0, len(ids)], pa.int32())
+    return pa.table(
         {"tile": [first["tile"]], "size": [first["size"]], "c1": [first["c1"]], "c2": [first["c2"]],
-         "ids": [group["id"].to_numpy()], "data": [x.tobytes()]}
+         "ids": pa.ListArray.from_arrays(offsets, ids), "data": pa.array([x.flatten().to_numpy().tobytes()], pa.binary())}
     )
 
 
+def tiled(rows: DataFrame, axes: np.ndarray, width: float, tile: int) -> DataFrame:
+    """tile, size, c1, c2, ids, data: a row for each tile of at most about `tile` vectors of a cell."""
+    place = ("size", "c1", "c2")
+    counted = rows.select("x").mapInArrow(_counted(axes, width), "size long, c1 long, c2 long, n long")
+    room = F.greatest(F.lit(1), F.least(F.lit(tile), F.floor(F.lit(TILE_BYTES) / (8 * F.col("size")))))
+    crowded = counted.groupBy(*place).agg(F.sum("n").alias("n")).withColumn("parts", F.ceil(F.col("n") / room)).filter("parts > 1")
+    parts = {(r.size, r.c1, r.c2): r.parts for r in crowded.select("size", *place[1:], "parts").collect()}
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("id", "x")}
+    dealt = rows.select("id", "x", F.xxhash64("id", "x").alias("h")).mapInArrow(
+        _dealt(axes, width, parts), f"id {kinds['id']}, x {kinds['x']}, size long, c1 long, c2 long, part long"
+    )
+    return (
+        dealt.withColumn("tile", F.concat_ws("/", *place, "part")).drop("part").groupBy("tile")
+        .applyInArrow(_packed, f"tile string, size long, c1 long, c2 long, ids array<{kinds['id']}>, data binary")
+    )
+
+
+class Side(NamedTuple):
+    """Vectors as given and, in single precision, what is compared of them."""
+
+    x: np.ndarray
+    turned: np.ndarray
+    #: Norm of what follows each step but the last; the first step of `turned` and the norm after it.
+    rest: np.ndarray
+    lead: np.ndarray
+
+    def cut(self, low: int) -> Side:
+        return Side(*(v[low : low + STRIP] for v in self))
+
+    @property
+    def bytes(self) -> int:
+        return sum(v.nbytes for v in self)
+
+
+def _side(x: np.ndarray, axes: np.ndarray | None) -> Side:
+    u = _units(x)
+    turned = u if axes is None else u @ axes
+    after = np.add.reduceat(turned**2, np.arange(0, turned.shape[1], STEP), axis=1)[:, :0:-1].cumsum(1)
+    rest = np.sqrt(after[:, ::-1]).astype(np.float32)
+    turned = turned.astype(np.float32)
+    return Side(x, turned, rest, np.hstack([turned[:, :STEP], rest[:, :1]]))
+
+
+def _reaches(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows of x and y, paired as given, have at least this cosine."""
+    value = np.einsum("ij,ij->i", _units(x), _units(y))
+    found = value >= threshold
+    close = np.flatnonzero(np.abs(value - threshold) <= CLOSE)
+    if len(close):
+        x, y = x[close].astype(float), y[close].astype(float)
+        found[close] = np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y)) >= threshold
+    return found
+
+
+def _told(a: Side, b: Side, i: np.ndarray, j: np.ndarray, value: np.ndarray, slack: float, threshold: float) -> np.ndarray:
+    """Which pairs i, j reach the threshold, by their single-precision cosines where these can tell."""
+    found = value >= threshold + slack
+    unsure = np.flatnonzero(~found & (value >= threshold - slack))
+    for low in range(0, len(unsure), 4 * STRIP):
+        k = unsure[low : low + 4 * STRIP]
+        found[k] = _reaches(a.x[i[k]], b.x[j[k]], threshold)
+    return found
+
+
+def _linked(a: Side, b: Side, threshold: float) -> tuple[np.ndarray, np.ndarray] | np.ndarray:
+    """Pairs of at least this cosine: places in a and in b if they are few, else a matrix of booleans."""
+    dimension = a.x.shape[1]
+    slack = (dimension + 16) * 2.0**-23  # more than rounding changes in sums of products of unit vectors
+    low, steps = np.float32(threshold - 2 * slack), -(-dimension // STEP)
+    bound = a.lead @ b.lead.T
+    for step in range(1, steps + 1):
+        open_ = bound >= low
+        left = np.count_nonzero(open_)
+        if left < FEW * open_.size or not left:
+            i, j = np.divmod(np.flatnonzero(open_), len(b.x))
+            value = np.einsum("ij,ij->i", a.turned[i], b.turned[j])
+            found = _told(a, b, i, j, value, slack, threshold)
+            return i[found], j[found]
+        if step < steps:
+            k = slice(step * STEP, (step + 1) * STEP)
+            if step == 1:
+                dots = bound - a.rest[:, :1] * b.rest[:, 0]
+            dots += a.turned[:, k] @ b.turned[:, k].T
+            bound = dots + a.rest[:, step, None] * b.rest[:, step] if step + 1 < steps else dots
+    found = bound >= threshold + slack
+    i, j = np.nonzero(open_ & ~found)
+    found[i, j] = _told(a, b, i, j, bound[i, j], slack, threshold)
+    return found
+
+
 def close_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray | None, threshold: float) -> np.ndarray:
     """Which rows of a and b (as given) have at least this cosine, as a matrix of booleans."""
-    ua, ub = _units(a), _units(b)
-    pa_, pb = (ua, ub) if axes is None else (ua @ axes, ub @ axes)
-    dimension = a.shape[1]
-    dots = np.zeros((len(a), len(b)))
-    for low in range(0, dimension, STEP):
-        high = min(low + STEP, dimension)
-        dots += pa_[:, low:high] @ pb[:, low:high].T
-        rest_a, rest_b = np.linalg.norm(pa_[:, high:], axis=1), np.linalg.norm(pb[:, high:], axis=1)
-        open_ = dots + rest_a[:, None] * rest_b >= threshold - CLOSE
-        if high < dimension and open_.mean() < FEW:
-            i, j = np.nonzero(open_)
-            value = dots[i, j] + np.einsum("ij,ij->i", pa_[i, high:], pb[j, high:])
-            dots = np.where(open_, 0.0, -1.0)
-            dots[i, j] = value
-            break
-    found = dots >= threshold
-    i, j = np.nonzero(np.abs(dots - threshold) <= CLOSE)
-    if len(i):
-        x, y = a[i], b[j]
-        found[i, j] = np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y)) >= threshold
+    found = _linked(_side(a, axes), _side(b, axes), threshold)
+    if isinstance(found, tuple):
+        places, found = found, np.zeros((len(a), len(b)), bool)
+        found[places] = True
     return found
 
 
@@ -144,36 +252,104 @@ def _forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
-def _compared(axes: np.ndarray, threshold: float):
+def _spanning(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Some of the pairs of a matrix of booleans, which connect all that the others connect."""
+    n, m = found.shape
+    i, j, left = np.zeros(0, np.int64), np.zeros(0, np.int64), found
+    while left.any():
+        rows, columns = np.flatnonzero(left.any(1)), np.flatnonzero(left.any(0))
+        i = np.concatenate([i, rows, left.argmax(0)[columns]])
+        j = np.concatenate([j, left.argmax(1)[rows], columns])
+        label = _forest(i, j + n, n + m)
+        left = found & (label[:n, None] != label[n:])
+    return i, j
+
+
+class Found:
+    """What a task finds: the links of each vector of its tiles, and edges that connect what is linked."""
+
+    def __init__(self) -> None:
+        self.tiles: dict[str, tuple[int, np.ndarray]] = {}
+        self.ids: list[np.ndarray] = []
+        self.edges = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        self.rows = self.open = 0
+
+    def tile(self, name: str, ids: pa.Array) -> tuple[int, np.ndarray]:
+        """The number of the first vector of a tile, and the links of its vectors."""
+        if name not in self.tiles:
+            self.tiles[name] = self.rows, np.zeros(len(ids), np.int64)
+            self.ids.append(ids.to_numpy().copy())
+            self.rows += len(ids)
+        return self.tiles[name]
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        self.edges.append((i, j))
+        self.open += len(i)
+        if self.open >= EDGES + self.rows:
+            label = self.forest()
+            i = np.flatnonzero(label != np.arange(self.rows))
+            self.edges, self.open = [(i, label[i])], 0
+
+    def forest(self) -> np.ndarray:
+        return _forest(*(np.concatenate(e) for e in zip(*self.edges, strict=True)), self.rows)
+
+    def result(self) -> Iterator[pa.RecordBatch]:
+        """u, v, n: each linked vector, the smallest id that it is connected to, and its links."""
+        if not self.rows:
+            return
+        ids, count, label = np.concatenate(self.ids), np.concatenate([n for _, n in self.tiles.values()]), self.forest()
+        least = ids.copy()
+        np.minimum.at(least, label, ids)
+        some = np.flatnonzero(count)
+        for low in range(0, len(some), 32 * TILE):
+            k = some[low : low + 32 * TILE]
+            yield pa.RecordBatch.from_pydict({"u": pa.array(ids[k]), "v": pa.array(least[label[k]]), "n": pa.array(count[k])})
+
+
+def _compared(axes: np.ndarray, threshold: float, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, sides, held = Found(), {}, 0
         for batch in batches:
             for k in range(batch.num_rows):
-                d = batch.column("size")[k].as_py()
-                own = batch.column("a")[k].as_py() == batch.column("b")[k].as_py()
-                ids = [batch.column(c)[k].values.to_numpy() for c in ("ids_a", "ids_b")]
-                a, b = (np.frombuffer(batch.column(c)[k].as_buffer()).reshape(-1, d) for c in ("data_a", "data_b"))
-                links = [np.zeros(len(x), np.int64) for x in ids]
-                label = np.arange(len(a) + len(b))
-                for p in range(0, len(a), STRIP):
-                    for q in range(p if own else 0, len(b), STRIP):
-                        found = close_pairs(a[p : p + STRIP], b[q : q + STRIP], axes if d == len(axes) else None, threshold)
-                        if own and p == q:
-                            np.fill_diagonal(found, False)
-                        links[0][p : p + STRIP] += found.sum(1)
-                        if not (own and p == q):
-                            links[1][q : q + STRIP] += found.sum(0)
-                        i, j = np.nonzero(found)
-                        if len(i):
-                            i, j = i + p, j + q + (0 if own else len(a))
-                            label = _forest(np.concatenate([i, np.arange(len(label))]), np.concatenate([j, label]), len(label))
-                if own:
-                    links[0] += links[1]
-                    links[1] = links[1] * 0
-                every, count = np.concatenate(ids), np.concatenate(links)
-                some = np.flatnonzero((count > 0) | (label != np.arange(len(label))))
-                yield pa.RecordBatch.from_pydict(
-                    {"u": pa.array(every[some]), "v": pa.array(every[label[some]]), "n": pa.array(count[some])}
-                )
+                row = {c: batch.column(c)[k] for c in batch.schema.names}
+                d, names = row["size_a"].as_py(), [row[f"tile_{s}"].as_py() for s in "ab"]
+                pair, at, links = [], [], []
+                for s, name in zip("ab", names, strict=True):
+                    side = sides.pop(name, None)
+                    if side is None:
+                        x = np.frombuffer(row[f"data_{s}"].as_buffer(), kind).reshape(-1, d).copy()
+                        side = _side(x, axes if d == len(axes) else None)
+                        held += side.bytes
+                    sides[name] = side  # the last is the one used last
+                    pair.append(side)
+                    begin, n = found.tile(name, row[f"ids_{s}"].values)
+                    at.append(begin)
+                    links.append(n)
+                while held > HELD and len(sides) > 2:
+                    held -= sides.pop(next(iter(sides))).bytes
+                a, b = pair
+                own = names[0] == names[1]
+                for p in range(0, len(a.x), STRIP):
+                    for q in range(p if own else 0, len(b.x), STRIP):
+                        same = own and p == q
+                        linked = _linked(a.cut(p), b.cut(q), threshold)
+                        if isinstance(linked, tuple):
+                            i, j = linked
+                            if same:
+                                i, j = i[i != j], j[i != j]
+                            if not len(i):
+                                continue
+                            counts = [np.bincount(i), np.bincount(j)]
+                        else:
+                            if same:
+                                np.fill_diagonal(linked, False)
+                            counts = [np.count_nonzero(linked, axis=1), np.count_nonzero(linked, axis=0)]
+                            i, j = _spanning(linked)
+                        links[0][p : p + len(counts[0])] += counts[0]
+                        if not same:
+                            links[1][q : q + len(counts[1])] += counts[1]
+                        found.add(i + p + at[0], j + q + at[1])
+        yield from found.result()
 
     return run
 
@@ -188,32 +364,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
     axes = principal_axes(rows, common.d)
     id_kind = rows.schema["id"].dataType.simpleString()
     width = float(np.sqrt(2 - 2 * threshold)) * (1 + 1e-9)  # linked unit vectors are no farther apart
-    celled = staged(rows.mapInArrow(_celled(axes, width), f"id {id_kind}, x array<double>, size long, c1 long, c2 long"))
-    place = ("size", "c1", "c2")
-    cells = celled.groupBy(*(F.col(c).alias(f"{c}_") for c in place)).agg(F.ceil(F.count(F.lit(1)) / tile).alias("parts"))
-    same = F.lit(True)
-    for c in place:
-        same &= F.col(c) == F.col(f"{c}_")
-    tiled = celled.join(cells, same).withColumn(
-        "tile", F.concat_ws("/", *place, F.pmod(F.xxhash64("id", "x"), F.col("parts")))
-    )
-    tiles = staged(
-        tiled.select("id", "x", *place, "tile").groupBy("tile")
-        .applyInPandas(_packed, f"tile string, size long, c1 long, c2 long, ids array<{id_kind}>, data binary")
-    )
-    near = F.array(*(F.struct((F.col("c1") + i).alias("c1"), (F.col("c2") + j).alias("c2")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    left = tiles.select(F.col("tile").alias("a"), F.col("size").alias("size_a"), F.explode(near).alias("n"))
-    right = tiles.select(F.col("tile").alias("b"), F.col("size").alias("size_b"), "c1", "c2")
-    pairs = left.join(
-        right,
-        (F.col("size_a") == F.col("size_b")) & (F.col("n.c1") == F.col("c1")) & (F.col("n.c2") == F.col("c2")) & (F.col("a") <= F.col("b")),
-    ).select("a", "b", F.col("size_a").alias("size"))
-    side = {s: tiles.select(F.col("tile").alias(f"t_{s}"), F.col("ids").alias(f"ids_{s}"), F.col("data").alias(f"data_{s}")) for s in "ab"}
-    work = (
-        pairs.join(side["a"], F.col("a") == F.col("t_a")).join(side["b"], F.col("b") == F.col("t_b"))
-        .drop("t_a", "t_b").repartition("a", "b")
-    )
-    found = staged(work.mapInArrow(_compared(axes, threshold), f"u {id_kind}, v {id_kind}, n long"))
+    tiles = staged(tiled(rows, axes, width, tile))
+    left, right = (tiles.select(*(F.col(c).alias(f"{c}_{s}") for c in tiles.columns)) for s in "ab")
+    near = (F.abs(F.col("c1_a") - F.col("c1_b")) <= 1) & (F.abs(F.col("c2_a") - F.col("c2_b")) <= 1)
+    work = left.join(
+        right.hint("shuffle_replicate_nl"), (F.col("size_a") == F.col("size_b")) & near & (F.col("tile_a") <= F.col("tile_b"))
+    ).select("tile_a", "tile_b", "size_a", "ids_a", "ids_b", "data_a", "data_b")
+    kind = "float32" if isinstance(rows.schema["x"].dataType.elementType, FloatType) else "float64"
+    found = work.mapInArrow(_compared(axes, threshold, kind), f"u {id_kind}, v {id_kind}, n long")
+    found = staged(found.groupBy("u", "v").agg(F.sum("n").alias("n")))
     links = found.groupBy(F.col("u").alias("u_")).agg(F.sum("n").alias("n_links"))
     linked = components(found.select("u", "v"))
     component = F.coalesce(F.col("component"), F.col("vec_id"))
