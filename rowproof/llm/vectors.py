@@ -7,10 +7,11 @@ This is done in single precision with room for its rounding; what it cannot tell
 
 Tiles are cells of a grid over the first two components, wide enough that linked vectors lie in the same
 or in neighbouring cells; a cell with more vectors than a tile holds is divided by a hash. A tile is packed
-into one row, in the precision in which its vectors are given, and written once. Pairs of tiles are never
-shuffled or written: a task reads two parts of the tiles and compares what of them are neighbours, so the disk holds
-the vectors twice, however many pairs there are. A large group of copies is many pairs of tiles, never one
-task; and it leaves a task as counts and a spanning forest, a row for each vector, never as pairs.
+into one value, in the precision in which its vectors are given, and written once; several tiles are a shelf,
+the row in which they are read. Pairs of tiles are never shuffled or written: a task reads two parts of the shelves
+and compares what of them are neighbours, so the disk holds the vectors twice, however many pairs there are.
+A large group of copies is many pairs of tiles, never one task; and it leaves a task as counts and a spanning
+forest, a row for each vector, never as pairs.
 
 Comparing every pair that the grid leaves is the operator's own work and grows with the square of a cell;
 the matrix of second moments (dimension squared) and the counts of crowded cells (at most a few hundred) are
@@ -30,6 +31,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
@@ -43,6 +45,8 @@ THRESHOLD = 0.95
 TILE, STRIP = 4096, 512
 #: Bytes of a tile as doubles; long vectors make smaller tiles.
 TILE_BYTES = 4 << 20
+#: Bytes of the vectors of a shelf.
+SHELF = 8 << 20
 #: Dimensions added between two tests of the bound.
 STEP = 16
 #: Below this share of pairs left, these are finished one by one.
@@ -139,8 +143,17 @@ def _packed(group: pa.Table) -> pa.Table:
     )
 
 
-def tiled(rows: DataFrame, axes: np.ndarray, width: float, tile: int) -> DataFrame:
-    """tile, size, c1, c2, ids, data: a row for each tile of at most about `tile` vectors of a cell."""
+def _shelved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        shelf = np.cumsum(pc.binary_length(batch.column("data")).to_numpy()) // SHELF
+        first = np.flatnonzero(np.diff(shelf, prepend=-1))
+        tiles = pa.StructArray.from_arrays(batch.columns, fields=list(batch.schema))
+        offsets = pa.array([*first, len(shelf)], pa.int32())
+        yield pa.RecordBatch.from_pydict({"shelf": batch.column("tile").take(pa.array(first)), "tiles": pa.ListArray.from_arrays(offsets, tiles)})
+
+
+def shelves(rows: DataFrame, axes: np.ndarray, width: float, tile: int) -> DataFrame:
+    """shelf, tiles (tile, size, c1, c2, ids, data): a tile is at most about `tile` vectors of a cell."""
     place = ("size", "c1", "c2")
     counted = rows.select("x").mapInArrow(_counted(axes, width), "size long, c1 long, c2 long, n long")
     room = F.greatest(F.lit(1), F.least(F.lit(tile), F.floor(F.lit(TILE_BYTES) / (8 * F.col("size")))))
@@ -150,10 +163,9 @@ def tiled(rows: DataFrame, axes: np.ndarray, width: float, tile: int) -> DataFra
     dealt = rows.select("id", "x", F.xxhash64("id", "x").alias("h")).mapInArrow(
         _dealt(axes, width, parts), f"id {kinds['id']}, x {kinds['x']}, size long, c1 long, c2 long, part long"
     )
-    return (
-        dealt.withColumn("tile", F.concat_ws("/", *place, "part")).drop("part").groupBy("tile")
-        .applyInArrow(_packed, f"tile string, size long, c1 long, c2 long, ids array<{kinds['id']}>, data binary")
-    )
+    packed = f"tile string, size long, c1 long, c2 long, ids array<{kinds['id']}>, data binary"
+    tiles = dealt.withColumn("tile", F.concat_ws("/", *place, "part")).drop("part").groupBy("tile").applyInArrow(_packed, packed)
+    return tiles.mapInArrow(_shelved, f"shelf string, tiles array<struct<{packed.replace(' ', ': ').replace(',:', ',')}>>")
 
 
 class Side(NamedTuple):
@@ -203,6 +215,15 @@ def _told(a: Side, b: Side, i: np.ndarray, j: np.ndarray, value: np.ndarray, sla
     return found
 
 
+def _places(few: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where few of a matrix of booleans are true, looked at by eights."""
+    if few.size % 8:
+        return np.nonzero(few)
+    eights = np.flatnonzero(few.reshape(-1).view(np.uint64) != 0)
+    at = np.flatnonzero(few.reshape(-1, 8)[eights])
+    return np.divmod(eights[at // 8] * 8 + at % 8, few.shape[1])
+
+
 def _linked(a: Side, b: Side, threshold: float) -> tuple[np.ndarray, np.ndarray] | np.ndarray:
     """Pairs of at least this cosine: places in a and in b if they are few, else a matrix of booleans."""
     dimension = a.x.shape[1]
@@ -213,7 +234,7 @@ def _linked(a: Side, b: Side, threshold: float) -> tuple[np.ndarray, np.ndarray]
         open_ = bound >= low
         left = np.count_nonzero(open_)
         if left < FEW * open_.size or not left:
-            i, j = np.divmod(np.flatnonzero(open_), len(b.x))
+            i, j = _places(open_)
             value = np.einsum("ij,ij->i", a.turned[i], b.turned[j])
             found = _told(a, b, i, j, value, slack, threshold)
             return i[found], j[found]
@@ -306,49 +327,68 @@ class Found:
             yield pa.RecordBatch.from_pydict({"u": pa.array(ids[k]), "v": pa.array(least[label[k]]), "n": pa.array(count[k])})
 
 
+def _tiles(shelf: pa.ListScalar) -> dict[str, pa.Array]:
+    tiles = shelf.values
+    return {f.name: column for f, column in zip(tiles.type, tiles.flatten(), strict=True)}
+
+
+def _neighbours(a: dict[str, pa.Array], b: dict[str, pa.Array]) -> np.ndarray:
+    """Which tiles of two shelves can hold linked vectors: places in a and b, row by row."""
+    near = a["size"].to_numpy()[:, None] == b["size"].to_numpy()
+    for c in ("c1", "c2"):
+        near &= np.abs(a[c].to_numpy()[:, None] - b[c].to_numpy()) <= 1
+    return np.argwhere(near)
+
+
 def _compared(axes: np.ndarray, threshold: float, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, sides, held = Found(), {}, 0
+
+        def side(tile: dict[str, pa.Scalar]) -> Side:
+            nonlocal held
+            name, d = tile["tile"].as_py(), tile["size"].as_py()
+            out = sides.pop(name, None)
+            if out is None:
+                x = np.frombuffer(tile["data"].as_buffer(), kind).reshape(-1, d).copy()
+                out = _side(x, axes if d == len(axes) else None)
+                held += out.bytes
+            sides[name] = out  # the last is the one used last
+            while held > HELD and len(sides) > 1:
+                held -= sides.pop(next(iter(sides))).bytes
+            return out
+
+        def compare(tile_a: dict[str, pa.Scalar], tile_b: dict[str, pa.Scalar]) -> None:
+            own = tile_a["tile"] == tile_b["tile"]
+            a, b = side(tile_a), side(tile_b)
+            (at_a, links_a), (at_b, links_b) = (found.tile(t["tile"].as_py(), t["ids"].values) for t in (tile_a, tile_b))
+            for p in range(0, len(a.x), STRIP):
+                for q in range(p if own else 0, len(b.x), STRIP):
+                    same = own and p == q
+                    linked = _linked(a.cut(p), b.cut(q), threshold)
+                    if isinstance(linked, tuple):
+                        i, j = linked
+                        if same:
+                            i, j = i[i != j], j[i != j]
+                        if not len(i):
+                            continue
+                        counts = np.bincount(i), np.bincount(j)
+                    else:
+                        if same:
+                            np.fill_diagonal(linked, False)
+                        counts = np.count_nonzero(linked, axis=1), np.count_nonzero(linked, axis=0)
+                        i, j = _spanning(linked)
+                    links_a[p : p + len(counts[0])] += counts[0]
+                    if not same:
+                        links_b[q : q + len(counts[1])] += counts[1]
+                    found.add(i + p + at_a, j + q + at_b)
+
         for batch in batches:
             for k in range(batch.num_rows):
-                row = {c: batch.column(c)[k] for c in batch.schema.names}
-                d, names = row["size_a"].as_py(), [row[f"tile_{s}"].as_py() for s in "ab"]
-                pair, at, links = [], [], []
-                for s, name in zip("ab", names, strict=True):
-                    side = sides.pop(name, None)
-                    if side is None:
-                        x = np.frombuffer(row[f"data_{s}"].as_buffer(), kind).reshape(-1, d).copy()
-                        side = _side(x, axes if d == len(axes) else None)
-                        held += side.bytes
-                    sides[name] = side  # the last is the one used last
-                    pair.append(side)
-                    begin, n = found.tile(name, row[f"ids_{s}"].values)
-                    at.append(begin)
-                    links.append(n)
-                while held > HELD and len(sides) > 2:
-                    held -= sides.pop(next(iter(sides))).bytes
-                a, b = pair
-                own = names[0] == names[1]
-                for p in range(0, len(a.x), STRIP):
-                    for q in range(p if own else 0, len(b.x), STRIP):
-                        same = own and p == q
-                        linked = _linked(a.cut(p), b.cut(q), threshold)
-                        if isinstance(linked, tuple):
-                            i, j = linked
-                            if same:
-                                i, j = i[i != j], j[i != j]
-                            if not len(i):
-                                continue
-                            counts = [np.bincount(i), np.bincount(j)]
-                        else:
-                            if same:
-                                np.fill_diagonal(linked, False)
-                            counts = [np.count_nonzero(linked, axis=1), np.count_nonzero(linked, axis=0)]
-                            i, j = _spanning(linked)
-                        links[0][p : p + len(counts[0])] += counts[0]
-                        if not same:
-                            links[1][q : q + len(counts[1])] += counts[1]
-                        found.add(i + p + at[0], j + q + at[1])
+                own = batch.column("shelf_a")[k] == batch.column("shelf_b")[k]
+                left, right = (_tiles(batch.column(f"tiles_{s}")[k]) for s in "ab")
+                for n, m in _neighbours(left, right).tolist():
+                    if not own or n <= m:
+                        compare({c: v[n] for c, v in left.items()}, {c: v[m] for c, v in right.items()})
         yield from found.result()
 
     return run
@@ -364,12 +404,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
     axes = principal_axes(rows, common.d)
     id_kind = rows.schema["id"].dataType.simpleString()
     width = float(np.sqrt(2 - 2 * threshold)) * (1 + 1e-9)  # linked unit vectors are no farther apart
-    tiles = staged(tiled(rows, axes, width, tile))
-    left, right = (tiles.select(*(F.col(c).alias(f"{c}_{s}") for c in tiles.columns)) for s in "ab")
-    near = (F.abs(F.col("c1_a") - F.col("c1_b")) <= 1) & (F.abs(F.col("c2_a") - F.col("c2_b")) <= 1)
-    work = left.join(
-        right.hint("shuffle_replicate_nl"), (F.col("size_a") == F.col("size_b")) & near & (F.col("tile_a") <= F.col("tile_b"))
-    ).select("tile_a", "tile_b", "size_a", "ids_a", "ids_b", "data_a", "data_b")
+    shelf = staged(shelves(rows, axes, width, tile))
+    left, right = (shelf.select(*(F.col(c).alias(f"{c}_{s}") for c in shelf.columns)) for s in "ab")
+    work = left.join(right.hint("shuffle_replicate_nl"), F.col("shelf_a") <= F.col("shelf_b"))
     kind = "float32" if isinstance(rows.schema["x"].dataType.elementType, FloatType) else "float64"
     found = work.mapInArrow(_compared(axes, threshold, kind), f"u {id_kind}, v {id_kind}, n long")
     found = staged(found.groupBy("u", "v").agg(F.sum("n").alias("n")))

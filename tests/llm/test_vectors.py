@@ -73,3 +73,52 @@ def test_ids_of_type_int_and_many_equal_rows(spark):
     docs = spark.createDataFrame(rows, "vec_id int, embedding array<float>").repartition(3)
     got = {v.vec_id: (v.n_links, v.component_id, v.kept) for v in vectors.near_duplicates(docs, tile=64).collect()}
     assert got == {i: (299, 0, i == 0) for i in range(300)} | {300: (0, 300, True)}
+
+
+def shuffle_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName(): f.length() for f in (files.apply(k) for k in range(files.size())) if f.getName().startswith("shuffle_")}
+
+
+def test_pairs_of_tiles_are_not_shuffled(spark, monkeypatch):
+    r = np.random.default_rng(7)
+    x = r.normal(size=(600, 32)).astype(np.float32)
+    x[500:] = x[:100] + r.normal(size=(100, 32)) * r.choice([0, 0.1, 0.3], size=(100, 1))
+    rows = [(i, list(map(float, v))) for i, v in enumerate(x)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    before, seen = shuffle_bytes(spark), {}
+
+    def watched(df, staged=vectors.staged):  # shuffle files go with the garbage of the driver
+        out = staged(df)
+        seen.update(shuffle_bytes(spark))
+        return out
+
+    monkeypatch.setattr(vectors, "staged", watched)
+    found = vectors.near_duplicates(docs, tile=10)
+    moved = sum(n for name, n in seen.items() if name not in before)
+    assert {v.vec_id: (v.n_links, v.component_id) for v in found.collect()} == brute(rows, vectors.THRESHOLD)
+    assert moved < 10 * x.nbytes
+
+
+def test_cosines_at_the_threshold_are_told_in_double():
+    r = np.random.default_rng(8)
+    axes = np.linalg.qr(r.normal(size=(48, 48)))[0]
+    base = np.linalg.qr(r.normal(size=(48, 2)))[0].T
+    cosines = 0.95 + np.array([s * 10.0**-k for k in range(4, 13) for s in (-1, 1)])
+    a = np.vstack([base[0] * 3, r.normal(size=(9, 48))])
+    b = (cosines[:, None] * base[0] + np.sqrt(1 - cosines[:, None] ** 2) * base[1]) * r.uniform(0.1, 9, size=(len(cosines), 1))
+    want = (a @ b.T / np.sqrt((a * a).sum(1)[:, None] * (b * b).sum(1))) >= 0.95
+    for few in (0.0, 0.02, 1.0):
+        vectors.FEW, before = few, vectors.FEW
+        assert (vectors.close_pairs(a, b, axes, 0.95) == want).all()
+        vectors.FEW = before
+
+
+def test_spanning_pairs_connect_what_all_connect():
+    r = np.random.default_rng(9)
+    for share in (0.002, 0.02, 0.3, 1.0):
+        found = r.random((70, 50)) < share
+        i, j = np.nonzero(found)
+        k, m = vectors._spanning(found)
+        assert found[k, m].all()
+        assert (vectors._forest(i, j + 70, 120) == vectors._forest(k, m + 70, 120)).all()
