@@ -26,6 +26,7 @@ copies of a row are links of each other. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -45,8 +46,8 @@ THRESHOLD = 0.95
 TILE, STRIP = 4096, 512
 #: Bytes of a tile as doubles; long vectors make smaller tiles.
 TILE_BYTES = 4 << 20
-#: Bytes of the vectors of a shelf.
-SHELF = 8 << 20
+#: Bytes of the vectors of a shelf, and of the pairs of shelves that a task receives at once.
+SHELF, RECEIVED = 4 << 20, "16777216"
 #: Dimensions added between two tests of the bound.
 STEP = 16
 #: Below this share of pairs left, these are finished one by one.
@@ -394,6 +395,18 @@ def _compared(axes: np.ndarray, threshold: float, kind: str):
     return run
 
 
+@contextmanager
+def received(spark: SparkSession, size: str = RECEIVED) -> Iterator[None]:
+    """Arrow batches of at most about so many bytes in the block, and of the session's size after it."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of `vectors` (vec_id, embedding)."""
     rows = usable(vectors)
@@ -409,7 +422,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
     work = left.join(right.hint("shuffle_replicate_nl"), F.col("shelf_a") <= F.col("shelf_b"))
     kind = "float32" if isinstance(rows.schema["x"].dataType.elementType, FloatType) else "float64"
     found = work.mapInArrow(_compared(axes, threshold, kind), f"u {id_kind}, v {id_kind}, n long")
-    found = staged(found.groupBy("u", "v").agg(F.sum("n").alias("n")))
+    with received(vectors.sparkSession):
+        found = staged(found.groupBy("u", "v").agg(F.sum("n").alias("n")))
     links = found.groupBy(F.col("u").alias("u_")).agg(F.sum("n").alias("n_links"))
     linked = components(found.select("u", "v"))
     component = F.coalesce(F.col("component"), F.col("vec_id"))
